@@ -1,0 +1,67 @@
+"""Plan shape: filters reach the scan, partitions are pruned, small change
+sets are broadcast, no Python evaluation or cartesian product anywhere."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from chronodim.operators.merge import upsert
+from chronodim.operators.watermark import above_watermark
+from chronodim.plans import registry
+from chronodim.sources.feeds import EVENTS
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_watermark_pushed_to_scan(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    st = registry.build(spark, SF, EVENTS)
+    q = above_watermark(ev, st.bronze(), ts="ts")
+    p = plan(q)
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,ScalarSubquery" in p
+
+
+def test_open_versions_read_prunes_partitions(spark):
+    st = registry.build(spark, SF, EVENTS)
+    p = plan(st.scd2_current())
+    assert "PartitionFilters" in p and "is_current" in p
+    # closed history of commit 0..n and the open part of n only
+    p_all = plan(st.scd2())
+    assert "_commit_id" in p_all
+
+
+def test_small_change_set_is_broadcast(spark):
+    st = registry.build(spark, SF, EVENTS)
+    delta = st.log().where("_commit_id = 3").drop("_commit_id", "_committed_at", "_operation")
+    p = plan(upsert(st.bronze(2), delta, EVENTS.keys))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+
+
+def test_large_change_set_is_not_broadcast(spark):
+    st = registry.build(spark, SF, EVENTS)
+    delta = st.log().where("_commit_id = 3").drop("_commit_id", "_committed_at", "_operation")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(upsert(st.bronze(2), delta, EVENTS.keys, broadcast_max_rows=1))
+        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_no_python_eval_or_cartesian(spark, name):
+    p = plan(registry.QUERIES[name](spark, SF))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, f"{name}: {bad}"
+
+
+def test_latest_per_key_is_partial_aggregate(spark):
+    from chronodim.operators.dedupe import latest_per_key
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    p = plan(latest_per_key(ev, ["user_id"], ["ts"]))
+    assert "partial_max" in p and "Window" not in p
+    assert F is not None
