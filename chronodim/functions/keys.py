@@ -30,8 +30,8 @@ def uuid5(seed: Column | str, namespace: str = UUID5_NAMESPACE) -> Column:
         F.encode(F.coalesce(seed_col.cast("string"), F.lit("")), "UTF-8"),
     )
     h = F.sha1(payload)  # 40 lowercase hex digits; first 32 form the uuid
-    variant_nibble = F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(3) + 1
-    variant = F.substring(F.lit("89ab"), variant_nibble, F.lit(1))
+    # variant bits 10xx: the 17th digit d becomes 8 + (d & 3)
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat_ws(
         "-",
         F.substring(h, 1, 8),
@@ -77,7 +77,7 @@ def uuid5_sql_body(namespace: str = UUID5_NAMESPACE, seed: str = "seed") -> str:
     return (
         f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), "
         f"concat('5', substr({h}, 14, 3)), "
-        f"concat(substr('89ab', (cast(conv(substr({h}, 17, 1), 16, 10) as int) & 3) + 1, 1), substr({h}, 18, 3)), "
+        f"concat(translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab'), substr({h}, 18, 3)), "
         f"substr({h}, 21, 12))"
     )
 
