@@ -57,16 +57,20 @@ def to_bronze_rows(raw: DataFrame, ts: str, *, casts: Mapping[str, str] | None =
 def accepted_changes(raw: DataFrame, state: DataFrame | None, keys: Sequence[str], ts: str, *,
                      tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                      source_system: str = DEFAULT_SOURCE_SYSTEM, run_ts: str | Column | None = None,
-                     on_duplicate: str = "latest") -> DataFrame:
+                     on_duplicate: str = "latest", watermark: Column | None = None) -> DataFrame:
     """The rows one run applies to bronze: typed, above the watermark of
     ``state`` (no filter on the first run, ``state is None``), one per key.
+    ``watermark`` (a scalar column) replaces the scan of ``state`` for its
+    latest change time when the caller keeps that value.
 
     ``on_duplicate``: ``"latest"`` keeps the latest row per key (ties broken
     by ``tiebreak`` then the other columns); ``"keep"`` keeps all rows as a
     first-run load without merge does.
     """
     rows = to_bronze_rows(raw, ts, casts=casts, source_system=source_system, run_ts=run_ts)
-    if state is not None:
+    if watermark is not None:
+        rows = rows.where(F.col(SOURCE_TS) > watermark)
+    elif state is not None:
         rows = above_watermark(rows, state, SOURCE_TS, SOURCE_TS)
     if on_duplicate == "latest":
         rows = latest_per_key(rows, keys, [SOURCE_TS, *tiebreak])

@@ -5,8 +5,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from chronodim.plans.session import broadcast_if_small
+from chronodim.plans.session import broadcast_if_small, broadcast_max_rows, has_at_most
+
+
+def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
+                     broadcast_max_rows_: int | None = None) -> DataFrame:
+    """``state FULL OUTER JOIN changes USING (keys)`` (columns: keys, state
+    columns, change columns; names must not overlap outside the keys).
+
+    When ``changes`` is proven small it is computed without moving the state:
+    ``state LEFT JOIN broadcast(changes)`` streams the state once, and the
+    change rows whose key is absent from the state are found by a semi join
+    of the state's key column against the broadcast keys (its result is at
+    most one row per change key, so it is broadcast too).  Otherwise both
+    sides shuffle on the key.
+    """
+    keys = list(keys)
+    limit = broadcast_max_rows(changes.sparkSession) if broadcast_max_rows_ is None else broadcast_max_rows_
+    if not has_at_most(changes, limit):
+        return state.join(changes, keys, "full_outer")
+    change_keys = F.broadcast(changes.select(*keys))
+    known = state.select(*keys).join(change_keys, keys, "left_semi").distinct()
+    fresh = changes.join(F.broadcast(known), keys, "left_anti")
+    left = state.join(F.broadcast(changes), keys, "left")
+    state_cols = [f for f in state.schema.fields if f.name not in keys]
+    fresh = fresh.select(*keys, *[F.lit(None).cast(f.dataType).alias(f.name) for f in state_cols],
+                         *[c for c in changes.columns if c not in keys])
+    return left.unionByName(fresh)
 
 
 def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],

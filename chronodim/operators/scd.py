@@ -34,7 +34,8 @@ from chronodim.constants import (
 from chronodim.functions.keys import uuid5, uuid7, version_seed
 from chronodim.operators.dedupe import latest_per_key
 from chronodim.operators.ingest import audit_time
-from chronodim.operators.watermark import above_watermark
+from chronodim.operators.merge import keyed_outer_join
+from chronodim.operators.watermark import watermark_value
 from chronodim.plans.session import broadcast_if_small
 
 SCD2_DERIVED = (SK, VALID_FROM, VALID_TO, IS_CURRENT, SILVER_CREATED_AT, SOURCE_SYSTEM)
@@ -63,20 +64,28 @@ def is_open(current: str = IS_CURRENT) -> Column:
 
 # --------------------------------------------------------------------- type 1
 def scd1_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str], *,
-               ts: str = SOURCE_TS, run_ts=None, schema_policy: str = "sync_all_columns") -> DataFrame:
+               ts: str = SOURCE_TS, run_ts=None, schema_policy: str = "sync_all_columns",
+               watermark: Column | None = None) -> DataFrame:
     """New type-1 state.
 
     Rows of ``changes`` (bronze rows) above the watermark of ``state`` update
     their key's attributes; the key's ``sk_name`` is kept when the key exists
     and generated (uuid v7) otherwise.  Keys absent from ``changes`` are kept.
 
-    One full outer join of state and changes on the key (one shuffle each);
-    random keys are generated only for rows that need one.  Persist the
-    result before reading it twice, since new keys are random.
+    One outer join of state and changes on the key (``keyed_outer_join``:
+    the state is streamed without a shuffle when the change set is proven
+    small); random keys are generated only for rows that need one.  Persist
+    the result before reading it twice, since new keys are random.
+    ``watermark`` replaces the scan of ``state`` for its latest change time
+    when the caller keeps it.
     """
     keys = list(keys)
     now = audit_time(run_ts)
-    chg = changes if state is None else above_watermark(changes, state, ts, ts)
+    if state is None:
+        chg = changes
+    else:
+        wm = watermark if watermark is not None else watermark_value(state, ts)
+        chg = changes.where(F.col(ts) > wm)
     biz = [c for c in chg.columns if c not in (INGESTED_AT, SOURCE_SYSTEM, SILVER_UPDATED_AT, SK)]
     if state is None:
         return chg.select(uuid7(now).alias(SK), *[F.col(c) for c in biz],
@@ -93,7 +102,7 @@ def scd1_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str],
     b = chg.select(*keys, *_aligned(chg.withColumn(SOURCE_SYSTEM, _source_col(chg)), new_cols, state),
                    F.lit(True).alias("__hit"))
     b = b.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in new_cols], "__hit")
-    j = t.join(b, keys, "full_outer")
+    j = keyed_outer_join(t, b, keys)
     hit = F.col("__hit").isNotNull()
 
     def old(c: str) -> Column:
@@ -192,9 +201,11 @@ def scd2_apply_open(changes: DataFrame, current: DataFrame, keys: Sequence[str],
     open ones.
 
     Plan: the change set is reduced to one row per key (partial aggregate),
-    then one full outer join with the open versions on the key, whose output
-    is expanded to at most two rows per key (closed old, new open).  Both
-    inputs hold at most one row per key, so no key can skew the join.
+    then one outer join with the open versions on the key
+    (``keyed_outer_join``: no shuffle of the open versions when the change
+    set is proven small), whose output is expanded to at most two rows per
+    key (closed old, new open).  Both inputs hold at most one row per key,
+    so no key can skew the join.
     """
     keys = list(keys)
     latest = latest_per_key(changes, keys, [ts])
@@ -202,7 +213,7 @@ def scd2_apply_open(changes: DataFrame, current: DataFrame, keys: Sequence[str],
     cols = list(current.columns)
     t = current.select(*keys, F.struct(*cols).alias("__t"), F.col(ts).alias("__t_ts"))
     b = vers.select(*keys, F.struct(*cols).alias("__b"), F.col(ts).alias("__b_ts"))
-    j = t.join(b, keys, "full_outer")
+    j = keyed_outer_join(t, b, keys)
     has_t = F.col("__t").isNotNull()
     has_b = F.col("__b").isNotNull()
     newer = F.coalesce(F.col("__b_ts") > F.col("__t_ts"), F.lit(False))

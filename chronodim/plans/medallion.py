@@ -12,6 +12,9 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   The type-2 table as of ``n`` is every closed part ``<= n`` plus the open
   part of ``n``; partition filters select them, so closed history is
   written once and never rewritten.
+* ``watermark/_commit_id=n``  one row: latest accepted change time after
+  run ``n`` (equal to the maximum over bronze, which never decreases), so a
+  run filters its input without scanning the state.
 * ``gold/comparison/_commit_id=n``, ``gold/history/_commit_id=n``.
 
 Every run reads only earlier commits and writes only its own folders, so a
@@ -29,7 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from chronodim.constants import COMMIT_ID, COMMITTED_AT, DEFAULT_SOURCE_SYSTEM, IS_CURRENT, OPERATION
+from chronodim.constants import (
+    COMMIT_ID,
+    COMMITTED_AT,
+    DEFAULT_SOURCE_SYSTEM,
+    EMPTY_WATERMARK,
+    IS_CURRENT,
+    OPERATION,
+    SOURCE_TS,
+)
 from chronodim.operators.changelog import as_of_version, commit_log, log_entries
 from chronodim.operators.gold import compare_dimensions, version_history
 from chronodim.operators.ingest import accepted_changes
@@ -123,6 +134,10 @@ class DimensionStore:
         """Bronze rebuilt from the change log as of commit ``v``."""
         return as_of_version(self.log(), self._version(v), self.keys)
 
+    def watermark(self, v: int | None = None) -> DataFrame:
+        """One row ``watermark``: the latest accepted change time."""
+        return self._snapshot("watermark", v)
+
     def gold_comparison(self, v: int | None = None) -> DataFrame:
         return self._snapshot("gold_comparison", v)
 
@@ -136,9 +151,10 @@ class DimensionStore:
         first = n == 0
         run_ts = run_ts or _now_text()
         prev_bronze = None if first else self.bronze()
+        prev_wm = None if first else self.watermark().scalar()
 
         chg = accepted_changes(raw, prev_bronze, self.keys, self.ts, tiebreak=self.tiebreak, casts=self.casts,
-                               source_system=self.source_system, run_ts=run_ts)
+                               source_system=self.source_system, run_ts=run_ts, watermark=prev_wm)
         if prev_bronze is not None:
             prev_bronze, chg = evolve(prev_bronze, chg, self.bronze_policy)
 
@@ -146,6 +162,12 @@ class DimensionStore:
         self._write(log_entries(chg, n, first=first, committed_at=run_ts).drop(COMMIT_ID), "changes", n)
         delta = self.spark.read.schema(self._schema["changes"]).parquet(self._dir("changes", n)) \
             .drop(COMMITTED_AT, OPERATION)
+        latest = delta.select(F.col(SOURCE_TS).alias("watermark"))
+        if not first:
+            latest = latest.unionByName(self.watermark())
+        ts_type = delta.schema[SOURCE_TS].dataType
+        self._write(latest.agg(F.coalesce(F.max("watermark"), F.lit(EMPTY_WATERMARK).cast(ts_type))
+                               .alias("watermark")), "watermark", n)
 
         # 2. bronze: upsert by key
         bronze = delta if first else upsert(prev_bronze, delta, self.keys)
@@ -153,7 +175,7 @@ class DimensionStore:
 
         # 3. type 1: keys kept for known entities, new uuid v7 otherwise
         scd1 = scd1_apply(delta, None if first else self.scd1(), self.keys, run_ts=run_ts,
-                          schema_policy=self.scd1_policy)
+                          schema_policy=self.scd1_policy, watermark=prev_wm)
         self._write(scd1, "scd1", n)
 
         # 4. type 2: closed versions of this run + every open version

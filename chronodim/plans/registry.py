@@ -72,7 +72,7 @@ def build(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> DimensionStore:
         store = DimensionStore(spark, new_run_dir(spark, spec.name), spec.keys, spec.ts,
                                tiebreak=spec.tiebreak, attrs=spec.attrs)
         for n in range(spec.n_batches):
-            store.apply(feed_batch(feed, n), spec.run_times[n])
+            store.apply(feed_batch(feed, n, spec), spec.run_times[n])
         _BUILDS[key] = store
     return _BUILDS[key]
 
@@ -88,7 +88,7 @@ def _ntz(c: str) -> F.Column:
 # ------------------------------------------------------------------ ingest
 def q_bronze_ingest(spark, sf):
     feed = read_feed(spark, sf, EVENTS)
-    return _no_audit(bronze_ingest(feed_batch(feed, 0), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0]))
+    return _no_audit(bronze_ingest(feed_batch(feed, 0, EVENTS), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0]))
 
 
 def q_seed_load(spark, sf):
@@ -110,7 +110,7 @@ def q_high_watermark(spark, sf):
 def q_watermark_filter(spark, sf):
     st = build(spark, sf, ORDERS)
     feed = read_feed(spark, sf, ORDERS)
-    return above_watermark(feed_batch(feed, 1), st.bronze(0), ts=ORDERS.ts, state_ts=SOURCE_TS)
+    return above_watermark(feed_batch(feed, 1, ORDERS), st.bronze(0), ts=ORDERS.ts, state_ts=SOURCE_TS)
 
 
 def q_late_rows(spark, sf):
@@ -118,7 +118,7 @@ def q_late_rows(spark, sf):
     feed = read_feed(spark, sf, ORDERS)
     out = None
     for n in range(1, st.version + 1):
-        part = late_rows(feed_batch(feed, n), st.bronze(n - 1), ts=ORDERS.ts, state_ts=SOURCE_TS) \
+        part = late_rows(feed_batch(feed, n, ORDERS), st.bronze(n - 1), ts=ORDERS.ts, state_ts=SOURCE_TS) \
             .withColumn("batch", F.lit(n).cast("long"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -267,8 +267,8 @@ def _schema_case(spark, sf, policy):
     """Batch 0 arrives without ``props``; batch 1 adds ``props`` and drops
     ``value``.  The upserted table follows ``policy``."""
     feed = read_feed(spark, sf, EVENTS)
-    st0 = bronze_ingest(feed_batch(feed, 0).drop("props"), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0])
-    chg = accepted_changes(feed_batch(feed, 1).drop("value"), st0, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[1])
+    st0 = bronze_ingest(feed_batch(feed, 0, EVENTS).drop("props"), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0])
+    chg = accepted_changes(feed_batch(feed, 1, EVENTS).drop("value"), st0, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[1])
     s, c = evolve(st0, chg, policy)
     return _no_audit(upsert(s, c, EVENTS.keys))
 

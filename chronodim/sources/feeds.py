@@ -45,12 +45,39 @@ class FeedSpec:
             p = F.when(cond, F.lit(i)) if p is None else p.when(cond, F.lit(i))
         return p.otherwise(F.lit(len(self.bounds)))
 
+    def late(self) -> Column:
+        return F.col(self.tiebreak[0]) % F.lit(self.late_every) == 0
+
     def batch(self) -> Column:
         if not self.late_every:
             return self.period()
-        late = F.when(F.col(self.tiebreak[0]) % F.lit(self.late_every) == 0, F.lit(1)).otherwise(F.lit(0))
+        late = F.when(self.late(), F.lit(1)).otherwise(F.lit(0))
         return F.least(F.lit(self.n_batches - 1), self.period() + late)
 
+    def in_period(self, p: int) -> Column:
+        """``period() == p`` as a range on the change time (pushable)."""
+        lo = F.lit(self.bounds[p - 1]).cast("timestamp_ntz") if p > 0 else None
+        hi = F.lit(self.bounds[p]).cast("timestamp_ntz") if p < len(self.bounds) else None
+        cond = None
+        if lo is not None:
+            cond = F.col(self.ts) >= lo
+        if hi is not None:
+            cond = (F.col(self.ts) < hi) if cond is None else cond & (F.col(self.ts) < hi)
+        return cond if cond is not None else F.col(self.ts).isNotNull() | F.col(self.ts).isNull()
+
+    def in_batch(self, n: int) -> Column:
+        """``batch() == n`` written as time ranges, so the scan of each run
+        reads only the row groups (or partitions) of its periods."""
+        if not self.late_every:
+            return self.in_period(n)
+        last = self.n_batches - 1
+        cond = self.in_period(n) & ~self.late()
+        if n > 0:
+            cond = cond | (self.in_period(n - 1) & self.late())
+        if n == last:
+            cond = cond | (self.in_period(n) & self.late())
+        return cond
+
 
 EVENTS = FeedSpec(
     name="events", table="events", keys=("user_id",), ts="ts", tiebreak=(),
@@ -79,6 +106,9 @@ def read_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> DataFrame:
     return read_table(spark, sf_dir, spec.table).withColumn(BATCH, spec.batch())
 
 
-def feed_batch(feed: DataFrame, n: int) -> DataFrame:
-    """Raw rows arriving in batch ``n``."""
+def feed_batch(feed: DataFrame, n: int, spec: FeedSpec | None = None) -> DataFrame:
+    """Raw rows arriving in batch ``n``.  With ``spec`` the filter is the
+    pushable time-range form of the batch number."""
+    if spec is not None:
+        return feed.where(spec.in_batch(n)).drop(BATCH)
     return feed.where(F.col(BATCH) == F.lit(n)).drop(BATCH)
