@@ -11,7 +11,7 @@ from chronodim.plans.session import broadcast_if_small, broadcast_max_rows, has_
 
 
 def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
-                     broadcast_max_rows_: int | None = None) -> DataFrame:
+                     broadcast_max_rows_: int | None = None, small: bool | None = None) -> DataFrame:
     """``state FULL OUTER JOIN changes USING (keys)`` (columns: keys, state
     columns, change columns; names must not overlap outside the keys).
 
@@ -20,11 +20,14 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     change rows whose key is absent from the state are found by a semi join
     of the state's key column against the broadcast keys (its result is at
     most one row per change key, so it is broadcast too).  Otherwise both
-    sides shuffle on the key.
+    sides shuffle on the key.  ``small`` passes a size decision the caller
+    already made (one check per run instead of one per operator).
     """
     keys = list(keys)
-    limit = broadcast_max_rows(changes.sparkSession) if broadcast_max_rows_ is None else broadcast_max_rows_
-    if not has_at_most(changes, limit):
+    if small is None:
+        limit = broadcast_max_rows(changes.sparkSession) if broadcast_max_rows_ is None else broadcast_max_rows_
+        small = has_at_most(changes, limit)
+    if not small:
         return state.join(changes, keys, "full_outer")
     change_keys = F.broadcast(changes.select(*keys))
     known = state.select(*keys).join(change_keys, keys, "left_semi").distinct()
@@ -37,7 +40,7 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
 
 
 def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],
-           broadcast_max_rows: int | None = None) -> DataFrame:
+           broadcast_max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Replace the rows of ``state`` whose key appears in ``changes`` and insert
     the new keys: ``state LEFT ANTI JOIN changes.keys UNION ALL changes``.
 
@@ -48,6 +51,9 @@ def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     the key (AQE splits skewed state partitions).
     """
     keys = list(keys)
-    changed_keys = broadcast_if_small(changes.select(*keys), broadcast_max_rows)
+    if small is None:
+        changed_keys = broadcast_if_small(changes.select(*keys), broadcast_max_rows)
+    else:
+        changed_keys = F.broadcast(changes.select(*keys)) if small else changes.select(*keys)
     kept = state.join(changed_keys, keys, "left_anti")
     return kept.unionByName(changes.select(*state.columns))

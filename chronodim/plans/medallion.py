@@ -15,7 +15,11 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
 * ``watermark/_commit_id=n``  one row: latest accepted change time after
   run ``n`` (equal to the maximum over bronze, which never decreases), so a
   run filters its input without scanning the state.
-* ``gold/comparison/_commit_id=n``, ``gold/history/_commit_id=n``.
+* ``gold_comparison/_commit_id=n``  comparison mart rebuilt by run ``n``.
+* ``gold_history/_commit_id=n/is_current=...``  history mart in the same
+  closed/open layout as type 2: a closed version's history row is final
+  when it closes, so each run adds only its closed rows and rewrites the
+  open ones (range-clustered on key and start for file skipping).
 
 Every run reads only earlier commits and writes only its own folders, so a
 failed run can be repeated (writes overwrite the run's own folders) and no
@@ -40,14 +44,16 @@ from chronodim.constants import (
     IS_CURRENT,
     OPERATION,
     SOURCE_TS,
+    VALID_FROM,
 )
 from chronodim.operators.changelog import as_of_version, commit_log, log_entries
 from chronodim.operators.gold import compare_dimensions, version_history
 from chronodim.operators.ingest import accepted_changes
+from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_versions
-from chronodim.plans.session import apply_session_defaults
+from chronodim.plans.session import apply_session_defaults, broadcast_max_rows, has_at_most
 
 
 def _now_text() -> str:
@@ -73,6 +79,7 @@ class DimensionStore:
         self.bronze_policy = bronze_policy
         self.scd1_policy = scd1_policy
         self.version = -1
+        self._gold_upto = -1
         self._schema: dict[str, StructType] = {}
 
     # ------------------------------------------------------------ locations
@@ -108,19 +115,33 @@ class DimensionStore:
     def scd1(self, v: int | None = None) -> DataFrame:
         return self._snapshot("scd1", v)
 
-    def scd2(self, v: int | None = None) -> DataFrame:
-        """Type-2 table as of commit ``v`` (default latest)."""
-        v = self._version(v)
-        cols = [f.name for f in self._schema["scd2"].fields]
-        allv = self._partitioned("scd2", [StructField(COMMIT_ID, LongType()), StructField(IS_CURRENT, BooleanType())])
+    def _closed_open(self, table: str, v: int) -> DataFrame:
+        """Table in the closed/open layout as of commit ``v``: closed parts of
+        commits ``<= v`` and the open part of ``v`` (partition filters)."""
+        cols = [f.name for f in self._schema[table].fields]
+        allv = self._partitioned(table, [StructField(COMMIT_ID, LongType()), StructField(IS_CURRENT, BooleanType())])
         live = ((F.col(COMMIT_ID) <= F.lit(v)) & ~F.col(IS_CURRENT)) | ((F.col(COMMIT_ID) == F.lit(v)) & F.col(IS_CURRENT))
         return allv.where(live).select(*cols)
 
+    def _commit_part(self, table: str, v: int, current: bool | None = None) -> DataFrame:
+        """Rows written by commit ``v`` to a closed/open table (lists only that
+        commit's folder)."""
+        cols = [f.name for f in self._schema[table].fields]
+        data = [f for f in self._schema[table].fields if f.name != IS_CURRENT]
+        schema = StructType([*data, StructField(IS_CURRENT, BooleanType())])
+        d = self._dir(table, v)
+        part = self.spark.read.schema(schema).option("basePath", d).parquet(d)
+        if current is not None:
+            part = part.where(F.col(IS_CURRENT) == F.lit(current))
+        return part.select(*cols)
+
+    def scd2(self, v: int | None = None) -> DataFrame:
+        """Type-2 table as of commit ``v`` (default latest)."""
+        return self._closed_open("scd2", self._version(v))
+
     def scd2_current(self, v: int | None = None) -> DataFrame:
-        v = self._version(v)
-        cols = [f.name for f in self._schema["scd2"].fields]
-        allv = self._partitioned("scd2", [StructField(COMMIT_ID, LongType()), StructField(IS_CURRENT, BooleanType())])
-        return allv.where((F.col(COMMIT_ID) == F.lit(v)) & F.col(IS_CURRENT)).select(*cols)
+        """Open versions as of commit ``v``."""
+        return self._commit_part("scd2", self._version(v), current=True)
 
     def log(self) -> DataFrame:
         """The change log: accepted rows with ``_commit_id``,
@@ -142,7 +163,20 @@ class DimensionStore:
         return self._snapshot("gold_comparison", v)
 
     def gold_history(self, v: int | None = None) -> DataFrame:
-        return self._snapshot("gold_history", v)
+        return self._closed_open("gold_history", self._version(v))
+
+    def register_views(self, names: Mapping[str, str] | None = None) -> dict[str, str]:
+        """Temporary views over the latest tables, so SQL reports run
+        unchanged (``SELECT ... FROM silver_scd2 WHERE is_current``)."""
+        names = dict(names or {"bronze": "bronze", "scd1": "silver_scd1", "scd2": "silver_scd2",
+                               "gold_comparison": "gold_comparison", "gold_history": "gold_history",
+                               "log": "change_log", "commits": "snapshots"})
+        readers = {"bronze": self.bronze, "scd1": self.scd1, "scd2": self.scd2,
+                   "gold_comparison": self.gold_comparison, "gold_history": self.gold_history,
+                   "log": self.log, "commits": self.commits}
+        for table, view in names.items():
+            readers[table]().createOrReplaceTempView(view)
+        return names
 
     # ---------------------------------------------------------------- runs
     def apply(self, raw: DataFrame, run_ts: str | None = None, *, build_gold: bool = True) -> int:
@@ -169,20 +203,25 @@ class DimensionStore:
         self._write(latest.agg(F.coalesce(F.max("watermark"), F.lit(EMPTY_WATERMARK).cast(ts_type))
                                .alias("watermark")), "watermark", n)
 
+        # one size decision per run: a change set proven small is broadcast
+        # and the state tables are streamed without a shuffle
+        small = None if first else has_at_most(delta, broadcast_max_rows(self.spark))
+
         # 2. bronze: upsert by key
-        bronze = delta if first else upsert(prev_bronze, delta, self.keys)
+        bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small)
         self._write(bronze, "bronze", n)
 
         # 3. type 1: keys kept for known entities, new uuid v7 otherwise
         scd1 = scd1_apply(delta, None if first else self.scd1(), self.keys, run_ts=run_ts,
-                          schema_policy=self.scd1_policy, watermark=prev_wm)
+                          schema_policy=self.scd1_policy, watermark=prev_wm, changes_small=small)
         self._write(scd1, "scd1", n)
 
         # 4. type 2: closed versions of this run + every open version
         if first:
             scd2_delta = scd2_versions(delta, self.keys, run_ts=run_ts)
         else:
-            scd2_delta = scd2_apply_open(delta, self.scd2_current(), self.keys, run_ts=run_ts)
+            scd2_delta = scd2_apply_open(delta, self.scd2_current(), self.keys, run_ts=run_ts,
+                                         changes_small=small)
         self._write(scd2_delta, "scd2", n, partition_by=[IS_CURRENT])
         self.version = n
 
@@ -191,10 +230,14 @@ class DimensionStore:
         return n
 
     def build_gold(self, run_ts: str | None = None) -> None:
-        """Rebuild both gold marts from the latest silver tables."""
+        """Rebuild the comparison mart; add the history rows of every commit
+        not yet in the history mart."""
         n = self.version
         run_ts = run_ts or _now_text()
-        scd2 = self.scd2()
-        self._write(compare_dimensions(self.scd1(), scd2, self.keys, self.attrs, run_ts=run_ts),
+        self._write(compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts),
                     "gold_comparison", n)
-        self._write(version_history(scd2, self.keys, run_ts=run_ts), "gold_history", n)
+        for v in range(self._gold_upto + 1, n + 1):
+            part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
+            part = cluster_by_range(part, [*self.keys, VALID_FROM])
+            self._write(part, "gold_history", v, partition_by=[IS_CURRENT])
+        self._gold_upto = n

@@ -99,3 +99,29 @@ def test_rerun_is_noop(store):
     assert store.log().where("_commit_id = 2").count() == 0
     assert {tuple(r) for r in store.scd2().drop("_silver_created_at").collect()} == before
     assert store.bronze().count() == 6 and store.scd1().count() == 6
+
+
+def test_sql_reports_over_views(spark, store):
+    store.apply(store._raw1, "2025-06-02 00:00:00")
+    store.register_views()
+    r = spark.sql("""
+        SELECT sk_name, center_cd, center_name, status, valid_from_sk, valid_to
+        FROM silver_scd2
+        WHERE center_cd = 'cd004'
+          AND valid_from_sk <= TIMESTAMP'2024-06-01 00:00:00'
+          AND (valid_to IS NULL OR valid_to > TIMESTAMP'2024-06-01 00:00:00')""").collect()
+    assert [x.sk_name for x in r] == ["a0ba9f85-005a-5ddb-b76d-2749f4bb969a"]
+    cur = spark.sql("SELECT center_cd FROM silver_scd2 WHERE is_current = true ORDER BY center_cd").collect()
+    assert [x.center_cd for x in cur] == ["cd001", "cd002", "cd003", "cd004", "cd005", "cd006"]
+    snaps = spark.sql("SELECT snapshot_id, operation FROM snapshots ORDER BY committed_at").collect()
+    assert [(s.snapshot_id, s.operation) for s in snaps] == [(0, "append"), (1, "overwrite")]
+    g = spark.sql("SELECT center_cd, has_history FROM gold_comparison WHERE has_history ORDER BY center_cd")
+    assert [x.center_cd for x in g.collect()] == ["cd003", "cd004"]
+
+
+def test_stored_watermark_equals_bronze_max(store):
+    from chronodim.operators.watermark import high_watermark
+
+    store.apply(store._raw1, "2025-06-02 00:00:00")
+    for v in (0, 1):
+        assert store.watermark(v).first().watermark == high_watermark(store.bronze(v)).first().watermark
