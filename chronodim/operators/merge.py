@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronodim.plans.session import broadcast_if_small, broadcast_max_rows, has_at_most
+from chronodim.plans.session import broadcast_if_small, fits_broadcast
 
 
 def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
@@ -15,7 +15,8 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     """``state FULL OUTER JOIN changes USING (keys)`` (columns: keys, state
     columns, change columns; names must not overlap outside the keys).
 
-    When ``changes`` is proven small it is computed without moving the state:
+    When ``changes`` is proven small (rows and measured bytes, see
+    ``fits_broadcast``) it is computed without moving the state:
     ``state LEFT JOIN broadcast(changes)`` streams the state once, and the
     change rows whose key is absent from the state are found by a semi join
     of the state's key column against the broadcast keys (its result is at
@@ -25,8 +26,7 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if small is None:
-        limit = broadcast_max_rows(changes.sparkSession) if broadcast_max_rows_ is None else broadcast_max_rows_
-        small = has_at_most(changes, limit)
+        small = fits_broadcast(changes, broadcast_max_rows_)
     if not small:
         return state.join(changes, keys, "full_outer")
     change_keys = F.broadcast(changes.select(*keys))

@@ -53,7 +53,7 @@ from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_versions
-from chronodim.plans.session import apply_session_defaults, broadcast_max_rows, has_at_most
+from chronodim.plans.session import apply_session_defaults, fits_broadcast
 
 
 def _now_text() -> str:
@@ -205,7 +205,7 @@ class DimensionStore:
 
         # one size decision per run: a change set proven small is broadcast
         # and the state tables are streamed without a shuffle
-        small = None if first else has_at_most(delta, broadcast_max_rows(self.spark))
+        small = None if first else fits_broadcast(delta)
 
         # 2. bronze: upsert by key
         bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small)

@@ -300,7 +300,8 @@ def q_uuid7_properties(spark, sf):
     run = dt.datetime.fromisoformat(UUID7_RUN_TS).replace(tzinfo=dt.timezone.utc)
     ms_hex = f"{int(run.timestamp() * 1000):012x}"
     prefix = f"{ms_hex[:8]}-{ms_hex[8:]}"
-    k = read_table(spark, sf, "orders").select(uuid7(F.lit(UUID7_RUN_TS).cast("timestamp")).alias("k"))
+    run_instant = F.timestamp_millis(F.lit(int(run.timestamp() * 1000)))  # zone-independent
+    k = read_table(spark, sf, "orders").select(uuid7(run_instant).alias("k"))
     return k.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("k").alias("n_distinct"),
@@ -329,6 +330,16 @@ def q_check_unique(spark, sf):
     return out
 
 
+def _pinned(q: Query) -> Query:
+    """Run ``q`` under the session settings results depend on (UTC)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_session_defaults(spark)
+        return q(spark, sf_dir)
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "bronze_ingest": q_bronze_ingest,
     "seed_load": q_seed_load,
@@ -367,3 +378,4 @@ QUERIES: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
 }
+QUERIES = {k: _pinned(v) for k, v in QUERIES.items()}

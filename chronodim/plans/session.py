@@ -19,9 +19,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Upper bound on rows of a side the engine broadcasts (keys of a change set).
+# Upper bounds on a side the engine broadcasts (a change set): rows and
+# measured bytes.  State tables are never broadcast.
 BROADCAST_MAX_ROWS_CONF = "chronodim.broadcast.maxRows"
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES_CONF = "chronodim.broadcast.maxBytes"
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 def build_session(master: str | None = None, app_name: str = "chronodim",
@@ -101,14 +104,33 @@ def broadcast_max_rows(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
 
 
+def broadcast_max_bytes(spark: SparkSession) -> int:
+    v = spark.conf.get(BROADCAST_MAX_BYTES_CONF, None)
+    return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Each task reads at most
     ``max_rows + 1`` rows, so the check stays cheap on a huge input."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint for ``df`` only when its row count is proven small;
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` is proven small enough to broadcast: at most
+    ``max_rows`` rows and at most ``max_bytes`` of row text (JSON length of
+    each row, a measured proxy for its in-memory size).  One job that reads
+    at most ``max_rows + 1`` rows, returning two numbers to the driver."""
+    spark = df.sparkSession
+    max_rows = broadcast_max_rows(spark) if max_rows is None else max_rows
+    max_bytes = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("b"))
+    r = probe.first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint for ``df`` only when its size is proven small;
     otherwise the plain frame (shuffle join, AQE may still convert)."""
-    limit = broadcast_max_rows(df.sparkSession) if max_rows is None else max_rows
-    return F.broadcast(df) if has_at_most(df, limit) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

@@ -64,4 +64,23 @@ def test_latest_per_key_is_partial_aggregate(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     p = plan(latest_per_key(ev, ["user_id"], ["ts"]))
     assert "partial_max" in p and "Window" not in p
-    assert F is not None
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from chronodim.plans.session import fits_broadcast
+
+    narrow = spark.range(100).select("id")
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("blob"))
+    assert fits_broadcast(narrow, max_rows=100, max_bytes=10_000)
+    assert not fits_broadcast(narrow, max_rows=99, max_bytes=10_000)
+    assert not fits_broadcast(wide, max_rows=100, max_bytes=100_000)
+
+
+def test_queries_pin_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Mexico_City")
+    try:
+        r = registry.QUERIES["uuid7_properties"](spark, SF).first()
+        assert r.n_time_prefix == r.n_rows
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
