@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,29 @@ def to_bronze_rows(raw: DataFrame, ts: str, *, casts: Mapping[str, str] | None =
     )
 
 
+def _typed_columns(raw: DataFrame, ts: str, casts: Mapping[str, str]) -> dict[str, str]:
+    """Text columns the bronze projection casts, with their target type."""
+    out = {c: t for c, t in casts.items() if c in raw.columns}
+    if ts in raw.columns and not isinstance(raw.schema[ts].dataType, (TimestampType, TimestampNTZType)):
+        out.setdefault(ts, "timestamp")
+    return out
+
+
+def split_bad_casts(raw: DataFrame, ts: str, casts: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)``: rows whose typed columns all parse, and rows where some
+    non-NULL value does not (``try_cast`` gives NULL), with the failing
+    column names in ``_bad_columns``.  Lets a run quarantine malformed source
+    rows instead of failing on an ANSI cast error."""
+    typed = _typed_columns(raw, ts, dict(casts or {}))
+    if not typed:
+        return raw, raw.limit(0).withColumn("_bad_columns", F.array().cast("array<string>"))
+    fails = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in typed.items()}
+    any_bad = reduce(lambda a, b: a | b, fails.values())
+    bad = raw.where(any_bad).withColumn(
+        "_bad_columns", F.filter(F.array(*[F.when(f, F.lit(c)) for c, f in fails.items()]), lambda x: x.isNotNull()))
+    return raw.where(~any_bad), bad
+
+
 def accepted_changes(raw: DataFrame, state: DataFrame | None, keys: Sequence[str], ts: str, *,
                      tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                      source_system: str = DEFAULT_SOURCE_SYSTEM, run_ts: str | Column | None = None,

@@ -15,6 +15,12 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
 * ``watermark/_commit_id=n``  one row: latest accepted change time after
   run ``n`` (equal to the maximum over bronze, which never decreases), so a
   run filters its input without scanning the state.
+* ``quarantine/_commit_id=n``  raw rows whose typed columns did not parse
+  (only with ``on_bad_cast="quarantine"``; otherwise a bad value fails the
+  run, as an ANSI cast does).
+* ``meta/_commit_id=n``  one row of JSON: store settings and table schemas,
+  written last, so a commit is visible only once it is complete and
+  ``DimensionStore.open`` can resume after a driver restart.
 * ``gold_comparison/_commit_id=n``  comparison mart rebuilt by run ``n``.
 * ``gold_history/_commit_id=n/is_current=...``  history mart in the same
   closed/open layout as type 2: a closed version's history row is final
@@ -30,6 +36,7 @@ before its next use, which cuts lineage and fixes random type-1 keys.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +55,7 @@ from chronodim.constants import (
 )
 from chronodim.operators.changelog import as_of_version, commit_log, log_entries
 from chronodim.operators.gold import compare_dimensions, version_history
-from chronodim.operators.ingest import accepted_changes
+from chronodim.operators.ingest import accepted_changes, split_bad_casts
 from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
@@ -66,7 +73,10 @@ class DimensionStore:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], ts: str, *,
                  tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                  source_system: str = DEFAULT_SOURCE_SYSTEM, attrs: Sequence[str] = (),
-                 bronze_policy: str = "sync_all_columns", scd1_policy: str = "sync_all_columns"):
+                 bronze_policy: str = "sync_all_columns", scd1_policy: str = "sync_all_columns",
+                 on_bad_cast: str = "fail"):
+        if on_bad_cast not in ("fail", "quarantine"):
+            raise ValueError(f"unknown on_bad_cast {on_bad_cast!r}")
         apply_session_defaults(spark)
         self.spark = spark
         self.root = root.rstrip("/")
@@ -78,6 +88,7 @@ class DimensionStore:
         self.attrs = list(attrs)
         self.bronze_policy = bronze_policy
         self.scd1_policy = scd1_policy
+        self.on_bad_cast = on_bad_cast
         self.version = -1
         self._gold_upto = -1
         self._schema: dict[str, StructType] = {}
@@ -145,8 +156,43 @@ class DimensionStore:
 
     def log(self) -> DataFrame:
         """The change log: accepted rows with ``_commit_id``,
-        ``_committed_at`` and ``_operation``."""
-        return self._partitioned("changes", [StructField(COMMIT_ID, LongType())])
+        ``_committed_at`` and ``_operation`` (complete commits only)."""
+        log = self._partitioned("changes", [StructField(COMMIT_ID, LongType())])
+        return log.where(F.col(COMMIT_ID) <= F.lit(self.version))
+
+    def quarantine(self) -> DataFrame:
+        """Raw rows set aside because a typed column did not parse."""
+        if "quarantine" not in self._schema:
+            raise ValueError("no quarantined rows: the store was not run with on_bad_cast='quarantine'")
+        q = self._partitioned("quarantine", [StructField(COMMIT_ID, LongType())])
+        return q.where(F.col(COMMIT_ID) <= F.lit(self.version))
+
+    # ------------------------------------------------------------ metadata
+    _SETTINGS = ("keys", "ts", "tiebreak", "casts", "source_system", "attrs", "bronze_policy",
+                 "scd1_policy", "on_bad_cast")
+
+    def _write_meta(self, n: int) -> None:
+        meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
+                "schemas": {t: s.json() for t, s in self._schema.items()},
+                "gold_upto": self._gold_upto}
+        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+            .write.mode("overwrite").parquet(self._dir("meta", n))
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> "DimensionStore":
+        """Reopen a store from its folder at its latest complete commit."""
+        root = root.rstrip("/")
+        metas = spark.read.schema(f"meta string, {COMMIT_ID} long").option("basePath", f"{root}/meta") \
+            .parquet(f"{root}/meta")
+        last = metas.orderBy(F.col(COMMIT_ID).desc()).limit(1).first()
+        if last is None:
+            raise ValueError(f"no complete commit under {root}")
+        meta = json.loads(last["meta"])
+        store = cls(spark, root, **meta["settings"])
+        store._schema = {t: StructType.fromJson(json.loads(s)) for t, s in meta["schemas"].items()}
+        store.version = int(last[COMMIT_ID])
+        store._gold_upto = int(meta["gold_upto"])
+        return store
 
     def commits(self) -> DataFrame:
         return commit_log(self.log().where(F.col(COMMIT_ID) <= F.lit(self.version)))
@@ -187,6 +233,9 @@ class DimensionStore:
         prev_bronze = None if first else self.bronze()
         prev_wm = None if first else self.watermark().scalar()
 
+        if self.on_bad_cast == "quarantine":
+            raw, bad = split_bad_casts(raw, self.ts, self.casts)
+            self._write(bad, "quarantine", n)
         chg = accepted_changes(raw, prev_bronze, self.keys, self.ts, tiebreak=self.tiebreak, casts=self.casts,
                                source_system=self.source_system, run_ts=run_ts, watermark=prev_wm)
         if prev_bronze is not None:
@@ -226,12 +275,17 @@ class DimensionStore:
         self.version = n
 
         if build_gold:
-            self.build_gold(run_ts)
+            self._build_gold(run_ts)
+        self._write_meta(n)
         return n
 
     def build_gold(self, run_ts: str | None = None) -> None:
         """Rebuild the comparison mart; add the history rows of every commit
         not yet in the history mart."""
+        self._build_gold(run_ts)
+        self._write_meta(self.version)
+
+    def _build_gold(self, run_ts: str | None) -> None:
         n = self.version
         run_ts = run_ts or _now_text()
         self._write(compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts),

@@ -154,3 +154,37 @@ def test_empty_change_set(spark):
     st.apply(rows(spark, []), "2024-01-02 01:00:00")
     assert st.bronze().count() == 1 and st.scd1().count() == 1 and st.scd2().count() == 1
     assert st.version == 1 and st.log().count() == 1
+
+
+def test_quarantine_bad_casts(spark):
+    raw = spark.createDataFrame([("a", "x", "2024-01-01", "2024-01-01 10:00:00"),
+                                 ("b", "y", "not a date", "2024-01-01 10:00:00"),
+                                 ("c", "z", "2024-01-02", "yesterday")],
+                                "k string, name string, d string, t string")
+    st = DimensionStore(spark, new_run_dir(spark, "quar"), ["k"], "t", casts={"d": "date"},
+                        on_bad_cast="quarantine")
+    st.apply(raw, "2024-01-03 00:00:00")
+    assert table(st.bronze(), "k") == [("a",)]
+    q = {r.k: list(r._bad_columns) for r in st.quarantine().collect()}
+    assert q == {"b": ["d"], "c": ["t"]}
+    strict = DimensionStore(spark, new_run_dir(spark, "strict"), ["k"], "t", casts={"d": "date"})
+    with pytest.raises(Exception):
+        strict.apply(raw, "2024-01-03 00:00:00")
+
+
+def test_store_reopens_from_folder(spark):
+    root = new_run_dir(spark, "reopen")
+    st = DimensionStore(spark, root, ["k"], "t", attrs=["name"])
+    st.apply(rows(spark, [("a", "x", "2024-01-01 00:00:00"), ("b", "y", "2024-01-01 00:00:00")]),
+             "2024-01-01 01:00:00")
+    st.apply(rows(spark, [("a", "x2", "2024-01-02 00:00:00")]), "2024-01-02 01:00:00")
+    again = DimensionStore.open(spark, root)
+    assert again.version == 1 and again.keys == ["k"] and again.attrs == ["name"]
+    again.apply(rows(spark, [("b", "y2", "2024-01-03 00:00:00"), ("a", "old", "2023-12-01 00:00:00")]),
+                "2024-01-03 01:00:00")
+    assert table(again.scd2(), "k", "name", "is_current") == [
+        ("a", "x", False), ("a", "x2", True), ("b", "y", False), ("b", "y2", True)]
+    assert again.log().count() == 4
+    st.apply(rows(spark, [("b", "y2", "2024-01-03 00:00:00")]), "2024-01-03 01:00:00")
+    cols = ["sk_name", "k", "name", "valid_from_sk", "valid_to", "is_current"]
+    assert table(st.scd2(), *cols) == table(again.scd2(), *cols)
