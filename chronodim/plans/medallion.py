@@ -21,7 +21,8 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
 * ``meta/_commit_id=n``  one row of JSON: store settings and table schemas,
   written last, so a commit is visible only once it is complete and
   ``DimensionStore.open`` can resume after a driver restart.
-* ``gold_comparison/_commit_id=n``  comparison mart rebuilt by run ``n``.
+* ``gold_comparison/_commit_id=n``  comparison mart after run ``n``: built
+  in full once, then refreshed for the keys each run changed.
 * ``gold_history/_commit_id=n/is_current=...``  history mart in the same
   closed/open layout as type 2: a closed version's history row is final
   when it closes, so each run adds only its closed rows and rewrites the
@@ -54,7 +55,7 @@ from chronodim.constants import (
     VALID_FROM,
 )
 from chronodim.operators.changelog import as_of_version, commit_log, log_entries
-from chronodim.operators.gold import compare_dimensions, version_history
+from chronodim.operators.gold import compare_dimensions, refresh_comparison, version_history
 from chronodim.operators.ingest import accepted_changes, split_bad_casts
 from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
@@ -275,7 +276,7 @@ class DimensionStore:
         self.version = n
 
         if build_gold:
-            self._build_gold(run_ts)
+            self._build_gold(run_ts, small)
         self._write_meta(n)
         return n
 
@@ -285,11 +286,19 @@ class DimensionStore:
         self._build_gold(run_ts)
         self._write_meta(self.version)
 
-    def _build_gold(self, run_ts: str | None) -> None:
+    def _build_gold(self, run_ts: str | None, small: bool | None = None) -> None:
         n = self.version
         run_ts = run_ts or _now_text()
-        self._write(compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts),
-                    "gold_comparison", n)
+        if self._gold_upto < 0:
+            comparison = compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts)
+        else:
+            # only keys changed since the last build can change: no scan of closed history
+            changed = self.log().where(F.col(COMMIT_ID) > F.lit(self._gold_upto)).select(*self.keys)
+            if small is None or self._gold_upto != n - 1:
+                small = fits_broadcast(changed)
+            comparison = refresh_comparison(self.gold_comparison(self._gold_upto), self.scd1(), self.scd2_current(),
+                                            changed, self.keys, self.attrs, run_ts=run_ts, changes_small=small)
+        self._write(comparison, "gold_comparison", n)
         for v in range(self._gold_upto + 1, n + 1):
             part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
             part = cluster_by_range(part, [*self.keys, VALID_FROM])

@@ -125,3 +125,12 @@ def test_stored_watermark_equals_bronze_max(store):
     store.apply(store._raw1, "2025-06-02 00:00:00")
     for v in (0, 1):
         assert store.watermark(v).first().watermark == high_watermark(store.bronze(v)).first().watermark
+
+
+def test_refreshed_comparison_equals_full_rebuild(spark, store):
+    from chronodim.operators.gold import compare_dimensions
+
+    store.apply(store._raw1, "2025-06-02 00:00:00")
+    full = compare_dimensions(store.scd1(), store.scd2(), ["center_cd"], ["center_name", "status"])
+    cols = [c for c in full.columns if c != "_gold_created_at"]
+    assert sorted(store.gold_comparison().select(cols).collect()) == sorted(full.select(cols).collect())
