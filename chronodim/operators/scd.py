@@ -39,7 +39,6 @@ from chronodim.operators.watermark import watermark_value
 from chronodim.plans.session import broadcast_if_small
 
 SCD2_DERIVED = (SK, VALID_FROM, VALID_TO, IS_CURRENT, SILVER_CREATED_AT, SOURCE_SYSTEM)
-SCD1_DERIVED = (SK, SILVER_UPDATED_AT, SOURCE_SYSTEM)
 
 
 def _source_col(df: DataFrame) -> Column:

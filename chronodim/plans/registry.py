@@ -81,10 +81,6 @@ def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop(*AUDIT_COLUMNS)
 
 
-def _ntz(c: str) -> F.Column:
-    return F.col(c).cast("timestamp_ntz").alias(c)
-
-
 # ------------------------------------------------------------------ ingest
 def q_bronze_ingest(spark, sf):
     feed = read_feed(spark, sf, EVENTS)

@@ -109,12 +109,6 @@ def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Each task reads at most
-    ``max_rows + 1`` rows, so the check stays cheap on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` is proven small enough to broadcast: at most
     ``max_rows`` rows and at most ``max_bytes`` of row text (JSON length of
