@@ -13,9 +13,12 @@ def cluster_by_range(df: DataFrame, columns: Sequence[str], num_partitions: int
     """Range-partition on ``columns`` and sort inside each partition, so
     written files hold disjoint, ordered key ranges (tight parquet min/max
     statistics for file skipping).  Sampling sets the range bounds; no
-    global single-task sort."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+    global single-task sort.  Without ``num_partitions`` the partition count
+    follows the data: adaptive execution merges small range partitions up to
+    the advisory size, so a small part is not split into many tiny files."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *columns).sortWithinPartitions(*columns)
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
 def patch_rows(raw: DataFrame, key: str, patches: Mapping[Any, Mapping[str, Any]],
