@@ -69,7 +69,7 @@ def compare_dimensions(scd1: DataFrame, scd2: DataFrame, keys: Sequence[str], at
 
 def refresh_comparison(prev: DataFrame, scd1: DataFrame, scd2_open: DataFrame, changed_keys: DataFrame,
                        keys: Sequence[str], attrs: Sequence[str], *, run_ts=None,
-                       changes_small: bool | None = None) -> DataFrame:
+                       changes_small: bool | None = None, key_partitions: int | None = None) -> DataFrame:
     """The comparison mart after one run, from the previous mart.
 
     Only keys in ``changed_keys`` can change: their type-1 row, open version
@@ -86,7 +86,10 @@ def refresh_comparison(prev: DataFrame, scd1: DataFrame, scd2_open: DataFrame, c
     from chronodim.operators.merge import upsert
 
     keys = list(keys)
-    ck = changed_keys.select(*keys).distinct()
+    ck = changed_keys.select(*keys)
+    if key_partitions and not changes_small:
+        ck = ck.repartition(key_partitions, *keys)
+    ck = ck.distinct()
     if changes_small:
         ck = F.broadcast(ck)
     s1 = scd1.join(ck, keys, "left_semi").select(
@@ -117,7 +120,7 @@ def refresh_comparison(prev: DataFrame, scd1: DataFrame, scd2_open: DataFrame, c
         F.lit(SCD2_BEHAVIOR).alias("scd2_behavior"),
         audit_time(run_ts).alias(GOLD_CREATED_AT),
     )
-    return upsert(prev, fresh.select(*prev.columns), keys, small=changes_small)
+    return upsert(prev, fresh.select(*prev.columns), keys, small=changes_small, key_partitions=key_partitions)
 
 
 def version_history(scd2: DataFrame, keys: Sequence[str], *, run_ts=None, ordered: bool = True) -> DataFrame:

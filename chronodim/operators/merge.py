@@ -11,7 +11,8 @@ from chronodim.plans.session import broadcast_if_small, fits_broadcast
 
 
 def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
-                     broadcast_max_rows_: int | None = None, small: bool | None = None) -> DataFrame:
+                     broadcast_max_rows_: int | None = None, small: bool | None = None,
+                     key_partitions: int | None = None) -> DataFrame:
     """``state FULL OUTER JOIN changes USING (keys)`` (columns: keys, state
     columns, change columns; names must not overlap outside the keys).
 
@@ -22,12 +23,16 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     of the state's key column against the broadcast keys (its result is at
     most one row per change key, so it is broadcast too).  Otherwise both
     sides shuffle on the key.  ``small`` passes a size decision the caller
-    already made (one check per run instead of one per operator).
+    already made (one check per run instead of one per operator).  When the
+    state is bucketed by the key into ``key_partitions`` buckets, the change
+    set is hash-partitioned the same way, so only the change set moves.
     """
     keys = list(keys)
     if small is None:
         small = fits_broadcast(changes, broadcast_max_rows_)
     if not small:
+        if key_partitions:
+            changes = changes.repartition(key_partitions, *keys)
         return state.join(changes, keys, "full_outer")
     change_keys = F.broadcast(changes.select(*keys))
     known = state.select(*keys).join(change_keys, keys, "left_semi").distinct()
@@ -40,7 +45,8 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
 
 
 def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],
-           broadcast_max_rows: int | None = None, small: bool | None = None) -> DataFrame:
+           broadcast_max_rows: int | None = None, small: bool | None = None,
+           key_partitions: int | None = None) -> DataFrame:
     """Replace the rows of ``state`` whose key appears in ``changes`` and insert
     the new keys: ``state LEFT ANTI JOIN changes.keys UNION ALL changes``.
 
@@ -48,12 +54,15 @@ def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     keys never match, as in MERGE.  When the change set's row count is
     proven below the broadcast bound, only its key columns are broadcast and
     the state is streamed without a shuffle; otherwise both sides shuffle on
-    the key (AQE splits skewed state partitions).
+    the key (AQE splits skewed state partitions), or only the change set when
+    the state is bucketed into ``key_partitions`` buckets by the key.
     """
     keys = list(keys)
     if small is None:
         changed_keys = broadcast_if_small(changes.select(*keys), broadcast_max_rows)
     else:
         changed_keys = F.broadcast(changes.select(*keys)) if small else changes.select(*keys)
+    if key_partitions and not small:
+        changed_keys = changed_keys.repartition(key_partitions, *keys)
     kept = state.join(changed_keys, keys, "left_anti")
     return kept.unionByName(changes.select(*state.columns))

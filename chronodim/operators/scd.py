@@ -64,7 +64,8 @@ def is_open(current: str = IS_CURRENT) -> Column:
 # --------------------------------------------------------------------- type 1
 def scd1_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str], *,
                ts: str = SOURCE_TS, run_ts=None, schema_policy: str = "sync_all_columns",
-               watermark: Column | None = None, changes_small: bool | None = None) -> DataFrame:
+               watermark: Column | None = None, changes_small: bool | None = None,
+               key_partitions: int | None = None) -> DataFrame:
     """New type-1 state.
 
     Rows of ``changes`` (bronze rows) above the watermark of ``state`` update
@@ -101,7 +102,7 @@ def scd1_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str],
     b = chg.select(*keys, *_aligned(chg.withColumn(SOURCE_SYSTEM, _source_col(chg)), new_cols, state),
                    F.lit(True).alias("__hit"))
     b = b.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in new_cols], "__hit")
-    j = keyed_outer_join(t, b, keys, small=changes_small)
+    j = keyed_outer_join(t, b, keys, small=changes_small, key_partitions=key_partitions)
     hit = F.col("__hit").isNotNull()
 
     def old(c: str) -> Column:
@@ -191,7 +192,8 @@ def scd2_new_versions(changes: DataFrame, state: DataFrame, keys: Sequence[str],
 
 
 def scd2_apply_open(changes: DataFrame, current: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS,
-                    run_ts=None, namespace: str = UUID5_NAMESPACE, changes_small: bool | None = None) -> DataFrame:
+                    run_ts=None, namespace: str = UUID5_NAMESPACE, changes_small: bool | None = None,
+                    key_partitions: int | None = None) -> DataFrame:
     """One run of type 2 over the open versions only.
 
     Returns the rows whose state is decided by this run: every open version
@@ -207,12 +209,14 @@ def scd2_apply_open(changes: DataFrame, current: DataFrame, keys: Sequence[str],
     so no key can skew the join.
     """
     keys = list(keys)
+    # reduce first (map-side combine keeps a hot key cheap), then, for a
+    # bucketed state, lay the one-row-per-key result out in its buckets
     latest = latest_per_key(changes, keys, [ts])
     vers = scd2_versions(latest, keys, ts=ts, run_ts=run_ts, namespace=namespace, like=current)
     cols = list(current.columns)
     t = current.select(*keys, F.struct(*cols).alias("__t"), F.col(ts).alias("__t_ts"))
     b = vers.select(*keys, F.struct(*cols).alias("__b"), F.col(ts).alias("__b_ts"))
-    j = keyed_outer_join(t, b, keys, small=changes_small)
+    j = keyed_outer_join(t, b, keys, small=changes_small, key_partitions=key_partitions)
     has_t = F.col("__t").isNotNull()
     has_b = F.col("__b").isNotNull()
     newer = F.coalesce(F.col("__b_ts") > F.col("__t_ts"), F.lit(False))

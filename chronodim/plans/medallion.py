@@ -28,6 +28,14 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   when it closes, so each run adds only its closed rows and rewrites the
   open ones (range-clustered on key and start for file skipping).
 
+With ``buckets=N`` the tables a run joins on the key (bronze, type 1, the
+type-2 commit parts, the comparison mart) are written as Spark bucketed
+tables at the same paths (``bucketBy(N, keys)``, sorted by key, registered
+as external tables in the session catalog).  A run then shuffles only its
+change set into the state's bucket layout; the state side is read bucket by
+bucket without an exchange, and the joined result is written back one file
+per bucket.
+
 Every run reads only earlier commits and writes only its own folders, so a
 failed run can be repeated (writes overwrite the run's own folders) and no
 plan ever overwrites a path it reads.  Each written table is read back
@@ -37,6 +45,7 @@ before its next use, which cuts lineage and fixes random type-1 keys.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
@@ -68,6 +77,9 @@ def _now_text() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
+BUCKETED_TABLES = ("bronze", "scd1", "scd2", "gold_comparison")
+
+
 class DimensionStore:
     """A dimension built run by run from raw change batches."""
 
@@ -75,7 +87,7 @@ class DimensionStore:
                  tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                  source_system: str = DEFAULT_SOURCE_SYSTEM, attrs: Sequence[str] = (),
                  bronze_policy: str = "sync_all_columns", scd1_policy: str = "sync_all_columns",
-                 on_bad_cast: str = "fail"):
+                 on_bad_cast: str = "fail", buckets: int | None = None):
         if on_bad_cast not in ("fail", "quarantine"):
             raise ValueError(f"unknown on_bad_cast {on_bad_cast!r}")
         apply_session_defaults(spark)
@@ -90,6 +102,8 @@ class DimensionStore:
         self.bronze_policy = bronze_policy
         self.scd1_policy = scd1_policy
         self.on_bad_cast = on_bad_cast
+        self.buckets = int(buckets) if buckets else None
+        self._registered: set[str] = set()
         self.version = -1
         self._gold_upto = -1
         self._schema: dict[str, StructType] = {}
@@ -105,15 +119,50 @@ class DimensionStore:
             raise ValueError(f"no commit {v}; latest is {self.version}")
         return v
 
+    def _bucketed(self, table: str) -> bool:
+        return bool(self.buckets) and table in BUCKETED_TABLES
+
+    def _table_name(self, table: str, v: int) -> str:
+        tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
+        return f"chronodim_{tag}_{table}_{v}"
+
     def _write(self, df: DataFrame, table: str, v: int, partition_by: Sequence[str] = ()) -> None:
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self._dir(table, v))
+        if self._bucketed(table):
+            name = self._table_name(table, v)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: files stay
+            w = (df.write.mode("overwrite").format("parquet").option("path", self._dir(table, v))
+                 .bucketBy(self.buckets, *self.keys).sortBy(*self.keys))
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.saveAsTable(name)
+            self._registered.add(name)
+        else:
+            w = df.write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(self._dir(table, v))
         self._schema[table] = df.schema
 
+    def _catalog_table(self, table: str, v: int) -> DataFrame:
+        """A bucketed commit of ``table`` through the catalog (registered from
+        its folder on first use, e.g. after ``open``)."""
+        name = self._table_name(table, v)
+        if name not in self._registered:
+            fields = self._schema[table].fields
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            part = f"PARTITIONED BY (`{IS_CURRENT}`) " if table == "scd2" else ""
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {part}CLUSTERED BY ({keys}) "
+                           f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self._dir(table, v)}'")
+            self._registered.add(name)
+        return self.spark.table(name).select(*[f.name for f in self._schema[table].fields])
+
     def _snapshot(self, table: str, v: int | None) -> DataFrame:
-        return self.spark.read.schema(self._schema[table]).parquet(self._dir(table, self._version(v)))
+        v = self._version(v)
+        if self._bucketed(table):
+            return self._catalog_table(table, v)
+        return self.spark.read.schema(self._schema[table]).parquet(self._dir(table, v))
 
     def _partitioned(self, table: str, extra: Sequence[StructField]) -> DataFrame:
         data = [f for f in self._schema[table].fields if f.name not in {e.name for e in extra}]
@@ -139,10 +188,13 @@ class DimensionStore:
         """Rows written by commit ``v`` to a closed/open table (lists only that
         commit's folder)."""
         cols = [f.name for f in self._schema[table].fields]
-        data = [f for f in self._schema[table].fields if f.name != IS_CURRENT]
-        schema = StructType([*data, StructField(IS_CURRENT, BooleanType())])
-        d = self._dir(table, v)
-        part = self.spark.read.schema(schema).option("basePath", d).parquet(d)
+        if self._bucketed(table):
+            part = self._catalog_table(table, v)
+        else:
+            data = [f for f in self._schema[table].fields if f.name != IS_CURRENT]
+            schema = StructType([*data, StructField(IS_CURRENT, BooleanType())])
+            d = self._dir(table, v)
+            part = self.spark.read.schema(schema).option("basePath", d).parquet(d)
         if current is not None:
             part = part.where(F.col(IS_CURRENT) == F.lit(current))
         return part.select(*cols)
@@ -170,7 +222,7 @@ class DimensionStore:
 
     # ------------------------------------------------------------ metadata
     _SETTINGS = ("keys", "ts", "tiebreak", "casts", "source_system", "attrs", "bronze_policy",
-                 "scd1_policy", "on_bad_cast")
+                 "scd1_policy", "on_bad_cast", "buckets")
 
     def _write_meta(self, n: int) -> None:
         meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
@@ -256,14 +308,16 @@ class DimensionStore:
         # one size decision per run: a change set proven small is broadcast
         # and the state tables are streamed without a shuffle
         small = None if first else fits_broadcast(delta)
+        layout = self.buckets if (self.buckets and small is False) else None
 
         # 2. bronze: upsert by key
-        bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small)
+        bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small, key_partitions=layout)
         self._write(bronze, "bronze", n)
 
         # 3. type 1: keys kept for known entities, new uuid v7 otherwise
         scd1 = scd1_apply(delta, None if first else self.scd1(), self.keys, run_ts=run_ts,
-                          schema_policy=self.scd1_policy, watermark=prev_wm, changes_small=small)
+                          schema_policy=self.scd1_policy, watermark=prev_wm, changes_small=small,
+                          key_partitions=layout)
         self._write(scd1, "scd1", n)
 
         # 4. type 2: closed versions of this run + every open version
@@ -271,7 +325,7 @@ class DimensionStore:
             scd2_delta = scd2_versions(delta, self.keys, run_ts=run_ts)
         else:
             scd2_delta = scd2_apply_open(delta, self.scd2_current(), self.keys, run_ts=run_ts,
-                                         changes_small=small)
+                                         changes_small=small, key_partitions=layout)
         self._write(scd2_delta, "scd2", n, partition_by=[IS_CURRENT])
         self.version = n
 
@@ -296,8 +350,10 @@ class DimensionStore:
             changed = self.log().where(F.col(COMMIT_ID) > F.lit(self._gold_upto)).select(*self.keys)
             if small is None or self._gold_upto != n - 1:
                 small = fits_broadcast(changed)
+            layout = self.buckets if (self.buckets and not small) else None
             comparison = refresh_comparison(self.gold_comparison(self._gold_upto), self.scd1(), self.scd2_current(),
-                                            changed, self.keys, self.attrs, run_ts=run_ts, changes_small=small)
+                                            changed, self.keys, self.attrs, run_ts=run_ts, changes_small=small,
+                                            key_partitions=layout)
         self._write(comparison, "gold_comparison", n)
         for v in range(self._gold_upto + 1, n + 1):
             part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
