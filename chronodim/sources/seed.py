@@ -27,6 +27,6 @@ def write_csv_seed(df: DataFrame, path: str) -> None:
 
 def land_seed(spark: SparkSession, csv_path: str, parquet_path: str,
               schema: str | StructType = COST_CENTER_DDL) -> DataFrame:
-    """``dbt seed`` equivalent: read the CSV, write it as a parquet table,
+    """Seed load: read the CSV, write it as a parquet table,
     return the landed table."""
     return write_table(read_csv_seed(spark, csv_path, schema), parquet_path)
