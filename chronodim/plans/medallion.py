@@ -126,8 +126,16 @@ class DimensionStore:
         tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
         return f"chronodim_{tag}_{table}_{v}"
 
-    def _write(self, df: DataFrame, table: str, v: int, partition_by: Sequence[str] = ()) -> None:
+    def _write(self, df: DataFrame, table: str, v: int, partition_by: Sequence[str] = (),
+               lay_out: bool = False) -> None:
+        """Write commit ``v`` of ``table``.  For a bucketed table, ``lay_out``
+        hash-partitions the rows into the buckets first; without it, input
+        not already laid out that way (a first load) would make every task
+        write one file per bucket.  Outputs of joins with the bucketed state
+        already have that layout and skip the extra shuffle."""
         if self._bucketed(table):
+            if lay_out:
+                df = df.repartition(self.buckets, *self.keys)
             name = self._table_name(table, v)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: files stay
             w = (df.write.mode("overwrite").format("parquet").option("path", self._dir(table, v))
@@ -312,13 +320,13 @@ class DimensionStore:
 
         # 2. bronze: upsert by key
         bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small, key_partitions=layout)
-        self._write(bronze, "bronze", n)
+        self._write(bronze, "bronze", n, lay_out=first)
 
         # 3. type 1: keys kept for known entities, new uuid v7 otherwise
         scd1 = scd1_apply(delta, None if first else self.scd1(), self.keys, run_ts=run_ts,
                           schema_policy=self.scd1_policy, watermark=prev_wm, changes_small=small,
                           key_partitions=layout)
-        self._write(scd1, "scd1", n)
+        self._write(scd1, "scd1", n, lay_out=first)
 
         # 4. type 2: closed versions of this run + every open version
         if first:
@@ -326,7 +334,7 @@ class DimensionStore:
         else:
             scd2_delta = scd2_apply_open(delta, self.scd2_current(), self.keys, run_ts=run_ts,
                                          changes_small=small, key_partitions=layout)
-        self._write(scd2_delta, "scd2", n, partition_by=[IS_CURRENT])
+        self._write(scd2_delta, "scd2", n, partition_by=[IS_CURRENT], lay_out=first)
         self.version = n
 
         if build_gold:
@@ -343,7 +351,8 @@ class DimensionStore:
     def _build_gold(self, run_ts: str | None, small: bool | None = None) -> None:
         n = self.version
         run_ts = run_ts or _now_text()
-        if self._gold_upto < 0:
+        full = self._gold_upto < 0
+        if full:
             comparison = compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts)
         else:
             # only keys changed since the last build can change: no scan of closed history
@@ -354,7 +363,7 @@ class DimensionStore:
             comparison = refresh_comparison(self.gold_comparison(self._gold_upto), self.scd1(), self.scd2_current(),
                                             changed, self.keys, self.attrs, run_ts=run_ts, changes_small=small,
                                             key_partitions=layout)
-        self._write(comparison, "gold_comparison", n)
+        self._write(comparison, "gold_comparison", n, lay_out=full)
         for v in range(self._gold_upto + 1, n + 1):
             part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
             part = cluster_by_range(part, [*self.keys, VALID_FROM])

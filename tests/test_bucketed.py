@@ -52,3 +52,13 @@ def test_large_change_set_shuffles_only_changes(spark):
     assert not any("Exchange" in ln for ln in lines[join:scan])
     # change side: reduced map-side, then laid out in the 4 buckets
     assert any("Exchange hashpartitioning(user_id" in ln and ", 4)" in ln for ln in lines[scan:])
+
+
+def test_bucketed_first_load_writes_one_file_per_bucket(spark):
+    import os
+
+    st = _build(spark, 4)
+    for table in ("bronze", "scd1"):
+        d = st._dir(table, 0).replace("file:", "")
+        files = [f for f in os.listdir(d) if f.endswith(".parquet")]
+        assert len(files) <= 4, (table, files)
