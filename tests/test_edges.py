@@ -8,6 +8,7 @@ from chronodim.operators.ingest import accepted_changes, bronze_ingest
 from chronodim.operators.merge import upsert
 from chronodim.operators.scd import scd1_apply, scd2_apply, scd2_close, scd2_new_versions
 from chronodim.operators.schema import evolve
+from chronodim.operators.checks import scd2_violations
 from chronodim.operators.watermark import high_watermark, late_rows
 from chronodim.plans.medallion import DimensionStore
 from chronodim.plans.session import new_run_dir
@@ -188,3 +189,27 @@ def test_store_reopens_from_folder(spark):
     st.apply(rows(spark, [("b", "y2", "2024-01-03 00:00:00")]), "2024-01-03 01:00:00")
     cols = ["sk_name", "k", "name", "valid_from_sk", "valid_to", "is_current"]
     assert table(st.scd2(), *cols) == table(again.scd2(), *cols)
+
+
+def test_composite_natural_key(spark):
+    import datetime as dt
+    import uuid
+
+    ddl = "region string, code int, name string, t timestamp_ntz"
+    d = dt.datetime.fromisoformat
+    b0 = spark.createDataFrame([("n", 1, "a", d("2024-01-01 00:00:00")), ("s", 1, "b", d("2024-01-01 00:00:00")),
+                                ("n", 2, "c", d("2024-01-01 00:00:00"))], ddl)
+    b1 = spark.createDataFrame([("n", 1, "a2", d("2024-01-02 00:00:00")), ("s", 2, "new", d("2024-01-02 00:00:00"))], ddl)
+    st = DimensionStore(spark, new_run_dir(spark, "ck"), ["region", "code"], "t", attrs=["name"])
+    st.apply(b0, "2024-01-01 01:00:00")
+    st.apply(b1, "2024-01-02 01:00:00")
+    s2 = st.scd2()
+    assert table(s2, "region", "code", "name", "is_current") == [
+        ("n", 1, "a", False), ("n", 1, "a2", True), ("n", 2, "c", True), ("s", 1, "b", True), ("s", 2, "new", True)]
+    ns = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")
+    r = s2.where("region = 'n' AND code = 1 AND is_current").first()
+    assert r.sk_name == str(uuid.uuid5(ns, "n|1|2024-01-02 00:00:00"))
+    assert scd2_violations(s2, ["region", "code"]).count() == 0
+    assert st.bronze().count() == 4 and st.scd1().count() == 4
+    comp = {(x.region, x.code): x.scd2_total_versions for x in st.gold_comparison().collect()}
+    assert comp == {("n", 1): 2, ("n", 2): 1, ("s", 1): 1, ("s", 2): 1}
