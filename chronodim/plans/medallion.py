@@ -12,15 +12,15 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   The type-2 table as of ``n`` is every closed part ``<= n`` plus the open
   part of ``n``; partition filters select them, so closed history is
   written once and never rewritten.
-* ``watermark/_commit_id=n``  one row: latest accepted change time after
-  run ``n`` (equal to the maximum over bronze, which never decreases), so a
-  run filters its input without scanning the state.
 * ``quarantine/_commit_id=n``  raw rows whose typed columns did not parse
   (only with ``on_bad_cast="quarantine"``; otherwise a bad value fails the
   run, as an ANSI cast does).
-* ``meta/_commit_id=n``  one row of JSON: store settings and table schemas,
-  written last, so a commit is visible only once it is complete and
-  ``DimensionStore.open`` can resume after a driver restart.
+* ``meta/_commit_id=n``  one row of JSON: store settings, table schemas and
+  the watermark of every commit (latest accepted change time, equal to the
+  maximum over bronze, which never decreases), written last, so a commit is
+  visible only once it is complete and ``DimensionStore.open`` can resume
+  after a driver restart.  The next run filters its input with the
+  watermark as a literal, without scanning the state.
 * ``gold_comparison/_commit_id=n``  comparison mart after run ``n``: built
   in full once, then refreshed for the keys each run changed.
 * ``gold_history/_commit_id=n/is_current=...``  history mart in the same
@@ -70,7 +70,7 @@ from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_versions
-from chronodim.plans.session import apply_session_defaults, fits_broadcast
+from chronodim.plans.session import apply_session_defaults, fits_broadcast, probe_size
 
 
 def _now_text() -> str:
@@ -104,6 +104,7 @@ class DimensionStore:
         self.on_bad_cast = on_bad_cast
         self.buckets = int(buckets) if buckets else None
         self._registered: set[str] = set()
+        self._watermarks: dict[int, str] = {}
         self.version = -1
         self._gold_upto = -1
         self._schema: dict[str, StructType] = {}
@@ -235,7 +236,8 @@ class DimensionStore:
     def _write_meta(self, n: int) -> None:
         meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
                 "schemas": {t: s.json() for t, s in self._schema.items()},
-                "gold_upto": self._gold_upto}
+                "gold_upto": self._gold_upto,
+                "watermarks": {str(k): w for k, w in self._watermarks.items() if k <= n}}
         self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
             .write.mode("overwrite").parquet(self._dir("meta", n))
 
@@ -253,6 +255,7 @@ class DimensionStore:
         store._schema = {t: StructType.fromJson(json.loads(s)) for t, s in meta["schemas"].items()}
         store.version = int(last[COMMIT_ID])
         store._gold_upto = int(meta["gold_upto"])
+        store._watermarks = {int(k): w for k, w in meta["watermarks"].items()}
         return store
 
     def commits(self) -> DataFrame:
@@ -262,9 +265,12 @@ class DimensionStore:
         """Bronze rebuilt from the change log as of commit ``v``."""
         return as_of_version(self.log(), self._version(v), self.keys)
 
+    def _watermark_value(self, v: int) -> F.Column:
+        return F.lit(self._watermarks[v]).cast(self._schema["changes"][SOURCE_TS].dataType)
+
     def watermark(self, v: int | None = None) -> DataFrame:
         """One row ``watermark``: the latest accepted change time."""
-        return self._snapshot("watermark", v)
+        return self.spark.range(1).select(self._watermark_value(self._version(v)).alias("watermark"))
 
     def gold_comparison(self, v: int | None = None) -> DataFrame:
         return self._snapshot("gold_comparison", v)
@@ -292,7 +298,7 @@ class DimensionStore:
         first = n == 0
         run_ts = run_ts or _now_text()
         prev_bronze = None if first else self.bronze()
-        prev_wm = None if first else self.watermark().scalar()
+        prev_wm = None if first else self._watermark_value(n - 1)
 
         if self.on_bad_cast == "quarantine":
             raw, bad = split_bad_casts(raw, self.ts, self.casts)
@@ -306,16 +312,19 @@ class DimensionStore:
         self._write(log_entries(chg, n, first=first, committed_at=run_ts).drop(COMMIT_ID), "changes", n)
         delta = self.spark.read.schema(self._schema["changes"]).parquet(self._dir("changes", n)) \
             .drop(COMMITTED_AT, OPERATION)
-        latest = delta.select(F.col(SOURCE_TS).alias("watermark"))
-        if not first:
-            latest = latest.unionByName(self.watermark())
-        ts_type = delta.schema[SOURCE_TS].dataType
-        self._write(latest.agg(F.coalesce(F.max("watermark"), F.lit(EMPTY_WATERMARK).cast(ts_type))
-                               .alias("watermark")), "watermark", n)
-
-        # one size decision per run: a change set proven small is broadcast
-        # and the state tables are streamed without a shuffle
-        small = None if first else fits_broadcast(delta)
+        # one probe per run: is the change set proven small (then it is
+        # broadcast and the state is streamed without a shuffle), and its
+        # latest change time, the next watermark (accepted rows are all above
+        # the previous one)
+        newest = F.max(SOURCE_TS).cast("string")
+        if first:
+            small = None
+            latest = delta.agg(newest.alias("m")).first()["m"] or EMPTY_WATERMARK
+        else:
+            small, probed = probe_size(delta, extra={"newest": newest})
+            latest = probed["newest"] if probed["complete"] else delta.agg(newest.alias("m")).first()["m"]
+            latest = latest or self._watermarks[n - 1]
+        self._watermarks[n] = latest
         layout = self.buckets if (self.buckets and small is False) else None
 
         # 2. bronze: upsert by key

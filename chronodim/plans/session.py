@@ -109,19 +109,30 @@ def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
+def probe_size(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
+               extra: dict | None = None) -> tuple[bool, dict]:
+    """``(small, values)``: whether ``df`` is proven small enough to broadcast
+    (see :func:`fits_broadcast`), plus ``extra`` aggregates computed in the
+    same job over the probed rows; ``values["complete"]`` says whether the
+    probe covered every row (then the extra aggregates are exact)."""
+    spark = df.sparkSession
+    max_rows = broadcast_max_rows(spark) if max_rows is None else max_rows
+    max_bytes = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
+    aggs = [F.count(F.lit(1)).alias("__n"),
+            F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("__b")]
+    aggs += [c.alias(k) for k, c in (extra or {}).items()]
+    r = df.limit(max_rows + 1).agg(*aggs).first()
+    values = {k: r[k] for k in (extra or {})}
+    values["complete"] = r["__n"] <= max_rows
+    return r["__n"] <= max_rows and (r["__b"] or 0) <= max_bytes, values
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` is proven small enough to broadcast: at most
     ``max_rows`` rows and at most ``max_bytes`` of row text (JSON length of
     each row, a measured proxy for its in-memory size).  One job that reads
     at most ``max_rows + 1`` rows, returning two numbers to the driver."""
-    spark = df.sparkSession
-    max_rows = broadcast_max_rows(spark) if max_rows is None else max_rows
-    max_bytes = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("b"))
-    r = probe.first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+    return probe_size(df, max_rows, max_bytes)[0]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
