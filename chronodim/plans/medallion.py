@@ -238,7 +238,7 @@ class DimensionStore:
                 "schemas": {t: s.json() for t, s in self._schema.items()},
                 "gold_upto": self._gold_upto,
                 "watermarks": {str(k): w for k, w in self._watermarks.items() if k <= n}}
-        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+        self.spark.range(1).select(F.lit(json.dumps(meta)).alias("meta")) \
             .write.mode("overwrite").parquet(self._dir("meta", n))
 
     @classmethod
