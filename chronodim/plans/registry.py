@@ -276,7 +276,8 @@ def _customer_seed() -> F.Column:
 
 def q_uuid5_key(spark, sf):
     cust = read_table(spark, sf, "customer").select("c_custkey", _customer_seed().alias("seed"))
-    edge = spark.createDataFrame([(-1, None), (-2, ""), (-3, "ñandú|日本")], "c_custkey bigint, seed string")
+    edge = spark.sql("SELECT * FROM VALUES (-1L, CAST(NULL AS STRING)), (-2L, ''), (-3L, 'ñandú|日本') "
+                     "AS edge(c_custkey, seed)")
     both = cust.unionByName(edge)
     return both.select("c_custkey", "seed", uuid5(F.col("seed")).alias(SK))
 
