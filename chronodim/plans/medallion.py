@@ -25,8 +25,9 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   in full once, then refreshed for the keys each run changed.
 * ``gold_history/_commit_id=n/is_current=...``  history mart in the same
   closed/open layout as type 2: a closed version's history row is final
-  when it closes, so each run adds only its closed rows and rewrites the
-  open ones (range-clustered on key and start for file skipping).
+  when it closes, so each run adds only its closed rows (range-clustered on
+  key and start for file skipping, a shuffle of that run's closed versions
+  only) and rewrites the open ones without a shuffle.
 
 With ``buckets=N`` the tables a run joins on the key (bronze, type 1, the
 type-2 commit parts, the comparison mart) are written as Spark bucketed
@@ -374,7 +375,12 @@ class DimensionStore:
                                             key_partitions=layout)
         self._write(comparison, "gold_comparison", n, lay_out=full)
         for v in range(self._gold_upto + 1, n + 1):
+            # closed rows are final: range-clustered once (a shuffle of this
+            # run's closed versions only); open rows are a plain projection
             part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
-            part = cluster_by_range(part, [*self.keys, VALID_FROM])
-            self._write(part, "gold_history", v, partition_by=[IS_CURRENT])
+            d = self._dir("gold_history", v)
+            closed = part.where(~F.col(IS_CURRENT)).drop(IS_CURRENT)
+            cluster_by_range(closed, [*self.keys, VALID_FROM]).write.mode("overwrite").parquet(f"{d}/{IS_CURRENT}=false")
+            part.where(F.col(IS_CURRENT)).drop(IS_CURRENT).write.mode("overwrite").parquet(f"{d}/{IS_CURRENT}=true")
+            self._schema["gold_history"] = part.schema
         self._gold_upto = n
