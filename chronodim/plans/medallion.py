@@ -23,11 +23,11 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   watermark as a literal, without scanning the state.
 * ``gold_comparison/_commit_id=n``  comparison mart after run ``n``: built
   in full once, then refreshed for the keys each run changed.
-* ``gold_history/_commit_id=n/is_current=...``  history mart in the same
-  closed/open layout as type 2: a closed version's history row is final
-  when it closes, so each run adds only its closed rows (range-clustered on
-  key and start for file skipping, a shuffle of that run's closed versions
-  only) and rewrites the open ones without a shuffle.
+* ``gold_history/_commit_id=n``  history rows of the versions closed by
+  run ``n``: final when a version closes, so each run adds only these
+  (range-clustered on key and start for file skipping, a shuffle of that
+  run's closed versions only).  The history rows of open versions are a
+  pure projection of the open type-2 part and are computed on read.
 
 With ``buckets=N`` the tables a run joins on the key (bronze, type 1, the
 type-2 commit parts, the comparison mart) are written as Spark bucketed
@@ -106,6 +106,7 @@ class DimensionStore:
         self.buckets = int(buckets) if buckets else None
         self._registered: set[str] = set()
         self._watermarks: dict[int, str] = {}
+        self._gold_times: dict[int, str] = {}
         self.version = -1
         self._gold_upto = -1
         self._schema: dict[str, StructType] = {}
@@ -238,7 +239,8 @@ class DimensionStore:
         meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
                 "schemas": {t: s.json() for t, s in self._schema.items()},
                 "gold_upto": self._gold_upto,
-                "watermarks": {str(k): w for k, w in self._watermarks.items() if k <= n}}
+                "watermarks": {str(k): w for k, w in self._watermarks.items() if k <= n},
+                "gold_times": {str(k): t for k, t in self._gold_times.items() if k <= n}}
         self.spark.range(1).select(F.lit(json.dumps(meta)).alias("meta")) \
             .write.mode("overwrite").parquet(self._dir("meta", n))
 
@@ -257,6 +259,7 @@ class DimensionStore:
         store.version = int(last[COMMIT_ID])
         store._gold_upto = int(meta["gold_upto"])
         store._watermarks = {int(k): w for k, w in meta["watermarks"].items()}
+        store._gold_times = {int(k): t for k, t in meta["gold_times"].items()}
         return store
 
     def commits(self) -> DataFrame:
@@ -277,7 +280,18 @@ class DimensionStore:
         return self._snapshot("gold_comparison", v)
 
     def gold_history(self, v: int | None = None) -> DataFrame:
-        return self._closed_open("gold_history", self._version(v))
+        """History mart as of commit ``v``: the materialized rows of versions
+        closed by then, plus the open versions of ``v`` projected on read
+        (their history row is a pure function of the open version)."""
+        v = self._version(v)
+        if v > self._gold_upto:
+            raise ValueError(f"gold marts not built for commit {v}")
+        cols = [f.name for f in self._schema["gold_history"].fields]
+        closed = self._partitioned("gold_history", [StructField(COMMIT_ID, LongType())]) \
+            .where(F.col(COMMIT_ID) <= F.lit(v)).select(*cols)
+        opened = version_history(self._commit_part("scd2", v, current=True), self.keys,
+                                 run_ts=self._gold_times[v], ordered=False).select(*cols)
+        return closed.unionByName(opened)
 
     def register_views(self, names: Mapping[str, str] | None = None) -> dict[str, str]:
         """Temporary views over the latest tables, so SQL reports run
@@ -375,12 +389,11 @@ class DimensionStore:
                                             key_partitions=layout)
         self._write(comparison, "gold_comparison", n, lay_out=full)
         for v in range(self._gold_upto + 1, n + 1):
-            # closed rows are final: range-clustered once (a shuffle of this
-            # run's closed versions only); open rows are a plain projection
-            part = version_history(self._commit_part("scd2", v), self.keys, run_ts=run_ts, ordered=False)
-            d = self._dir("gold_history", v)
-            closed = part.where(~F.col(IS_CURRENT)).drop(IS_CURRENT)
-            cluster_by_range(closed, [*self.keys, VALID_FROM]).write.mode("overwrite").parquet(f"{d}/{IS_CURRENT}=false")
-            part.where(F.col(IS_CURRENT)).drop(IS_CURRENT).write.mode("overwrite").parquet(f"{d}/{IS_CURRENT}=true")
-            self._schema["gold_history"] = part.schema
+            # closed rows are final: materialized once, range-clustered (a
+            # shuffle of this run's closed versions only); open rows are
+            # projected from the open versions on read
+            closed = version_history(self._commit_part("scd2", v, current=False), self.keys, run_ts=run_ts,
+                                     ordered=False)
+            self._write(cluster_by_range(closed, [*self.keys, VALID_FROM]), "gold_history", v)
+            self._gold_times[v] = run_ts
         self._gold_upto = n
