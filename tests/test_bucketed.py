@@ -1,6 +1,8 @@
 """Bucketed store: same tables as the plain store; large change sets shuffle
 only the change side."""
 
+import pytest
+
 from chronodim.plans.medallion import DimensionStore
 from chronodim.plans.session import new_run_dir
 from chronodim.sources.feeds import EVENTS, feed_batch, read_feed
@@ -18,8 +20,13 @@ def _build(spark, buckets):
     return st
 
 
-def test_bucketed_store_equals_plain(spark):
-    plain, bucketed = _build(spark, None), _build(spark, 4)
+@pytest.fixture(scope="module")
+def bucketed(spark):
+    return _build(spark, 4)
+
+
+def test_bucketed_store_equals_plain(spark, bucketed):
+    plain = _build(spark, None)
     assert sorted(plain.scd2().select(COLS).collect()) == sorted(bucketed.scd2().select(COLS).collect())
     drop = ["_ingested_at", "_silver_updated_at", "sk_name"]
     assert sorted(plain.bronze().drop(*drop).collect()) == sorted(bucketed.bronze().drop(*drop).collect())
@@ -35,10 +42,10 @@ def test_bucketed_store_equals_plain(spark):
     assert again.bronze().count() == bucketed.bronze().count()
 
 
-def test_large_change_set_shuffles_only_changes(spark):
+def test_large_change_set_shuffles_only_changes(spark, bucketed):
     from chronodim.operators.scd import scd2_apply_open
 
-    st = _build(spark, 4)
+    st = bucketed
     delta = st.log().where("_commit_id = 3").drop("_commit_id", "_committed_at", "_operation")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -54,10 +61,10 @@ def test_large_change_set_shuffles_only_changes(spark):
     assert any("Exchange hashpartitioning(user_id" in ln and ", 4)" in ln for ln in lines[scan:])
 
 
-def test_bucketed_first_load_writes_one_file_per_bucket(spark):
+def test_bucketed_first_load_writes_one_file_per_bucket(spark, bucketed):
     import os
 
-    st = _build(spark, 4)
+    st = bucketed
     for table in ("bronze", "scd1"):
         d = st._dir(table, 0).replace("file:", "")
         files = [f for f in os.listdir(d) if f.endswith(".parquet")]

@@ -40,7 +40,7 @@ def expected(evts):
     return out
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(events)
 def test_fold_equals_window(spark, evts):
     df = spark.createDataFrame([(k, BASE + dt.timedelta(minutes=t), b, n) for k, t, b, n in evts],
