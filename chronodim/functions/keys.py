@@ -32,12 +32,11 @@ def uuid5(seed: Column | str, namespace: str = UUID5_NAMESPACE) -> Column:
     h = F.sha1(payload)  # 40 lowercase hex digits; first 32 form the uuid
     # variant bits 10xx: the 17th digit d becomes 8 + (d & 3)
     variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat_ws(
-        "-",
-        F.substring(h, 1, 8),
-        F.substring(h, 9, 4),
-        F.concat(F.lit("5"), F.substring(h, 14, 3)),
-        F.concat(variant, F.substring(h, 18, 3)),
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"),
+        F.substring(h, 9, 4), F.lit("-5"),
+        F.substring(h, 14, 3), F.lit("-"),
+        variant, F.substring(h, 18, 3), F.lit("-"),
         F.substring(h, 21, 12),
     )
 
@@ -75,9 +74,8 @@ def uuid5_sql_body(namespace: str = UUID5_NAMESPACE, seed: str = "seed") -> str:
     """SQL text of :func:`uuid5` over the SQL expression ``seed``."""
     h = f"sha1(concat(unhex('{_ns_hex(namespace)}'), encode(coalesce(cast({seed} as string), ''), 'UTF-8')))"
     return (
-        f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), "
-        f"concat('5', substr({h}, 14, 3)), "
-        f"concat(translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab'), substr({h}, 18, 3)), "
+        f"concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', "
+        f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab'), substr({h}, 18, 3), '-', "
         f"substr({h}, 21, 12))"
     )
 
