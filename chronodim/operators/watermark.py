@@ -33,9 +33,11 @@ def above_watermark(df: DataFrame, state: DataFrame, ts: str = SOURCE_TS,
     return df.where(F.col(ts) > watermark_value(state, state_ts, default))
 
 
-def late_rows(df: DataFrame, state: DataFrame, ts: str = SOURCE_TS,
-              state_ts: str = SOURCE_TS, default: str = EMPTY_WATERMARK) -> DataFrame:
+def late_rows(df: DataFrame, state: DataFrame | None, ts: str = SOURCE_TS,
+              state_ts: str = SOURCE_TS, default: str = EMPTY_WATERMARK,
+              watermark: Column | None = None) -> DataFrame:
     """The complement of :func:`above_watermark`: rows an incremental run
-    skips (at or below the watermark, or without a change time)."""
-    wm = watermark_value(state, state_ts, default)
+    skips (at or below the watermark, or without a change time).
+    ``watermark`` replaces the scan of ``state`` when the value is kept."""
+    wm = watermark if watermark is not None else watermark_value(state, state_ts, default)
     return df.where(F.col(ts).isNull() | (F.col(ts) <= wm))

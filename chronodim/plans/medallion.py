@@ -12,6 +12,8 @@ Folder layout under ``root`` (all parquet, one folder per commit ``n``):
   The type-2 table as of ``n`` is every closed part ``<= n`` plus the open
   part of ``n``; partition filters select them, so closed history is
   written once and never rewritten.
+* ``skipped/_commit_id=n``  rows run ``n`` skipped as late or tied (only
+  with ``audit_skipped=True``).
 * ``quarantine/_commit_id=n``  raw rows whose typed columns did not parse
   (only with ``on_bad_cast="quarantine"``; otherwise a bad value fails the
   run, as an ANSI cast does).
@@ -66,7 +68,8 @@ from chronodim.constants import (
 )
 from chronodim.operators.changelog import as_of_version, commit_log, log_entries
 from chronodim.operators.gold import compare_dimensions, refresh_comparison, version_history
-from chronodim.operators.ingest import accepted_changes, split_bad_casts
+from chronodim.operators.ingest import accepted_changes, split_bad_casts, to_bronze_rows
+from chronodim.operators.watermark import late_rows
 from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
@@ -88,7 +91,7 @@ class DimensionStore:
                  tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                  source_system: str = DEFAULT_SOURCE_SYSTEM, attrs: Sequence[str] = (),
                  bronze_policy: str = "sync_all_columns", scd1_policy: str = "sync_all_columns",
-                 on_bad_cast: str = "fail", buckets: int | None = None):
+                 on_bad_cast: str = "fail", buckets: int | None = None, audit_skipped: bool = False):
         if on_bad_cast not in ("fail", "quarantine"):
             raise ValueError(f"unknown on_bad_cast {on_bad_cast!r}")
         apply_session_defaults(spark)
@@ -104,6 +107,7 @@ class DimensionStore:
         self.scd1_policy = scd1_policy
         self.on_bad_cast = on_bad_cast
         self.buckets = int(buckets) if buckets else None
+        self.audit_skipped = bool(audit_skipped)
         self._registered: set[str] = set()
         self._watermarks: dict[int, str] = {}
         self._gold_times: dict[int, str] = {}
@@ -231,9 +235,17 @@ class DimensionStore:
         q = self._partitioned("quarantine", [StructField(COMMIT_ID, LongType())])
         return q.where(F.col(COMMIT_ID) <= F.lit(self.version))
 
+    def skipped(self) -> DataFrame:
+        """Rows incremental runs skipped (at or below the watermark, or without
+        a change time), per commit; kept with ``audit_skipped=True``."""
+        if "skipped" not in self._schema:
+            raise ValueError("no skipped rows kept: run the store with audit_skipped=True")
+        q = self._partitioned("skipped", [StructField(COMMIT_ID, LongType())])
+        return q.where(F.col(COMMIT_ID) <= F.lit(self.version))
+
     # ------------------------------------------------------------ metadata
     _SETTINGS = ("keys", "ts", "tiebreak", "casts", "source_system", "attrs", "bronze_policy",
-                 "scd1_policy", "on_bad_cast", "buckets")
+                 "scd1_policy", "on_bad_cast", "buckets", "audit_skipped")
 
     def _write_meta(self, n: int) -> None:
         meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
@@ -318,6 +330,9 @@ class DimensionStore:
         if self.on_bad_cast == "quarantine":
             raw, bad = split_bad_casts(raw, self.ts, self.casts)
             self._write(bad, "quarantine", n)
+        if self.audit_skipped and not first:
+            typed = to_bronze_rows(raw, self.ts, casts=self.casts, source_system=self.source_system, run_ts=run_ts)
+            self._write(late_rows(typed, None, watermark=prev_wm), "skipped", n)
         chg = accepted_changes(raw, prev_bronze, self.keys, self.ts, tiebreak=self.tiebreak, casts=self.casts,
                                source_system=self.source_system, run_ts=run_ts, watermark=prev_wm)
         if prev_bronze is not None:

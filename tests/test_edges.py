@@ -213,3 +213,12 @@ def test_composite_natural_key(spark):
     assert st.bronze().count() == 4 and st.scd1().count() == 4
     comp = {(x.region, x.code): x.scd2_total_versions for x in st.gold_comparison().collect()}
     assert comp == {("n", 1): 2, ("n", 2): 1, ("s", 1): 1, ("s", 2): 1}
+
+
+def test_store_keeps_skipped_rows(spark):
+    st = DimensionStore(spark, new_run_dir(spark, "skip"), ["k"], "t", audit_skipped=True)
+    st.apply(rows(spark, [("a", "x", "2024-01-02 00:00:00")]), "2024-01-02 01:00:00")
+    st.apply(rows(spark, [("b", "late", "2024-01-01 00:00:00"), ("c", "tie", "2024-01-02 00:00:00"),
+                          ("a", "new", "2024-01-03 00:00:00")]), "2024-01-03 01:00:00")
+    assert table(st.skipped(), "k", "name", "_commit_id") == [("b", "late", 1), ("c", "tie", 1)]
+    assert table(st.bronze(), "k", "name") == [("a", "new")]
