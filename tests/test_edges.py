@@ -222,3 +222,16 @@ def test_store_keeps_skipped_rows(spark):
                           ("a", "new", "2024-01-03 00:00:00")]), "2024-01-03 01:00:00")
     assert table(st.skipped(), "k", "name", "_commit_id") == [("b", "late", 1), ("c", "tie", 1)]
     assert table(st.bronze(), "k", "name") == [("a", "new")]
+
+
+def test_scd1_ignore_policy_in_store(spark):
+    st = DimensionStore(spark, new_run_dir(spark, "s1ign"), ["k"], "t", scd1_policy="ignore")
+    st.apply(rows(spark, [("a", "x", "2024-01-01 00:00:00"), ("b", "y", "2024-01-01 00:00:00")]),
+             "2024-01-01 01:00:00")
+    sk = {r.k: r.sk_name for r in st.scd1().collect()}
+    b1 = spark.createDataFrame([("a", "2024-02-01 00:00:00", "red")], "k string, t string, color string")
+    st.apply(b1.withColumn("t", F.col("t").cast("timestamp_ntz")), "2024-02-01 01:00:00")
+    s1 = {r.k: r for r in st.scd1().collect()}
+    assert "color" not in st.scd1().columns and "color" in st.bronze().columns
+    assert s1["a"].name is None and s1["b"].name == "y"
+    assert s1["a"].sk_name == sk["a"] and s1["b"].sk_name == sk["b"]
