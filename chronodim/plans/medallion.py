@@ -352,8 +352,7 @@ class DimensionStore:
             latest = delta.agg(newest.alias("m")).first()["m"] or EMPTY_WATERMARK
         else:
             small, probed = probe_size(delta, extra={"newest": newest})
-            latest = probed["newest"] if probed["complete"] else delta.agg(newest.alias("m")).first()["m"]
-            latest = latest or self._watermarks[n - 1]
+            latest = probed["newest"] or self._watermarks[n - 1]
         self._watermarks[n] = latest
         layout = self.buckets if (self.buckets and small is False) else None
 

@@ -109,29 +109,62 @@ def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
+def _fixed_width(t) -> int:
+    """Bytes of a value of a fixed-size type."""
+    name = t.typeName()
+    if name in ("byte", "boolean", "null"):
+        return 1
+    if name == "short":
+        return 2
+    if name in ("integer", "date", "float"):
+        return 4
+    if name == "decimal":
+        return 8 if t.precision <= 18 else 16
+    return 8  # long, double, timestamps, intervals
+
+
+def row_bytes(df: DataFrame) -> F.Column:
+    """Measured size of a row: bytes of text and binary values, fixed widths
+    for fixed-size types, JSON length for nested values."""
+    from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (StructType, ArrayType, MapType)):
+            parts.append(F.coalesce(F.length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_fixed_width(f.dataType)))
+    total = F.lit(0)
+    for p in parts:
+        total = total + p
+    return total.cast("long")
+
+
 def probe_size(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
                extra: dict | None = None) -> tuple[bool, dict]:
     """``(small, values)``: whether ``df`` is proven small enough to broadcast
-    (see :func:`fits_broadcast`), plus ``extra`` aggregates computed in the
-    same job over the probed rows; ``values["complete"]`` says whether the
-    probe covered every row (then the extra aggregates are exact)."""
+    (at most ``max_rows`` rows and ``max_bytes`` measured bytes), plus the
+    ``extra`` aggregates computed in the same job.
+
+    One distributed aggregate (partial per task, one final combine): no
+    rows are funnelled into a single task, and the driver receives one row
+    of numbers."""
     spark = df.sparkSession
     max_rows = broadcast_max_rows(spark) if max_rows is None else max_rows
     max_bytes = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
-    aggs = [F.count(F.lit(1)).alias("__n"),
-            F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("__b")]
+    aggs = [F.count(F.lit(1)).alias("__n"), F.sum(row_bytes(df)).alias("__b")]
     aggs += [c.alias(k) for k, c in (extra or {}).items()]
-    r = df.limit(max_rows + 1).agg(*aggs).first()
+    r = df.agg(*aggs).first()
     values = {k: r[k] for k in (extra or {})}
-    values["complete"] = r["__n"] <= max_rows
     return r["__n"] <= max_rows and (r["__b"] or 0) <= max_bytes, values
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """True when ``df`` is proven small enough to broadcast: at most
-    ``max_rows`` rows and at most ``max_bytes`` of row text (JSON length of
-    each row, a measured proxy for its in-memory size).  One job that reads
-    at most ``max_rows + 1`` rows, returning two numbers to the driver."""
+    """True when ``df`` is proven small enough to broadcast (see
+    :func:`probe_size`)."""
     return probe_size(df, max_rows, max_bytes)[0]
 
 
