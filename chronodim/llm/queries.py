@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from chronodim.llm import lm_pst, shard, simhash, suffix_dedup
+from chronodim.llm import bpe, chat, decontaminate, lm_pst, quality, shard, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
+    "op1_fm_index_decontamination": decontaminate.query,
     "op2_external_shuffle": shard.query,
+    "op3_bpe_chunk_reuse": bpe.query,
     "op4_simhash_byte_index": simhash.query,
+    "op5_co_training_quality": quality.query,
+    "op6_columnar_top_k": topk.query,
+    "op7_ftrl_toxicity": toxicity.query,
+    "op8_chat_role_repair": chat.query,
     "op9_suffix_columns": suffix_dedup.query,
     "op10_suffix_tree_lm": lm_pst.query,
 }

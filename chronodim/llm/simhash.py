@@ -58,16 +58,18 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = HASH_SEED) -> int:
     return int(np.packbits(ones * 2 > len(h)).view(">u8")[0].astype(np.uint64).astype(np.int64))
 
 
-def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``df``'s rows as ``row`` (a struct) with their ``fp``."""
+def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, keep_text: bool = False) -> DataFrame:
+    """``df``'s rows, but for the text, as struct ``row`` with their ``fp``
+    and, on demand, the ``text`` as bytes."""
     src = df.select(F.struct(*[column(c) for c in df.columns if c != text_col]).alias("row"), text_bytes(text_col).alias("text"))
 
     def run(batches):
         for b in slices(batches):
             fps = pa.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("row"), fps], names=["row", "fp"])
+            more = [b.column("text")] if keep_text else []
+            yield pa.RecordBatch.from_arrays([b.column("row"), fps, *more], names=["row", "fp", "text"][:2 + keep_text])
 
-    return src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("fp", T.LongType())]))
+    return src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("fp", T.LongType()), *([src.schema["text"]] if keep_text else [])]))
 
 
 def links(fps: DataFrame, max_distance: int = 2, list_cap: int = LIST_CAP) -> DataFrame:
@@ -99,17 +101,35 @@ def links(fps: DataFrame, max_distance: int = 2, list_cap: int = LIST_CAP) -> Da
     return verified.union(stars)
 
 
+def labels(rows: DataFrame, ident: F.Column, max_distance: int = 2, list_cap: int = LIST_CAP) -> DataFrame:
+    """(f, root, component_id) for each distinct fingerprint of ``rows``."""
+    distinct = stage(rows.groupBy("fp").agg(F.min(ident).alias("least")), "simhash-distinct")
+    roots = components(links(distinct.select("fp"), max_distance, list_cap), "simhash-components")
+    named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return stage(named.join(ids, "root").select(F.col("fp").alias("f"), "root", "component_id"), "simhash-labels")
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2,
                 list_cap: int = LIST_CAP) -> DataFrame:
-    """(row struct, fp long, component_id) for every row of ``df``."""
+    """(row struct without the text, fp long, component_id) for every row of
+    ``df``."""
     rows = stage(fingerprints(df, text_col, shingle), "simhash-rows")
+    found = labels(rows, F.col("row").getField(id_col), max_distance, list_cap)
+    return rows.join(found, F.col("fp") == F.col("f")).select("row", "fp", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component of ``df``, that of the smallest id (any one
+    of equal ids; null ids last), columns as they were."""
+    shingle = options.pop("shingle", 3)
+    rows = stage(fingerprints(df, text_col, shingle, keep_text=True).withColumn("ord", F.monotonically_increasing_id()), "simhash-texts")
     ident = F.col("row").getField(id_col)
-    distinct = stage(rows.groupBy("fp").agg(F.min(ident).alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), max_distance, list_cap), "simhash-components")
-    named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = stage(named.join(ids, "root").select(F.col("fp").alias("f"), "component_id"), "simhash-labels")
-    return rows.join(label, F.col("fp") == F.col("f")).select("row", "fp", "component_id")
+    found = labels(rows, ident, **options)
+    best = rows.select("fp", F.struct(ident.isNull().alias("a"), ident.alias("b"), "ord").alias("w")).join(found, F.col("fp") == F.col("f")) \
+        .groupBy("root").agg(F.min("w").alias("w")).select(F.col("w.ord").alias("ord"))
+    kept = rows.join(best, "ord", "left_semi")
+    return kept.select(*[column("text").cast("string").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

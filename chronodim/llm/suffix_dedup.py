@@ -283,9 +283,10 @@ def spans_of(starts: list[int], counts: list[int], length: int) -> list[list[int
     return out
 
 
-def removed(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(tid, tag, n_bytes, n_removed, n_spans, kept binary, kept_sha256) for each distinct
-    text of ``texts`` (see :func:`distinct_texts`)."""
+def removed(texts: DataFrame, length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
+    """(tid, tag, n_bytes, n_removed, n_spans, kept binary, kept_sha256) for
+    each distinct text of ``texts`` (see :func:`distinct_texts`).  With
+    ``whole_characters`` a character cut in half goes whole from ``kept``."""
     left = length - GRAM
     width = left + length
     by = W.partitionBy("gram")
@@ -350,6 +351,8 @@ def removed(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                     at = j
                 kept.append(text[at:])
                 out.append((len(text), sum(j - i for i, j in gone), len(gone), b"".join(kept)))
+            if whole_characters:
+                out = [(*x, k.decode("utf-8", "ignore").encode()) for *x, k in out]
             columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([
                 b.column("tid"), b.column("tag"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary()),
@@ -360,16 +363,25 @@ def removed(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         cut, "tid long, tag long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
-def suffix_dedup(df: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def suffix_dedup(df: DataFrame, text_col: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
     """(row struct without the text, n_bytes, n_removed, n_spans, kept binary,
     kept_sha256) for every row of ``df``."""
     text = text_bytes(text_col)
     texts = distinct_texts(df.select(*text_keys(text), text.alias("text")))
-    result = removed(texts, length)
+    result = removed(texts, length, whole_characters)
     rows = df.select(F.struct(*[column(c) for c in df.columns if c != text_col]).alias("row"), *text_keys(text))
     return rows.join(result, ["tid", "tag"]).drop("tid", "tag")
 
 
+def cut(df: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """``df`` with its texts cut; null becomes empty, other columns stay, but
+    ``n_chars`` (if there is one) counts the new text's characters."""
+    out = suffix_dedup(df, text_col, length, whole_characters=True)
+    text = F.col("kept").cast("string")
+    new = {text_col: text, "n_chars": F.length(text).cast("long")}
+    return out.select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in df.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: what is left of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -9,13 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronodim.llm import simhash, suffix_dedup
+from chronodim.llm import bpe, decontaminate, quality, simhash, suffix_dedup
 from chronodim.llm.common import stage, table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: that of the smallest id."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, shingle=3, max_distance=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,11 +28,27 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return suffix_dedup.cut(docs)
 
 
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the benchmark go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit),
+    ids_sha256 and decoded_sha256 of every document left."""
+    out = bpe.bpe(docs, bpe.default_path())
+    return bpe.digests(out, "ids").select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
 STAGES = [
+    ("quality_classifier", good_quality),
     ("simhash_near_dedup", near_duplicates),
     ("suffix_array_dedup", repeated_passages),
+    ("benchmark_decontamination", benchmark_free),
+    ("bpe_encoding", tokens),
 ]
 
+#: SQL can't express the classifier; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
