@@ -13,8 +13,9 @@ matrix of each chunk (roles only), then the states between chunks, then the
 choices inside each chunk given its entry and exit state.  No conversation is
 gathered whole.
 
-Turns are ordered by (turn, role, text), null turns first.  Ties in cost go
-to the smaller state.  Edge cases: roles are compared trimmed and in lower
+Turns are ordered by (turn, role, text), null turns first.  Of ways of equal
+cost the one with the smaller state at the end of each chunk is taken, then
+inside the chunk, from its end.  Edge cases: roles are compared trimmed and in lower
 case, common other names count as the role they mean; a null or unknown role
 must be relabelled (cheaply); a null text renders as empty; repeated rows are
 turns of their own; a conversation with a null id is one conversation; an
@@ -145,7 +146,8 @@ def turns_of(df: DataFrame, chunk: int) -> DataFrame:
     rows = rows.withColumn("c1", F.coalesce(F.floor(F.col("turn") / chunk), F.lit(-(1 << 62))).cast("long"))
     crowded = rows.groupBy("conv_id", "c1").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 8 * chunk) \
         .select(F.col("conv_id").alias("k"), F.col("c1").alias("k1"))
-    split = F.concat(F.lpad(F.coalesce("turn", F.lit(0)).cast("string"), 20, "0"), F.lit("|"), F.coalesce("role", F.lit("")), F.lit("|"), F.substring(F.coalesce("text", F.lit("")), 1, 24))
+    least = F.lit("\x01")  # sorts before any character of a role
+    split = F.concat(F.lpad(F.coalesce(F.pmod("turn", F.lit(chunk)), F.lit(0)).cast("string"), 20, "0"), least, F.coalesce("role", F.lit("")), least, F.substring(F.coalesce("text", F.lit("")), 1, 24))
     return rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("k")) & (F.col("c1") == F.col("k1")), "left") \
         .withColumn("c2", F.when(F.col("k1").isNotNull(), split).otherwise("")).drop("k", "k1")
 
@@ -158,7 +160,7 @@ def sorted_rows(t: pa.Table) -> list[tuple]:
 def repair(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row for each piece of each repaired conversation: conv_id, pos
     (order of the turn in the conversation), part (order within the turn),
-    turn (null for inserted turns), role, action (keep, merge, relabel,
+    turn and from_role (as given; null for inserted turns), role, action (keep, merge, relabel,
     relabel+merge, insert, close) and rendered.  The pieces in order of (pos,
     part) are the rendered conversation."""
     conv = df.schema["conv_id"].dataType.simpleString()
@@ -194,21 +196,21 @@ def repair(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
         exit_[leave] = 0
         states = path_through([STEPS[r] for r in numbers], entry, exit_)
         out, before = [], entry
-        for k, ((turn, _, text), number, state) in enumerate(zip(found, numbers, states, strict=True)):
+        for k, ((turn, given, text), number, state) in enumerate(zip(found, numbers, states, strict=True)):
             inserted, action, rendered = render_piece(before, state, number, text or "", start + k == 0)
-            out += [(start + k, i, None, r, "insert", x) for i, (r, x) in enumerate(inserted)]
-            out.append((start + k, len(inserted), turn, STATES[state], action, rendered))
+            out += [(start + k, i, None, None, r, "insert", x) for i, (r, x) in enumerate(inserted)]
+            out.append((start + k, len(inserted), turn, given, STATES[state], action, rendered))
             before = state
         if last:
             close = closing(before)
-            out += [(start + len(found), i, None, r, "insert", x) for i, (r, x) in enumerate(close)]
-            out.append((start + len(found), len(close), None, STATES[FINAL], "close", "<|end|>\n"))
-        pos, part, turn, role, action, rendered = zip(*out, strict=True)
+            out += [(start + len(found), i, None, None, r, "insert", x) for i, (r, x) in enumerate(close)]
+            out.append((start + len(found), len(close), None, None, STATES[FINAL], "close", "<|end|>\n"))
+        pos, part, turn, given, role, action, rendered = zip(*out, strict=True)
         return pa.table({"conv_id": pa.array([t.column("conv_id")[0].as_py()] * len(out), t.schema.field("conv_id").type), "pos": pa.array(pos, pa.int64()), "part": pa.array(part, pa.int32()),
-                         "turn": pa.array(turn, pa.int64()), "role": pa.array(role), "action": pa.array(action), "rendered": pa.array(rendered)})
+                         "turn": pa.array(turn, pa.int64()), "from_role": pa.array(given, pa.string()), "role": pa.array(role), "action": pa.array(action), "rendered": pa.array(rendered)})
 
     met = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("k")) & (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2"))).drop("k", "k1", "k2")
-    return met.groupBy("conv_id", "c1", "c2").applyInArrow(choices, f"conv_id {conv}, pos long, part int, turn long, role string, action string, rendered string")
+    return met.groupBy("conv_id", "c1", "c2").applyInArrow(choices, f"conv_id {conv}, pos long, part int, turn long, from_role string, role string, action string, rendered string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
