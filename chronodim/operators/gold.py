@@ -67,60 +67,43 @@ def compare_dimensions(scd1: DataFrame, scd2: DataFrame, keys: Sequence[str], at
     )
 
 
-def refresh_comparison(prev: DataFrame, scd1: DataFrame, scd2_open: DataFrame, changed_keys: DataFrame,
-                       keys: Sequence[str], attrs: Sequence[str], *, run_ts=None,
-                       changes_small: bool | None = None, key_partitions: int | None = None) -> DataFrame:
-    """The comparison mart after one run, from the previous mart.
-
-    Only keys in ``changed_keys`` can change: their type-1 row, open version
-    and version counts are rebuilt; counts come from the previous row, plus
-    one when the open version is new (its start differs from the previous
-    open start).  Every other row is kept.  No scan of closed history: the
-    inputs are the previous mart, the type-1 table and the open versions,
-    each restricted by a semi join on the changed keys (broadcast when the
-    change set is proven small) and merged back with ``upsert``.
-
-    Equal to :func:`compare_dimensions` over the new tables when every key of
-    ``scd1`` has its versions in ``scd2`` (as in a store fed by one feed).
-    """
-    from chronodim.operators.merge import upsert
+def refresh_comparison(prev: DataFrame, scd1: DataFrame, scd2_open: DataFrame, closed_since: DataFrame,
+                       keys: Sequence[str], attrs: Sequence[str], *, run_ts=None) -> DataFrame:
+    """The comparison mart from the previous one, for the keys of ``scd1``.
+
+    ``prev``, ``scd1`` and ``scd2_open`` hold one row per key (of the key
+    ranges that changed); ``closed_since`` holds the versions closed since
+    ``prev`` was built, by however many runs.  A key's versions are those
+    counted before (whose open one is either still open or among the closed),
+    the closed ones since, and the open one.  Older history is not read.
 
+    Three left joins on one key: each input is laid out by the key once.
+    """
     keys = list(keys)
-    ck = changed_keys.select(*keys)
-    if key_partitions and not changes_small:
-        ck = ck.repartition(key_partitions, *keys)
-    ck = ck.distinct()
-    if changes_small:
-        ck = F.broadcast(ck)
-    s1 = scd1.join(ck, keys, "left_semi").select(
-        *keys, F.col(SK).alias("sk1_uuid"), *[F.col(a).alias(f"scd1_{a}") for a in attrs],
-        F.col(SOURCE_TS).alias("scd1_last_update"))
-    s2 = scd2_open.join(ck, keys, "left_semi").select(
-        *keys, F.col(SK).alias("sk2_uuid_current"), *[F.col(a).alias(f"scd2_{a}") for a in attrs],
-        F.col(SOURCE_TS).alias("scd2_last_update"), F.col(VALID_FROM).alias("scd2_valid_from"))
-    p = prev.join(ck, keys, "left_semi").select(
-        *keys, F.col("scd2_valid_from").alias("__p_open"), F.col("scd2_total_versions").alias("__p_n"),
-        F.col("scd2_first_version").alias("__p_first"), F.col("scd2_latest_version").alias("__p_last"))
-    j = s1.join(s2, keys, "left").join(p, keys, "left")
-    opened = F.col("scd2_valid_from").isNotNull() & (
-        F.col("__p_open").isNull() | (F.col("scd2_valid_from") != F.col("__p_open")))
-    total = F.when(opened, F.coalesce(F.col("__p_n"), F.lit(0)) + 1).otherwise(F.col("__p_n"))
-    first = F.when(F.col("__p_first").isNull(), F.col("scd2_valid_from")).otherwise(
-        F.least(F.col("__p_first"), F.col("scd2_valid_from")))
-    last = F.greatest(F.col("__p_last"), F.col("scd2_valid_from"))
-    fresh = j.select(
+    s1 = scd1.select(*keys, F.col(SK).alias("sk1_uuid"), *[F.col(a).alias(f"scd1_{a}") for a in attrs],
+                     F.col(SOURCE_TS).alias("scd1_last_update"))
+    s2 = scd2_open.select(*keys, F.col(SK).alias("sk2_uuid_current"), *[F.col(a).alias(f"scd2_{a}") for a in attrs],
+                          F.col(SOURCE_TS).alias("scd2_last_update"), F.col(VALID_FROM).alias("scd2_valid_from"))
+    p = prev.select(*keys, F.col("scd2_valid_from").alias("__p_open"), F.col("scd2_total_versions").alias("__p_n"),
+                    F.col("scd2_first_version").alias("__p_first"), F.col("scd2_latest_version").alias("__p_last"))
+    c = closed_since.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c_n"), F.min(VALID_FROM).alias("__c_first"),
+                                        F.max(VALID_FROM).alias("__c_last"))
+    j = s1.join(s2, keys, "left").join(p, keys, "left").join(c, keys, "left")
+    before = F.coalesce(F.col("__p_n"), F.lit(0)) - F.col("__p_open").isNotNull().cast("long")
+    total = before + F.coalesce(F.col("__c_n"), F.lit(0)) + F.col("scd2_valid_from").isNotNull().cast("long")
+    total = F.when(total > 0, total)
+    return j.select(
         *keys,
         "sk1_uuid", *[f"scd1_{a}" for a in attrs], "scd1_last_update",
         "sk2_uuid_current", *[f"scd2_{a}" for a in attrs], "scd2_last_update", "scd2_valid_from",
         total.cast("long").alias("scd2_total_versions"),
-        first.alias("scd2_first_version"),
-        last.alias("scd2_latest_version"),
+        F.least("__p_first", "__c_first", "scd2_valid_from").alias("scd2_first_version"),
+        F.greatest("__p_last", "__c_last", "scd2_valid_from").alias("scd2_latest_version"),
         F.when(total > 1, F.lit(True)).otherwise(F.lit(False)).alias("has_history"),
         F.lit(SCD1_BEHAVIOR).alias("scd1_behavior"),
         F.lit(SCD2_BEHAVIOR).alias("scd2_behavior"),
         audit_time(run_ts).alias(GOLD_CREATED_AT),
     )
-    return upsert(prev, fresh.select(*prev.columns), keys, small=changes_small, key_partitions=key_partitions)
 
 
 def version_history(scd2: DataFrame, keys: Sequence[str], *, run_ts=None, ordered: bool = True) -> DataFrame:

@@ -81,18 +81,28 @@ def split_bad_casts(raw: DataFrame, ts: str, casts: Mapping[str, str] | None = N
 def accepted_changes(raw: DataFrame, state: DataFrame | None, keys: Sequence[str], ts: str, *,
                      tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                      source_system: str = DEFAULT_SOURCE_SYSTEM, run_ts: str | Column | None = None,
-                     on_duplicate: str = "latest", watermark: Column | None = None) -> DataFrame:
+                     on_duplicate: str = "latest", watermark: Column | None = None, late: str = "table") -> DataFrame:
     """The rows one run applies to bronze: typed, above the watermark of
     ``state`` (no filter on the first run, ``state is None``), one per key.
     ``watermark`` (a scalar column) replaces the scan of ``state`` for its
     latest change time when the caller keeps that value.
 
     ``on_duplicate``: ``"latest"`` keeps the latest row per key (ties broken
-    by ``tiebreak`` then the other columns); ``"keep"`` keeps all rows as a
-    first-run load without merge does.
+    by ``tiebreak`` then by a hash of the other columns); ``"keep"`` keeps all
+    rows as a first-run load without merge does.
+
+    ``late="key"`` compares a row with its own key's change time in ``state``
+    instead of the table-wide watermark: a key not yet known is never late.
     """
     rows = to_bronze_rows(raw, ts, casts=casts, source_system=source_system, run_ts=run_ts)
-    if watermark is not None:
+    if state is not None and late == "key":
+        own = state.select(*keys, F.col(SOURCE_TS).alias("__own"))
+        cols = rows.columns
+        rows = rows.where(F.col(SOURCE_TS).isNotNull())
+        if on_duplicate == "latest":  # fewer rows to join
+            rows = latest_per_key(rows, keys, [SOURCE_TS, *tiebreak])
+        rows = rows.join(own, list(keys), "left").where(F.col("__own").isNull() | (F.col(SOURCE_TS) > F.col("__own"))).select(*cols)
+    elif watermark is not None:
         rows = rows.where(F.col(SOURCE_TS) > watermark)
     elif state is not None:
         rows = above_watermark(rows, state, SOURCE_TS, SOURCE_TS)

@@ -50,7 +50,9 @@ def patch_rows(raw: DataFrame, key: str, patches: Mapping[Any, Mapping[str, Any]
 
 def patch_from_frame(raw: DataFrame, key: str, patch: DataFrame) -> DataFrame:
     """Patch many keys from a frame (``key`` + columns to overwrite; NULL
-    keeps the old value): one left join on the key."""
+    keeps the old value): one left join on the key.  A key patched twice
+    takes the greater value of each column; rows are never multiplied."""
+    patch = patch.groupBy(key).agg(*[F.max(c).alias(c) for c in patch.columns if c != key])
     cols = [c for c in patch.columns if c != key]
     p = patch.select(key, *[F.col(c).alias(f"__p_{c}") for c in cols])
     j = raw.join(p, key, "left")
@@ -60,9 +62,19 @@ def patch_from_frame(raw: DataFrame, key: str, patch: DataFrame) -> DataFrame:
 
 def overwrite_via_staging(df: DataFrame, target: str, staging: str) -> DataFrame:
     """Replace the table at ``target`` with ``df`` even when ``df`` reads
-    ``target``: write to ``staging`` first, then overwrite ``target`` from
-    the staged files (Spark refuses to overwrite a path it is reading)."""
+    ``target``: the new rows are written in full to ``staging``, then two
+    renames put them in place (``target`` to ``<target>.replaced``,
+    ``staging`` to ``target``).  At every moment one complete copy exists; the
+    old one goes last."""
     spark = df.sparkSession
     df.write.mode("errorifexists").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(target)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, here, old = path(staging), path(target), path(f"{target.rstrip('/')}.replaced")
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(here) and not fs.rename(here, old):
+        raise OSError(f"could not move {target} aside; the new rows are in {staging}")
+    if not fs.rename(new, here):
+        raise OSError(f"could not move {staging} to {target}; the old rows are in {target}.replaced")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(target)
     return spark.read.parquet(target)

@@ -23,12 +23,13 @@ def keyed_outer_join(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     of the state's key column against the broadcast keys (its result is at
     most one row per change key, so it is broadcast too).  Otherwise both
     sides shuffle on the key.  ``small`` passes a size decision the caller
-    already made (one check per run instead of one per operator).  When the
+    already made; without it (and without a bound to check, which runs a job)
+    adaptive execution chooses.  When the
     state is bucketed by the key into ``key_partitions`` buckets, the change
     set is hash-partitioned the same way, so only the change set moves.
     """
     keys = list(keys)
-    if small is None:
+    if small is None and broadcast_max_rows_ is not None:
         small = fits_broadcast(changes, broadcast_max_rows_)
     if not small:
         if key_partitions:
@@ -51,14 +52,14 @@ def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     the new keys: ``state LEFT ANTI JOIN changes.keys UNION ALL changes``.
 
     ``changes`` should hold one row per key (see ``latest_per_key``); NULL
-    keys never match, as in MERGE.  When the change set's row count is
-    proven below the broadcast bound, only its key columns are broadcast and
+    keys never match, as in MERGE.  When the change set is proven small
+    (``small``, or by checking ``broadcast_max_rows``), only its key columns are broadcast and
     the state is streamed without a shuffle; otherwise both sides shuffle on
     the key (AQE splits skewed state partitions), or only the change set when
     the state is bucketed into ``key_partitions`` buckets by the key.
     """
     keys = list(keys)
-    if small is None:
+    if small is None and broadcast_max_rows is not None:
         changed_keys = broadcast_if_small(changes.select(*keys), broadcast_max_rows)
     else:
         changed_keys = F.broadcast(changes.select(*keys)) if small else changes.select(*keys)

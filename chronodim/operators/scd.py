@@ -36,7 +36,6 @@ from chronodim.operators.dedupe import latest_per_key
 from chronodim.operators.ingest import audit_time
 from chronodim.operators.merge import keyed_outer_join
 from chronodim.operators.watermark import watermark_value
-from chronodim.plans.session import broadcast_if_small
 
 SCD2_DERIVED = (SK, VALID_FROM, VALID_TO, IS_CURRENT, SILVER_CREATED_AT, SOURCE_SYSTEM)
 
@@ -157,14 +156,16 @@ def scd2_initial(changes: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS
 
 
 def scd2_close(state: DataFrame, changes: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS,
-               broadcast_max_rows: int | None = None) -> DataFrame:
+               small: bool = False) -> DataFrame:
     """Close the open version of every key that has a newer change:
     ``is_current = false``, ``valid_to`` = the change time.  Other rows are
     unchanged.  The newest change per key is taken, so one open version
-    maps to one update."""
+    maps to one update.  ``small``: the caller has proven the change set small
+    enough to broadcast; else adaptive execution chooses the join."""
     keys = list(keys)
     newest = changes.groupBy(*keys).agg(F.max(ts).alias("__new_ts"))
-    newest = broadcast_if_small(newest, broadcast_max_rows)
+    if small:
+        newest = F.broadcast(newest)
     cur = state.where(is_open())
     hist = state.where(~is_open())
     j = cur.join(newest, keys, "left")
@@ -182,9 +183,10 @@ def scd2_close(state: DataFrame, changes: DataFrame, keys: Sequence[str], *, ts:
 
 def scd2_new_versions(changes: DataFrame, state: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS,
                       run_ts=None, namespace: str = UUID5_NAMESPACE) -> DataFrame:
-    """Versions to append after closing: changes whose key has no open
-    version, or whose change time is newer than the open one."""
+    """Versions to append after closing: the newest change of each key that
+    has no open version, or is newer than the open one."""
     keys = list(keys)
+    changes = latest_per_key(changes, keys, [ts])
     opened = state.where(is_open()).select(*keys, F.col(ts).alias("__open_ts"), F.lit(True).alias("__open"))
     j = changes.join(opened, keys, "left")
     fresh = j.where(F.col("__open").isNull() | (F.col(ts) > F.col("__open_ts"))).drop("__open_ts", "__open")

@@ -1,48 +1,32 @@
 """Persisted runs of the layered dimension build: raw -> bronze -> type 1 /
 type 2 -> gold.
 
-Folder layout under ``root`` (all parquet, one folder per commit ``n``):
-
-* ``changes/_commit_id=n``  rows the run accepted (above the watermark, one
-  per key): the change log; append-only.
-* ``bronze/_commit_id=n``   upserted table after run ``n``.
-* ``scd1/_commit_id=n``     type-1 table after run ``n``.
-* ``scd2/_commit_id=n/is_current=false``  versions closed by run ``n``;
-  ``scd2/_commit_id=n/is_current=true``   all open versions after run ``n``.
-  The type-2 table as of ``n`` is every closed part ``<= n`` plus the open
-  part of ``n``; partition filters select them, so closed history is
-  written once and never rewritten.
-* ``skipped/_commit_id=n``  rows run ``n`` skipped as late or tied (only
-  with ``audit_skipped=True``).
-* ``quarantine/_commit_id=n``  raw rows whose typed columns did not parse
-  (only with ``on_bad_cast="quarantine"``; otherwise a bad value fails the
-  run, as an ANSI cast does).
-* ``meta/_commit_id=n``  one row of JSON: store settings, table schemas and
-  the watermark of every commit (latest accepted change time, equal to the
-  maximum over bronze, which never decreases), written last, so a commit is
-  visible only once it is complete and ``DimensionStore.open`` can resume
-  after a driver restart.  The next run filters its input with the
-  watermark as a literal, without scanning the state.
-* ``gold_comparison/_commit_id=n``  comparison mart after run ``n``: built
-  in full once, then refreshed for the keys each run changed.
-* ``gold_history/_commit_id=n``  history rows of the versions closed by
-  run ``n``: final when a version closes, so each run adds only these
-  (range-clustered on key and start for file skipping, a shuffle of that
-  run's closed versions only).  The history rows of open versions are a
-  pure projection of the open type-2 part and are computed on read.
-
-With ``buckets=N`` the tables a run joins on the key (bronze, type 1, the
-type-2 commit parts, the comparison mart) are written as Spark bucketed
-tables at the same paths (``bucketBy(N, keys)``, sorted by key, registered
-as external tables in the session catalog).  A run then shuffles only its
-change set into the state's bucket layout; the state side is read bucket by
-bucket without an exchange, and the joined result is written back one file
-per bucket.
+Everything is parquet under ``root``, one folder per run (commit) ``n``:
+
+* ``changes/_commit_id=n``  rows the run accepted, one per key; append-only.
+* ``bronze``, ``scd1``, ``gold_comparison`` ``/_commit_id=n/_part=k``: the key
+  ranges ``k`` of the table that run ``n`` changed.  A table as of ``v`` is,
+  for each range, the folder of the last run up to ``v`` that wrote it, so a
+  run reads and writes only the ranges that hold its keys.
+* ``scd2/_commit_id=n/is_current=false``  versions closed by run ``n`` (written
+  once); ``.../is_current=true/_part=k``  open versions by key range.
+* ``gold_history/_commit_id=n``  history rows of the versions closed by run
+  ``n``; those of open versions are projected on read.
+* ``skipped``, ``quarantine``  rows set aside, where asked for.
+* ``meta/_commit_id=n``  one row of JSON written last: settings, schemas, key
+  ranges, where each range lies, watermark and counts of the run.
+
+Key ranges are cut on the first load (or full refresh) from a range
+partitioning of the keys, about ``PART_BYTES`` each.  Each range is written
+sorted by key, so the files of a table hold disjoint key ranges.
+
+With ``buckets=N`` the state tables are instead written whole as Spark
+bucketed tables at the same paths, for runs that change most keys: only the
+change set is shuffled, and the state is read bucket by bucket.
 
 Every run reads only earlier commits and writes only its own folders, so a
-failed run can be repeated (writes overwrite the run's own folders) and no
-plan ever overwrites a path it reads.  Each written table is read back
-before its next use, which cuts lineage and fixes random type-1 keys.
+failed run can be repeated.  Each written table is read back before its next
+use, which cuts lineage and fixes random type-1 keys.
 """
 
 from __future__ import annotations
@@ -52,9 +36,10 @@ import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
 
 from chronodim.constants import (
     COMMIT_ID,
@@ -66,34 +51,56 @@ from chronodim.constants import (
     SOURCE_TS,
     VALID_FROM,
 )
-from chronodim.operators.changelog import as_of_version, commit_log, log_entries
+from chronodim.operators.changelog import log_entries
 from chronodim.operators.gold import compare_dimensions, refresh_comparison, version_history
 from chronodim.operators.ingest import accepted_changes, split_bad_casts, to_bronze_rows
-from chronodim.operators.watermark import late_rows
 from chronodim.operators.maintenance import cluster_by_range
 from chronodim.operators.merge import upsert
 from chronodim.operators.schema import evolve
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_versions
-from chronodim.plans.session import apply_session_defaults, fits_broadcast, probe_size
+from chronodim.operators.watermark import late_rows
+from chronodim.plans.session import apply_session_defaults, broadcast_max_bytes, broadcast_max_rows, row_bytes
 
 
 def _now_text() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
+def _observed(seen: Observation, df: DataFrame, counted: Sequence[Column]) -> dict:
+    """What ``seen`` counted during a write; counted over ``df`` where the
+    optimizer dropped the observed plan (an input known to be empty)."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return df.agg(*counted).first().asDict()
+
+
 BUCKETED_TABLES = ("bronze", "scd1", "scd2", "gold_comparison")
+PART = "_part"
+PART_BYTES = 64 * 1024 * 1024
+MAX_PARTS = 256
 
 
 class DimensionStore:
-    """A dimension built run by run from raw change batches."""
+    """A dimension built run by run from raw change batches.
+
+    ``late``: ``"table"`` skips rows at or below the latest change time of the
+    whole table, ``"key"`` only rows not newer than their own key's.
+    ``key_parts``: number of key ranges (default: by size).
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], ts: str, *,
                  tiebreak: Sequence[str] = (), casts: Mapping[str, str] | None = None,
                  source_system: str = DEFAULT_SOURCE_SYSTEM, attrs: Sequence[str] = (),
                  bronze_policy: str = "sync_all_columns", scd1_policy: str = "sync_all_columns",
-                 on_bad_cast: str = "fail", buckets: int | None = None, audit_skipped: bool = False):
+                 on_bad_cast: str = "fail", buckets: int | None = None, audit_skipped: bool = False,
+                 late: str = "table", on_duplicate: str = "latest", key_parts: int | None = None):
         if on_bad_cast not in ("fail", "quarantine"):
             raise ValueError(f"unknown on_bad_cast {on_bad_cast!r}")
+        if late not in ("table", "key"):
+            raise ValueError(f"unknown late policy {late!r}")
+        if on_duplicate not in ("latest", "error"):
+            raise ValueError(f"unknown on_duplicate policy {on_duplicate!r}")
         apply_session_defaults(spark)
         self.spark = spark
         self.root = root.rstrip("/")
@@ -108,12 +115,12 @@ class DimensionStore:
         self.on_bad_cast = on_bad_cast
         self.buckets = int(buckets) if buckets else None
         self.audit_skipped = bool(audit_skipped)
+        self.late = late
+        self.on_duplicate = on_duplicate
+        self.key_parts = key_parts
         self._registered: set[str] = set()
-        self._watermarks: dict[int, str] = {}
-        self._gold_times: dict[int, str] = {}
         self.version = -1
-        self._gold_upto = -1
-        self._schema: dict[str, StructType] = {}
+        self._metas: dict[int, dict] = {}
 
     # ------------------------------------------------------------ locations
     def _dir(self, table: str, v: int | None = None) -> str:
@@ -126,6 +133,15 @@ class DimensionStore:
             raise ValueError(f"no commit {v}; latest is {self.version}")
         return v
 
+    def _meta(self, v: int) -> dict:
+        """What commit ``v`` recorded (one small file, read once)."""
+        if v not in self._metas:
+            self._metas[v] = json.loads(self.spark.read.parquet(self._dir("meta", v)).first()["meta"])
+        return self._metas[v]
+
+    def _schema(self, table: str, v: int) -> StructType:
+        return StructType.fromJson(json.loads(self._meta(v)["schemas"][table]))
+
     def _bucketed(self, table: str) -> bool:
         return bool(self.buckets) and table in BUCKETED_TABLES
 
@@ -133,13 +149,37 @@ class DimensionStore:
         tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
         return f"chronodim_{tag}_{table}_{v}"
 
-    def _write(self, df: DataFrame, table: str, v: int, partition_by: Sequence[str] = (),
+    # --------------------------------------------------------------- writes
+    def _part(self, meta: dict) -> Column:
+        """Key range of a row: how many lower bounds its key reaches."""
+        types = self._key_types(meta)
+        key = F.struct(*[F.col(k) for k in self.keys])
+        part = F.lit(0)
+        for bound in meta["bounds"]:
+            low = F.struct(*[F.lit(x).cast(t).alias(k) for x, t, k in zip(bound, types, self.keys)])
+            part = part + (key >= low).cast("int")
+        return part
+
+    def _key_types(self, meta: dict) -> list[str]:
+        schema = StructType.fromJson(json.loads(meta["schemas"]["changes"]))
+        return [schema[k].dataType.simpleString() for k in self.keys]
+
+    def _cut_ranges(self, delta: DataFrame, size: int) -> list[list[str]]:
+        """Lower bounds of the key ranges after the first, from a range
+        partitioning of the keys (at most ``MAX_PARTS`` rows come back)."""
+        n = 1 if self.buckets else self.key_parts or min(MAX_PARTS, -(-size // PART_BYTES))
+        if n <= 1:
+            return []
+        least = delta.select(*self.keys).repartitionByRange(n, *self.keys).groupBy(F.spark_partition_id()) \
+            .agg(F.min(F.struct(*self.keys)).alias("k")).select("k").distinct()
+        rows = least.orderBy("k").select(*[F.col(f"k.{k}").cast("string").alias(k) for k in self.keys]).collect()
+        return [list(r) for r in rows[1:]]
+
+    def _write(self, df: DataFrame, table: str, v: int, meta: dict, partition_by: Sequence[str] = (),
                lay_out: bool = False) -> None:
-        """Write commit ``v`` of ``table``.  For a bucketed table, ``lay_out``
-        hash-partitions the rows into the buckets first; without it, input
-        not already laid out that way (a first load) would make every task
-        write one file per bucket.  Outputs of joins with the bucketed state
-        already have that layout and skip the extra shuffle."""
+        """Write commit ``v`` of ``table``: state tables by key range (or
+        bucketed), each range sorted by key; others as they are."""
+        meta["schemas"][table] = df.schema.json()
         if self._bucketed(table):
             if lay_out:
                 df = df.repartition(self.buckets, *self.keys)
@@ -151,19 +191,23 @@ class DimensionStore:
                 w = w.partitionBy(*partition_by)
             w.saveAsTable(name)
             self._registered.add(name)
-        else:
-            w = df.write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(self._dir(table, v))
-        self._schema[table] = df.schema
+            return
+        if table in BUCKETED_TABLES:
+            df = df.withColumn(PART, self._part(meta))
+            df = df.repartition(PART).sortWithinPartitions(*partition_by, PART, *self.keys)
+            partition_by = [*partition_by, PART]
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self._dir(table, v))
 
+    # ---------------------------------------------------------------- reads
     def _catalog_table(self, table: str, v: int) -> DataFrame:
         """A bucketed commit of ``table`` through the catalog (registered from
         its folder on first use, e.g. after ``open``)."""
         name = self._table_name(table, v)
+        fields = self._schema(table, v).fields
         if name not in self._registered:
-            fields = self._schema[table].fields
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
             keys = ", ".join(f"`{k}`" for k in self.keys)
             part = f"PARTITIONED BY (`{IS_CURRENT}`) " if table == "scd2" else ""
@@ -171,90 +215,93 @@ class DimensionStore:
             self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {part}CLUSTERED BY ({keys}) "
                            f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self._dir(table, v)}'")
             self._registered.add(name)
-        return self.spark.table(name).select(*[f.name for f in self._schema[table].fields])
+        return self.spark.table(name).select(*[f.name for f in fields])
+
+    def _read(self, table: str, paths: Sequence[str], schema: StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        files = self.spark.read.schema(schema).option("basePath", self._dir(table)).parquet(*paths)
+        return files.select(*[f.name for f in schema.fields])
 
-    def _snapshot(self, table: str, v: int | None) -> DataFrame:
+    def _snapshot(self, table: str, v: int | None, parts: Sequence[int] | None = None) -> DataFrame:
+        """``table`` as of commit ``v`` with that commit's columns, or only
+        its key ranges ``parts``."""
         v = self._version(v)
+        meta = self._meta(v)
+        where = meta["parts"].get(table)
+        if where is None:
+            raise ValueError(f"gold marts not built for commit {v}")
         if self._bucketed(table):
-            return self._catalog_table(table, v)
-        return self.spark.read.schema(self._schema[table]).parquet(self._dir(table, v))
-
-    def _partitioned(self, table: str, extra: Sequence[StructField]) -> DataFrame:
-        data = [f for f in self._schema[table].fields if f.name not in {e.name for e in extra}]
-        schema = StructType([*data, *extra])
-        return self.spark.read.schema(schema).option("basePath", self._dir(table)).parquet(self._dir(table))
+            return self._catalog_table(table, where["0"])
+        schema = self._schema(table, v)
+        chosen = [(int(p), c) for p, c in sorted(where.items(), key=lambda x: int(x[0])) if parts is None or int(p) in parts]
+        if table != "scd2":
+            return self._read(table, [f"{self._dir(table, c)}/{PART}={p}" for p, c in chosen], schema)
+        data = StructType([f for f in schema.fields if f.name != IS_CURRENT])
+        files = self._read(table, [f"{self._dir(table, c)}/{IS_CURRENT}=true/{PART}={p}" for p, c in chosen], data)
+        return files.withColumn(IS_CURRENT, F.lit(True)).select(*[f.name for f in schema.fields])
 
-    # ---------------------------------------------------------------- reads
     def bronze(self, v: int | None = None) -> DataFrame:
         return self._snapshot("bronze", v)
 
+    def bronze_as_of(self, v: int) -> DataFrame:
+        """Bronze as it was after commit ``v``, with the columns it had."""
+        return self.bronze(v)
+
     def scd1(self, v: int | None = None) -> DataFrame:
         return self._snapshot("scd1", v)
 
-    def _closed_open(self, table: str, v: int) -> DataFrame:
-        """Table in the closed/open layout as of commit ``v``: closed parts of
-        commits ``<= v`` and the open part of ``v`` (partition filters)."""
-        cols = [f.name for f in self._schema[table].fields]
-        allv = self._partitioned(table, [StructField(COMMIT_ID, LongType()), StructField(IS_CURRENT, BooleanType())])
-        live = ((F.col(COMMIT_ID) <= F.lit(v)) & ~F.col(IS_CURRENT)) | ((F.col(COMMIT_ID) == F.lit(v)) & F.col(IS_CURRENT))
-        return allv.where(live).select(*cols)
-
-    def _commit_part(self, table: str, v: int, current: bool | None = None) -> DataFrame:
-        """Rows written by commit ``v`` to a closed/open table (lists only that
-        commit's folder)."""
-        cols = [f.name for f in self._schema[table].fields]
-        if self._bucketed(table):
-            part = self._catalog_table(table, v)
-        else:
-            data = [f for f in self._schema[table].fields if f.name != IS_CURRENT]
-            schema = StructType([*data, StructField(IS_CURRENT, BooleanType())])
-            d = self._dir(table, v)
-            part = self.spark.read.schema(schema).option("basePath", d).parquet(d)
-        if current is not None:
-            part = part.where(F.col(IS_CURRENT) == F.lit(current))
-        return part.select(*cols)
+    def scd2_current(self, v: int | None = None) -> DataFrame:
+        """Open versions as of commit ``v``."""
+        v = self._version(v)
+        if self._bucketed("scd2"):
+            return self._catalog_table("scd2", self._meta(v)["parts"]["scd2"]["0"]).where(F.col(IS_CURRENT))
+        return self._snapshot("scd2", v)
+
+    def _closed(self, v: int, after: int = -1) -> DataFrame:
+        """Versions closed by the commits in ``(after, v]``."""
+        schema = self._schema("scd2", v)
+        data = StructType([f for f in schema.fields if f.name != IS_CURRENT])
+        commits = [c for a, b in self._meta(v)["closed"] for c in range(a, b + 1) if after < c <= v]
+        files = self._read("scd2", [f"{self._dir('scd2', c)}/{IS_CURRENT}=false" for c in commits], data)
+        return files.withColumn(IS_CURRENT, F.lit(False)).select(*[f.name for f in schema.fields])
 
     def scd2(self, v: int | None = None) -> DataFrame:
         """Type-2 table as of commit ``v`` (default latest)."""
-        return self._closed_open("scd2", self._version(v))
+        v = self._version(v)
+        return self._closed(v).unionByName(self.scd2_current(v))
 
-    def scd2_current(self, v: int | None = None) -> DataFrame:
-        """Open versions as of commit ``v``."""
-        return self._commit_part("scd2", self._version(v), current=True)
+    def _by_commit(self, table: str, missing: str) -> DataFrame:
+        meta = self._meta(self.version)
+        if table not in meta["schemas"]:
+            raise ValueError(missing)
+        data = [f for f in self._schema(table, self.version).fields if f.name != COMMIT_ID]
+        files = self.spark.read.schema(StructType([*data, StructField(COMMIT_ID, LongType())])) \
+            .option("basePath", self._dir(table)).parquet(self._dir(table))
+        return files.where(F.col(COMMIT_ID) <= F.lit(self.version))
 
     def log(self) -> DataFrame:
         """The change log: accepted rows with ``_commit_id``,
         ``_committed_at`` and ``_operation`` (complete commits only)."""
-        log = self._partitioned("changes", [StructField(COMMIT_ID, LongType())])
-        return log.where(F.col(COMMIT_ID) <= F.lit(self.version))
+        return self._by_commit("changes", "no commits")
 
     def quarantine(self) -> DataFrame:
         """Raw rows set aside because a typed column did not parse."""
-        if "quarantine" not in self._schema:
-            raise ValueError("no quarantined rows: the store was not run with on_bad_cast='quarantine'")
-        q = self._partitioned("quarantine", [StructField(COMMIT_ID, LongType())])
-        return q.where(F.col(COMMIT_ID) <= F.lit(self.version))
+        return self._by_commit("quarantine", "no quarantined rows: the store was not run with on_bad_cast='quarantine'")
 
     def skipped(self) -> DataFrame:
-        """Rows incremental runs skipped (at or below the watermark, or without
-        a change time), per commit; kept with ``audit_skipped=True``."""
-        if "skipped" not in self._schema:
-            raise ValueError("no skipped rows kept: run the store with audit_skipped=True")
-        q = self._partitioned("skipped", [StructField(COMMIT_ID, LongType())])
-        return q.where(F.col(COMMIT_ID) <= F.lit(self.version))
+        """Rows incremental runs skipped as late or without a change time, per
+        commit; kept with ``audit_skipped=True``."""
+        return self._by_commit("skipped", "no skipped rows kept: run the store with audit_skipped=True")
 
     # ------------------------------------------------------------ metadata
     _SETTINGS = ("keys", "ts", "tiebreak", "casts", "source_system", "attrs", "bronze_policy",
-                 "scd1_policy", "on_bad_cast", "buckets", "audit_skipped")
-
-    def _write_meta(self, n: int) -> None:
-        meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS},
-                "schemas": {t: s.json() for t, s in self._schema.items()},
-                "gold_upto": self._gold_upto,
-                "watermarks": {str(k): w for k, w in self._watermarks.items() if k <= n},
-                "gold_times": {str(k): t for k, t in self._gold_times.items() if k <= n}}
+                 "scd1_policy", "on_bad_cast", "buckets", "audit_skipped", "late", "on_duplicate", "key_parts")
+
+    def _write_meta(self, n: int, meta: dict) -> None:
         self.spark.range(1).select(F.lit(json.dumps(meta)).alias("meta")) \
             .write.mode("overwrite").parquet(self._dir("meta", n))
+        self._metas[n] = meta
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "DimensionStore":
@@ -262,27 +309,35 @@ class DimensionStore:
         root = root.rstrip("/")
         metas = spark.read.schema(f"meta string, {COMMIT_ID} long").option("basePath", f"{root}/meta") \
             .parquet(f"{root}/meta")
-        last = metas.orderBy(F.col(COMMIT_ID).desc()).limit(1).first()
+        last = metas.agg(F.max(COMMIT_ID).alias("n")).first()["n"]
         if last is None:
             raise ValueError(f"no complete commit under {root}")
-        meta = json.loads(last["meta"])
+        meta = json.loads(metas.where(F.col(COMMIT_ID) == F.lit(last)).first()["meta"])
         store = cls(spark, root, **meta["settings"])
-        store._schema = {t: StructType.fromJson(json.loads(s)) for t, s in meta["schemas"].items()}
-        store.version = int(last[COMMIT_ID])
-        store._gold_upto = int(meta["gold_upto"])
-        store._watermarks = {int(k): w for k, w in meta["watermarks"].items()}
-        store._gold_times = {int(k): t for k, t in meta["gold_times"].items()}
+        store.version = int(last)
+        store._metas[store.version] = meta
         return store
 
     def commits(self) -> DataFrame:
-        return commit_log(self.log().where(F.col(COMMIT_ID) <= F.lit(self.version)))
-
-    def bronze_as_of(self, v: int) -> DataFrame:
-        """Bronze rebuilt from the change log as of commit ``v``."""
-        return as_of_version(self.log(), self._version(v), self.keys)
-
-    def _watermark_value(self, v: int) -> F.Column:
-        return F.lit(self._watermarks[v]).cast(self._schema["changes"][SOURCE_TS].dataType)
+        """One row per commit, from what each run counted when it wrote:
+        ``snapshot_id, committed_at, operation, summary``."""
+        rows = self.spark.read.schema(f"meta string, {COMMIT_ID} long").option("basePath", self._dir("meta")) \
+            .parquet(self._dir("meta")).where(F.col(COMMIT_ID) <= F.lit(self.version))
+        run = F.from_json(F.get_json_object("meta", "$.run"), "committed_at string, operation string, added long, lo string, hi string")
+        r = rows.select(COMMIT_ID, run.alias("r"))
+        summary = F.create_map(F.lit("added-records"), F.col("r.added").cast("string"), F.lit("min-change-ts"), F.col("r.lo"),
+                               F.lit("max-change-ts"), F.col("r.hi"))
+        return r.select(F.col(COMMIT_ID).alias("snapshot_id"), F.col("r.committed_at").cast("timestamp").alias("committed_at"),
+                        F.col("r.operation").alias("operation"), summary.alias("summary")).orderBy("committed_at", "snapshot_id")
+
+    def _watermark_value(self, v: int) -> Column:
+        """The stored watermark: zone-free text for a zone-free change time,
+        else microseconds since the epoch."""
+        w = self._meta(v)["watermark"]
+        t = self._schema("changes", v)[SOURCE_TS].dataType
+        if w is None:
+            return F.lit(EMPTY_WATERMARK).cast(t)
+        return F.lit(w).cast(t) if isinstance(t, TimestampNTZType) else F.timestamp_micros(F.lit(w).cast("long"))
 
     def watermark(self, v: int | None = None) -> DataFrame:
         """One row ``watermark``: the latest accepted change time."""
@@ -291,19 +346,21 @@ class DimensionStore:
     def gold_comparison(self, v: int | None = None) -> DataFrame:
         return self._snapshot("gold_comparison", v)
 
-    def gold_history(self, v: int | None = None) -> DataFrame:
-        """History mart as of commit ``v``: the materialized rows of versions
-        closed by then, plus the open versions of ``v`` projected on read
-        (their history row is a pure function of the open version)."""
+    def gold_history(self, v: int | None = None, ordered: bool = True) -> DataFrame:
+        """History mart as of commit ``v`` in key, start order: the
+        materialized rows of versions closed by then, plus the open versions
+        of ``v`` projected on read."""
         v = self._version(v)
-        if v > self._gold_upto:
+        meta = self._meta(v)
+        if "gold_history" not in meta["schemas"] or v > meta["gold_upto"]:
             raise ValueError(f"gold marts not built for commit {v}")
-        cols = [f.name for f in self._schema["gold_history"].fields]
-        closed = self._partitioned("gold_history", [StructField(COMMIT_ID, LongType())]) \
-            .where(F.col(COMMIT_ID) <= F.lit(v)).select(*cols)
-        opened = version_history(self._commit_part("scd2", v, current=True), self.keys,
-                                 run_ts=self._gold_times[v], ordered=False).select(*cols)
-        return closed.unionByName(opened)
+        schema = self._schema("gold_history", v)
+        cols = [f.name for f in schema.fields]
+        commits = [c for a, b in meta["closed"] for c in range(a, b + 1) if c <= v]
+        closed = self._read("gold_history", [self._dir("gold_history", c) for c in commits], schema)
+        opened = version_history(self.scd2_current(v), self.keys, run_ts=meta["gold_time"], ordered=False).select(*cols)
+        out = closed.unionByName(opened)
+        return out.orderBy(*self.keys, VALID_FROM) if ordered else out
 
     def register_views(self, names: Mapping[str, str] | None = None) -> dict[str, str]:
         """Temporary views over the latest tables, so SQL reports run
@@ -319,95 +376,149 @@ class DimensionStore:
         return names
 
     # ---------------------------------------------------------------- runs
-    def apply(self, raw: DataFrame, run_ts: str | None = None, *, build_gold: bool = True) -> int:
+    def full_refresh(self, raw: DataFrame, run_ts: str | None = None, *, build_gold: bool = True) -> int:
+        """A run that builds every table anew from ``raw`` alone.  Earlier
+        commits stay readable; type-2 keys come out as before, type-1 keys
+        are new."""
+        return self.apply(raw, run_ts, build_gold=build_gold, refresh=True)
+
+    def apply(self, raw: DataFrame, run_ts: str | None = None, *, build_gold: bool = True, refresh: bool = False,
+              late: str | None = None) -> int:
         """Run one batch of raw rows through every layer; returns its commit."""
+        apply_session_defaults(self.spark)
         n = self.version + 1
-        first = n == 0
+        first = n == 0 or refresh
         run_ts = run_ts or _now_text()
+        late = late or self.late
+        old = {} if n == 0 else self._meta(n - 1)
+        meta = {"settings": {k: getattr(self, k) for k in self._SETTINGS}, "schemas": dict(old.get("schemas", {})),
+                "bounds": old.get("bounds", []), "parts": {} if first else {t: dict(p) for t, p in old["parts"].items()},
+                "closed": [] if first else [list(x) for x in old["closed"]], "gold_upto": -1 if first else old["gold_upto"],
+                "gold_time": None if first else old["gold_time"], "watermark": None if first else old["watermark"]}
         prev_bronze = None if first else self.bronze()
         prev_wm = None if first else self._watermark_value(n - 1)
 
         if self.on_bad_cast == "quarantine":
             raw, bad = split_bad_casts(raw, self.ts, self.casts)
-            self._write(bad, "quarantine", n)
+            self._write(bad, "quarantine", n, meta)
+        typed = to_bronze_rows(raw, self.ts, casts=self.casts, source_system=self.source_system, run_ts=run_ts)
         if self.audit_skipped and not first:
-            typed = to_bronze_rows(raw, self.ts, casts=self.casts, source_system=self.source_system, run_ts=run_ts)
-            self._write(late_rows(typed, None, watermark=prev_wm), "skipped", n)
+            own = prev_bronze.select(*self.keys, F.col(SOURCE_TS).alias("__own"))
+            gone = late_rows(typed, None, watermark=prev_wm) if late == "table" else \
+                typed.join(own, self.keys, "left").where(F.col(SOURCE_TS).isNull() | (F.col(SOURCE_TS) <= F.col("__own"))).drop("__own")
+            self._write(gone, "skipped", n, meta)
+        if self.on_duplicate == "error":
+            twice = typed.groupBy(*self.keys).count().where(F.col("count") > 1).limit(1)
+            if twice.count():
+                raise ValueError(f"a run holds several changes of one key; on_duplicate='error' ({self.keys})")
         chg = accepted_changes(raw, prev_bronze, self.keys, self.ts, tiebreak=self.tiebreak, casts=self.casts,
-                               source_system=self.source_system, run_ts=run_ts, watermark=prev_wm)
+                               source_system=self.source_system, run_ts=run_ts, watermark=prev_wm, late=late)
         if prev_bronze is not None:
-            prev_bronze, chg = evolve(prev_bronze, chg, self.bronze_policy)
-
-        # 1. the batch delta, written once; every later step reads it back
-        self._write(log_entries(chg, n, first=first, committed_at=run_ts).drop(COMMIT_ID), "changes", n)
-        delta = self.spark.read.schema(self._schema["changes"]).parquet(self._dir("changes", n)) \
-            .drop(COMMITTED_AT, OPERATION)
-        # one probe per run: is the change set proven small (then it is
-        # broadcast and the state is streamed without a shuffle), and its
-        # latest change time, the next watermark (accepted rows are all above
-        # the previous one)
-        newest = F.max(SOURCE_TS).cast("string")
+            chg = evolve(prev_bronze, chg, self.bronze_policy)[1]
+
+        # 1. the batch delta, written once; its size, newest change time and
+        # key ranges are counted as it is written
+        entries = log_entries(chg, n, first=n == 0, committed_at=run_ts).drop(COMMIT_ID)
+        zone_free = isinstance(entries.schema[SOURCE_TS].dataType, TimestampNTZType)
+        newest = F.max(SOURCE_TS).cast("string") if zone_free else F.unix_micros(F.max(SOURCE_TS)).cast("string")
+        counted = [F.count(F.lit(1)).alias("added"), F.sum(row_bytes(entries)).alias("size"), newest.alias("newest"),
+                   F.min(SOURCE_TS).cast("string").alias("lo"), F.max(SOURCE_TS).cast("string").alias("hi")]
+        if not first:
+            meta["schemas"]["changes"] = entries.schema.json()
+            counted.append(F.collect_set(self._part(meta)).alias("parts"))
+        seen = Observation(f"delta-{n}")
+        self._write(entries.observe(seen, *counted), "changes", n, meta)
+        written = self.spark.read.schema(entries.schema).parquet(self._dir("changes", n))
+        seen = _observed(seen, written, counted)
+        delta = written.drop(COMMITTED_AT, OPERATION)
+        meta["run"] = {"committed_at": run_ts, "operation": "append" if n == 0 else "overwrite", "added": seen["added"], "lo": seen["lo"], "hi": seen["hi"]}
+        if seen["newest"] is not None and (late == "table" or first):
+            meta["watermark"] = seen["newest"]
+        elif seen["newest"] is not None:
+            old_wm = meta["watermark"]
+            later = old_wm is None or (seen["newest"] > old_wm if zone_free else int(seen["newest"]) > int(old_wm))
+            meta["watermark"] = seen["newest"] if later else old_wm
+        if first or not any(old["parts"]["bronze"]):
+            meta["bounds"] = self._cut_ranges(delta, seen["size"] or 0) if seen["added"] else []
         if first:
-            small = None
-            latest = delta.agg(newest.alias("m")).first()["m"] or EMPTY_WATERMARK
+            touched = [r[0] for r in delta.select(self._part(meta)).distinct().collect()]  # at most MAX_PARTS
         else:
-            small, probed = probe_size(delta, extra={"newest": newest})
-            latest = probed["newest"] or self._watermarks[n - 1]
-        self._watermarks[n] = latest
+            touched = seen["parts"]
+        small = None if first else seen["added"] <= broadcast_max_rows(self.spark) and (seen["size"] or 0) <= broadcast_max_bytes(self.spark)
         layout = self.buckets if (self.buckets and small is False) else None
-
-        # 2. bronze: upsert by key
-        bronze = delta if first else upsert(prev_bronze, delta, self.keys, small=small, key_partitions=layout)
-        self._write(bronze, "bronze", n, lay_out=first)
-
-        # 3. type 1: keys kept for known entities, new uuid v7 otherwise
-        scd1 = scd1_apply(delta, None if first else self.scd1(), self.keys, run_ts=run_ts,
-                          schema_policy=self.scd1_policy, watermark=prev_wm, changes_small=small,
-                          key_partitions=layout)
-        self._write(scd1, "scd1", n, lay_out=first)
-
-        # 4. type 2: closed versions of this run + every open version
-        if first:
-            scd2_delta = scd2_versions(delta, self.keys, run_ts=run_ts)
-        else:
-            scd2_delta = scd2_apply_open(delta, self.scd2_current(), self.keys, run_ts=run_ts,
-                                         changes_small=small, key_partitions=layout)
-        self._write(scd2_delta, "scd2", n, partition_by=[IS_CURRENT], lay_out=first)
+        if self.buckets:
+            touched = [0]
+
+        def place(table: str) -> None:
+            meta["parts"].setdefault(table, {}).update({str(p): n for p in touched})
+
+        def part_of(table: str) -> DataFrame:
+            return self._snapshot(table, n - 1, touched) if table != "scd2" or not self.buckets else self.scd2_current(n - 1)
+
+        same_columns = first or {f.name: f.dataType for f in delta.schema} == {f.name: f.dataType for f in self._schema("bronze", n - 1)}
+        if first or touched:
+            # 2. bronze: upsert by key
+            bronze = delta if first else upsert(evolve(part_of("bronze"), delta, self.bronze_policy)[0], delta, self.keys, small=small, key_partitions=layout)
+            self._write(bronze, "bronze", n, meta, lay_out=first)
+            place("bronze")
+
+            # 3. type 1: keys kept for known entities, new uuid v7 otherwise
+            wm = prev_wm if late == "table" or first else F.lit(EMPTY_WATERMARK).cast(delta.schema[SOURCE_TS].dataType)
+            scd1 = scd1_apply(delta, None if first else part_of("scd1"), self.keys, run_ts=run_ts,
+                              schema_policy=self.scd1_policy, watermark=wm, changes_small=small, key_partitions=layout)
+            self._write(scd1, "scd1", n, meta, lay_out=first)
+            place("scd1")
+
+            # 4. type 2: closed versions of this run + the open versions of its ranges
+            if first:
+                scd2_delta = scd2_versions(delta, self.keys, run_ts=run_ts)
+            else:
+                scd2_delta = scd2_apply_open(delta, part_of("scd2"), self.keys, run_ts=run_ts,
+                                             changes_small=small, key_partitions=layout)
+            ends, closed = Observation(f"closed-{n}"), F.count_if(~F.col(IS_CURRENT)).alias("closed")
+            self._write(scd2_delta.observe(ends, closed), "scd2", n, meta, partition_by=[IS_CURRENT], lay_out=first)
+            place("scd2")
+            if not first and _observed(ends, scd2_delta, [closed])["closed"]:
+                if meta["closed"] and meta["closed"][-1][1] == n - 1:
+                    meta["closed"][-1][1] = n
+                else:
+                    meta["closed"].append([n, n])
+        if not touched and not same_columns and self.bronze_policy == "sync_all_columns":
+            meta["schemas"]["bronze"] = delta.schema.json()
+        self._metas[n] = meta
         self.version = n
-
         if build_gold:
-            self._build_gold(run_ts, small)
-        self._write_meta(n)
+            self._build_gold(meta, run_ts)
+        self._write_meta(n, meta)
         return n
 
     def build_gold(self, run_ts: str | None = None) -> None:
-        """Rebuild the comparison mart; add the history rows of every commit
-        not yet in the history mart."""
-        self._build_gold(run_ts)
-        self._write_meta(self.version)
-
-    def _build_gold(self, run_ts: str | None, small: bool | None = None) -> None:
-        n = self.version
+        """Bring both marts up to the latest commit, however many commits the
+        last build lies back."""
+        meta = self._meta(self.version)
+        self._build_gold(meta, run_ts)
+        self._write_meta(self.version, meta)
+
+    def _build_gold(self, meta: dict, run_ts: str | None) -> None:
+        n, upto = self.version, meta["gold_upto"]
         run_ts = run_ts or _now_text()
-        full = self._gold_upto < 0
+        full = upto < 0
         if full:
+            touched = [int(p) for p in meta["parts"]["bronze"]]
             comparison = compare_dimensions(self.scd1(), self.scd2(), self.keys, self.attrs, run_ts=run_ts)
         else:
-            # only keys changed since the last build can change: no scan of closed history
-            changed = self.log().where(F.col(COMMIT_ID) > F.lit(self._gold_upto)).select(*self.keys)
-            if small is None or self._gold_upto != n - 1:
-                small = fits_broadcast(changed)
-            layout = self.buckets if (self.buckets and not small) else None
-            comparison = refresh_comparison(self.gold_comparison(self._gold_upto), self.scd1(), self.scd2_current(),
-                                            changed, self.keys, self.attrs, run_ts=run_ts, changes_small=small,
-                                            key_partitions=layout)
-        self._write(comparison, "gold_comparison", n, lay_out=full)
-        for v in range(self._gold_upto + 1, n + 1):
-            # closed rows are final: materialized once, range-clustered (a
-            # shuffle of this run's closed versions only); open rows are
-            # projected from the open versions on read
-            closed = version_history(self._commit_part("scd2", v, current=False), self.keys, run_ts=run_ts,
-                                     ordered=False)
-            self._write(cluster_by_range(closed, [*self.keys, VALID_FROM]), "gold_history", v)
-            self._gold_times[v] = run_ts
-        self._gold_upto = n
+            # only key ranges written since the last build can differ
+            touched = [int(p) for p, c in meta["parts"]["bronze"].items() if c > upto]
+            comparison = refresh_comparison(self._snapshot("gold_comparison", n, touched), self._snapshot("scd1", n, touched),
+                                            self.scd2_current() if self.buckets else self._snapshot("scd2", n, touched),
+                                            self._closed(n, after=upto), self.keys, self.attrs, run_ts=run_ts)
+        if touched or full:
+            self._write(comparison, "gold_comparison", n, meta, lay_out=full)
+            meta["parts"].setdefault("gold_comparison", {}).update({str(p): n for p in touched})
+        for c in (c for a, b in meta["closed"] for c in range(a, b + 1) if c > upto):
+            # closed rows are final: materialized once, clustered by key range
+            closed = version_history(self._closed(c, after=c - 1), self.keys, run_ts=run_ts, ordered=False)
+            self._write(cluster_by_range(closed, [*self.keys, VALID_FROM]), "gold_history", c, meta)
+        if "gold_history" not in meta["schemas"]:
+            meta["schemas"]["gold_history"] = version_history(self.scd2_current(), self.keys, run_ts=run_ts, ordered=False).schema.json()
+        meta["gold_upto"], meta["gold_time"] = n, run_ts

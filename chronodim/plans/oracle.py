@@ -106,15 +106,21 @@ def _events_bronze_latest(upto_batch: int | None = None) -> str:
 
 ORACLE_SQL: dict[str, str] = {}
 
-ORACLE_SQL["bronze_ingest"] = _with(E) + f"SELECT {_bronze_cols(E)} FROM dd WHERE b = 0"
+ORACLE_SQL["bronze_ingest"] = "\nUNION ALL\n".join(
+    f"SELECT *, CAST({n} AS BIGINT) AS batch FROM ({_events_bronze_latest(n)})" for n in range(E.n_batches))
 
 ORACLE_SQL["seed_load"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
+ORACLE_SQL["seed_text"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+ORACLE_SQL["typed_ingest"] = f"""SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day,
+  ts AS source_updated_at, {SAP} AS _source_system FROM events"""
+
 ORACLE_SQL["high_watermark"] = _with(E) + """SELECT CAST(x.b AS BIGINT) AS commit_id,
   (SELECT max(ts) FROM acc a WHERE a.b <= x.b) AS watermark FROM bm x"""
 
 ORACLE_SQL["watermark_filter"] = _with(O) + """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-  o_orderdate, o_orderpriority FROM f WHERE b = 1 AND o_orderdate > (SELECT max(o_orderdate) FROM acc WHERE b = 0)"""
+  o_orderdate, o_orderpriority, CAST(f.b AS BIGINT) AS batch FROM f JOIN wm USING (b) WHERE f.b > 0 AND o_orderdate > wm.w"""
 
 ORACLE_SQL["late_rows"] = _with(O) + """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   o_orderpriority, CAST(f.b AS BIGINT) AS batch FROM f JOIN wm USING (b)
@@ -132,14 +138,15 @@ ORACLE_SQL["scd1_key_stability"] = _with(E) + f"""SELECT {E_KEY}, CAST(1 AS BIGI
   CAST({E.n_batches} - min(b) AS BIGINT) AS snapshots, '7' AS version_digit, true AS variant_ok
   FROM dd GROUP BY {E_KEY}"""
 
-ORACLE_SQL["scd2_initial"] = _with(E) + f"SELECT {_version_cols(E, 'CAST(NULL AS TIMESTAMP)')} FROM dd WHERE b = 0"
+ORACLE_SQL["scd2_initial"] = f"""SELECT {_version_cols(E, 'CAST(NULL AS TIMESTAMP)')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {E_KEY} ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1"""
 
-ORACLE_SQL["scd2_close"] = _with(
-    E, f"n1 AS (SELECT {E_KEY}, max(ts) AS nts FROM dd WHERE b = 1 GROUP BY {E_KEY})",
-    f"c AS (SELECT d.*, CASE WHEN n1.nts > d.ts THEN n1.nts END AS vt FROM dd d LEFT JOIN n1 USING ({E_KEY}) WHERE d.b = 0)",
-) + f"SELECT {_version_cols(E, 'vt')} FROM c"
+ORACLE_SQL["scd2_close"] = _with(E) + "\nUNION ALL\n".join(
+    f"""SELECT {_version_cols(E, 'vt')}, CAST({n} AS BIGINT) AS batch FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY {E_KEY} ORDER BY ts) AS vt FROM dd WHERE b <= {n}) WHERE b < {n}""" for n in range(1, E.n_batches))
 
-ORACLE_SQL["scd2_new_versions"] = _with(E) + f"SELECT {_version_cols(E, 'CAST(NULL AS TIMESTAMP)')} FROM dd WHERE b = 1"
+ORACLE_SQL["scd2_new_versions"] = _with(E) + f"""SELECT {_version_cols(E, 'CAST(NULL AS TIMESTAMP)')},
+  CAST(b AS BIGINT) AS batch FROM dd WHERE b > 0"""
 
 ORACLE_SQL["scd2_late"] = _with(O) + f"SELECT {_version_cols(O)} FROM vw"
 
@@ -172,6 +179,10 @@ ORACLE_SQL["report_comparison"] = _GOLD + f"""SELECT cur.{E_KEY}, {duck_uuid5(_s
   cur.event_type AS scd1_event_type, cur.event_type AS scd2_event_type, h.n > 1 AS has_history,
   h.n AS scd2_total_versions FROM cur JOIN h USING ({E_KEY})"""
 
+ORACLE_SQL["gold_comparison_deferred"] = ORACLE_SQL["gold_comparison"]
+
+ORACLE_SQL["history_order"] = _with(E) + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM vw"
+
 ORACLE_SQL["gold_history"] = _with(E) + f"""SELECT {_version_cols(E).replace(f", {SAP} AS _source_system", "")},
   CASE WHEN nxt IS NULL THEN '{STATE_OPEN}' ELSE '{STATE_CLOSED}' END AS record_state,
   CAST(trunc((floor(epoch(nxt)) - floor(epoch(ts))) / 86400) AS INTEGER) AS days_valid FROM vw"""
@@ -192,6 +203,8 @@ ORACLE_SQL["commit_log"] = _with(E) + f"""SELECT CAST(b AS BIGINT) AS snapshot_i
 
 ORACLE_SQL["as_of_version"] = _events_bronze_latest(upto_batch=1)
 
+ORACLE_SQL["as_of_schema"] = ORACLE_SQL["as_of_version"]
+
 ORACLE_SQL["raw_patch"] = """SELECT c_custkey,
   CASE WHEN c_custkey = 3 THEN 'Customer#000000003 2.0' ELSE c_name END AS c_name,
   c_nationkey,
@@ -201,23 +214,16 @@ FROM customer
 UNION ALL
 SELECT max(c_custkey) + 1, 'Customer#new', 0, 0.0, 'BUILDING' FROM customer"""
 
-ORACLE_SQL["range_clustered"] = "SELECT * FROM orders"
+ORACLE_SQL["range_clustered"] = _with(E) + f"""SELECT 'orders' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS overlapping_files FROM orders
+UNION ALL SELECT 'scd1', count(DISTINCT {E_KEY}), 0 FROM vw
+UNION ALL SELECT 'scd2_current', count(DISTINCT {E_KEY}), 0 FROM vw"""
 
-_SCHEMA_CTES = (
-    f"b0 AS (SELECT * FROM dd WHERE b = 0)",
-    f"b1 AS (SELECT * FROM dd WHERE b = 1)",
-)
-ORACLE_SQL["schema_sync"] = _with(E, *_SCHEMA_CTES) + f"""
-SELECT event_id, user_id, event_type, props, ts AS source_updated_at, {SAP} AS _source_system FROM b1
-UNION ALL
-SELECT event_id, user_id, event_type, CAST(NULL AS VARCHAR), ts, {SAP} FROM b0
-WHERE user_id NOT IN (SELECT user_id FROM b1)"""
+_LATEST = f"(SELECT *, row_number() OVER (PARTITION BY {E_KEY} ORDER BY b DESC) AS r FROM dd)"
+ORACLE_SQL["schema_sync"] = _with(E) + f"""SELECT event_id, user_id, event_type, CASE WHEN b > 0 THEN props END AS props,
+  ts AS source_updated_at, {SAP} AS _source_system FROM {_LATEST} WHERE r = 1"""
 
-ORACLE_SQL["schema_ignore"] = _with(E, *_SCHEMA_CTES) + f"""
-SELECT event_id, user_id, event_type, CAST(NULL AS DOUBLE) AS value, ts AS source_updated_at,
-  {SAP} AS _source_system FROM b1
-UNION ALL
-SELECT event_id, user_id, event_type, value, ts, {SAP} FROM b0 WHERE user_id NOT IN (SELECT user_id FROM b1)"""
+ORACLE_SQL["schema_ignore"] = _with(E) + f"""SELECT event_id, user_id, event_type, CASE WHEN b = 0 THEN value END AS value,
+  ts AS source_updated_at, {SAP} AS _source_system FROM {_LATEST} WHERE r = 1"""
 
 _CUST_SEED = "CAST(c_custkey AS VARCHAR) || '|' || c_name"
 ORACLE_SQL["uuid5_key"] = f"""WITH s AS (
@@ -227,8 +233,8 @@ SELECT c_custkey, seed, {duck_uuid5('seed')} AS sk_name FROM s"""
 
 ORACLE_SQL["sql_uuid5"] = f"SELECT c_custkey, {duck_uuid5(_CUST_SEED)} AS sk_name FROM customer"
 
-ORACLE_SQL["key_idempotence"] = f"""SELECT count(DISTINCT {_CUST_SEED}) AS distinct_seeds,
-  count(DISTINCT {_CUST_SEED}) AS distinct_keys, CAST(0 AS BIGINT) AS unstable_rows FROM customer"""
+ORACLE_SQL["key_idempotence"] = _with(E) + f"""SELECT count(*) AS versions, count(DISTINCT {duck_uuid5(_seed(E))}) AS distinct_keys,
+  CAST(0 AS BIGINT) AS unstable_rows FROM vw"""
 
 ORACLE_SQL["uuid7_properties"] = """SELECT count(*) AS n_rows, count(*) AS n_distinct, count(*) AS n_version7,
   count(*) AS n_variant_ok, count(*) AS n_len36, count(*) AS n_time_prefix FROM orders"""
@@ -237,13 +243,30 @@ _NN_COLS = {
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
     "documents": ["doc_id", "text", "lang", "source", "n_chars"],
 }
-ORACLE_SQL["check_not_null"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
-    for t, cols in _NN_COLS.items() for c in cols)
+_DIM = {  # rows whose declared columns the checks count: (rows, surrogate key)
+    "bronze": ("(SELECT * FROM vw WHERE nxt IS NULL)", None),
+    "scd1": ("(SELECT * FROM vw WHERE nxt IS NULL)", f"CAST({E_KEY} AS VARCHAR)"),
+    "scd2": ("vw", duck_uuid5(_seed(E))),
+    "comparison": ("(SELECT * FROM vw WHERE nxt IS NULL)", None),
+    "history": ("vw", duck_uuid5(_seed(E))),
+}
+
+
+def _dim_column(table: str, column: str) -> str:
+    return {"sk_name": _DIM[table][1], "is_current": "nxt IS NULL"}.get(column, column)
+
+
+_DIM_NOT_NULL = (("bronze", E_KEY), ("scd1", "sk_name"), ("scd1", E_KEY), ("scd2", "sk_name"), ("scd2", E_KEY),
+                 ("scd2", "is_current"), ("comparison", E_KEY), ("history", "sk_name"), ("history", E_KEY))
+ORACLE_SQL["check_not_null"] = _with(E) + "\nUNION ALL\n".join(
+    [f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
+     for t, cols in _NN_COLS.items() for c in cols]
+    + [f"SELECT '{t}', '{c}', count(*) FILTER (WHERE ({_dim_column(t, c)}) IS NULL) FROM {_DIM[t][0]}" for t, c in _DIM_NOT_NULL])
 
 _UNIQ = (("orders", "o_orderkey"), ("orders", "o_custkey"), ("documents", "doc_id"), ("documents", "text"))
-ORACLE_SQL["check_unique"] = "\nUNION ALL\n".join(
+_DIM_UNIQ = (("bronze", E_KEY), ("scd1", "sk_name"), ("scd1", E_KEY), ("scd2", "sk_name"), ("comparison", E_KEY), ("history", "sk_name"))
+ORACLE_SQL["check_unique"] = _with(E) + "\nUNION ALL\n".join(
     f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS duplicate_values,
   CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows
-  FROM (SELECT {c}, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"""
-    for t, c in _UNIQ)
+  FROM (SELECT {x} AS x, count(*) AS n FROM {src} WHERE ({x}) IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"""
+    for t, c, x, src in [*((t, c, c, t) for t, c in _UNIQ), *((t, c, _dim_column(t, c), _DIM[t][0]) for t, c in _DIM_UNIQ)])

@@ -10,26 +10,26 @@ is aliased to the name the SQL oracle uses (see ``oracle.py``).
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronodim.constants import (
     AUDIT_COLUMNS,
     COMMIT_ID,
+    IS_CURRENT,
     SK,
     SOURCE_TS,
     VALID_FROM,
     VALID_TO,
 )
 from chronodim.functions.keys import register_sql_functions, uuid5, uuid7
-from chronodim.operators.changelog import as_of_version
-from chronodim.operators.checks import key_idempotence, null_counts, scd2_interval_report, uniqueness_summary
+from chronodim.operators.checks import file_overlaps, key_idempotence, null_counts, scd2_interval_report, uniqueness_summary
 from chronodim.operators.gold import version_counts
-from chronodim.operators.ingest import accepted_changes, bronze_ingest
-from chronodim.operators.maintenance import cluster_by_range, patch_rows
+from chronodim.operators.ingest import accepted_changes, bronze_ingest, to_bronze_rows
+from chronodim.operators.maintenance import cluster_by_range, overwrite_via_staging, patch_rows
 from chronodim.operators.merge import upsert
 from chronodim.operators.reads import (
     as_of_time,
@@ -38,13 +38,13 @@ from chronodim.operators.reads import (
     scd2_current_report,
     scd2_versions_report,
 )
-from chronodim.operators.scd import scd2_close, scd2_new_versions
+from chronodim.operators.scd import scd2_close, scd2_initial, scd2_new_versions
 from chronodim.operators.schema import evolve
 from chronodim.operators.watermark import above_watermark, high_watermark, late_rows
 from chronodim.plans.medallion import DimensionStore
-from chronodim.plans.session import apply_session_defaults, new_run_dir
+from chronodim.plans.session import apply_session_defaults, new_run_dir, write_table
 from chronodim.sources.feeds import EVENTS, ORDERS, FeedSpec, feed_batch, read_feed, read_table
-from chronodim.sources.seed import read_csv_seed, write_csv_seed
+from chronodim.sources.seed import land_seed, write_csv_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,34 +63,86 @@ def reset_builds() -> None:
     _BUILDS.clear()
 
 
-def build(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> DimensionStore:
-    """All batches of ``spec`` run through every layer, persisted once."""
+def build(spark: SparkSession, sf_dir: str, spec: FeedSpec, kind: str = "plain") -> DimensionStore:
+    """All batches of ``spec`` run through every layer, persisted once.
+    ``deferred``: marts built after the first and after the last run only;
+    ``narrowing``: the column ``props`` is gone from the third batch on."""
     apply_session_defaults(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), spec.name)
+    key = (spark.sparkContext.applicationId, sf_dir, spec.name, kind, _state_of(spark, f"{sf_dir}/{spec.table}.parquet"))
     if key not in _BUILDS:
         feed = read_feed(spark, sf_dir, spec)
-        store = DimensionStore(spark, new_run_dir(spark, spec.name), spec.keys, spec.ts,
-                               tiebreak=spec.tiebreak, attrs=spec.attrs)
+        store = DimensionStore(spark, new_run_dir(spark, f"{spec.name}-{kind}"), spec.keys, spec.ts,
+                               tiebreak=spec.tiebreak, attrs=spec.attrs, key_parts=4 if kind == "deferred" else None)
         for n in range(spec.n_batches):
-            store.apply(feed_batch(feed, n, spec), spec.run_times[n])
+            batch = feed_batch(feed, n, spec)
+            if kind == "narrowing" and n > 1:
+                batch = batch.drop("props")
+            store.apply(batch, spec.run_times[n], build_gold=kind != "deferred" or n == 0)
+        if kind == "deferred":
+            store.build_gold(spec.run_times[-1])
         _BUILDS[key] = store
     return _BUILDS[key]
 
 
+def _state_of(spark: SparkSession, path: str) -> tuple:
+    """Length and change time of the files of a table, so that a build is
+    kept only while its input stays the same."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
+
+
 def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop(*AUDIT_COLUMNS)
 
 
 # ------------------------------------------------------------------ ingest
+def _union(parts):
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _batch_no(df: DataFrame, n: int) -> DataFrame:
+    return df.withColumn("batch", F.lit(n).cast("long"))
+
+
 def q_bronze_ingest(spark, sf):
-    feed = read_feed(spark, sf, EVENTS)
-    return _no_audit(bronze_ingest(feed_batch(feed, 0, EVENTS), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0]))
+    """Bronze after each batch, each state made from the one before."""
+    feed, state, states = read_feed(spark, sf, EVENTS), None, []
+    for n in range(EVENTS.n_batches):
+        state = write_table(bronze_ingest(feed_batch(feed, n, EVENTS), state, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[n]),
+                            new_run_dir(spark, f"bronze-{n}"))
+        states.append(_batch_no(_no_audit(state), n))
+    return _union(states)
 
 
 def q_seed_load(spark, sf):
-    path = new_run_dir(spark, "seed") + "/customer_csv"
-    write_csv_seed(read_table(spark, sf, "customer"), path)
-    return read_csv_seed(spark, path, CUSTOMER_DDL)
+    """Customers through a CSV seed landed as parquet."""
+    path = new_run_dir(spark, "seed")
+    write_csv_seed(read_table(spark, sf, "customer"), f"{path}/customer_csv")
+    return land_seed(spark, f"{path}/customer_csv", f"{path}/customer", CUSTOMER_DDL)
+
+
+def q_seed_text(spark, sf):
+    """Documents (quotes, line breaks and all) through a CSV seed."""
+    path = new_run_dir(spark, "seed-text")
+    docs = read_table(spark, sf, "documents")
+    write_csv_seed(docs, f"{path}/csv")
+    return land_seed(spark, f"{path}/csv", f"{path}/documents", "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def q_typed_ingest(spark, sf):
+    """Events through a CSV seed whose dates and times are text, cast to date
+    and timestamp on the way into bronze."""
+    path = new_run_dir(spark, "seed-typed")
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("ts").cast("string").alias("ts"))
+    write_csv_seed(ev, f"{path}/csv")
+    raw = land_seed(spark, f"{path}/csv", f"{path}/events", "event_id bigint, user_id bigint, event_type string, day string, ts string")
+    out = to_bronze_rows(raw, "ts", casts={"day": "date"})
+    return _no_audit(out).withColumn(SOURCE_TS, F.col(SOURCE_TS).cast("timestamp_ntz"))
 
 
 def q_high_watermark(spark, sf):
@@ -106,7 +158,8 @@ def q_high_watermark(spark, sf):
 def q_watermark_filter(spark, sf):
     st = build(spark, sf, ORDERS)
     feed = read_feed(spark, sf, ORDERS)
-    return above_watermark(feed_batch(feed, 1, ORDERS), st.bronze(0), ts=ORDERS.ts, state_ts=SOURCE_TS)
+    return _union(_batch_no(above_watermark(feed_batch(feed, n, ORDERS), st.bronze(n - 1), ts=ORDERS.ts, state_ts=SOURCE_TS), n)
+                  for n in range(1, st.version + 1))
 
 
 def q_late_rows(spark, sf):
@@ -155,7 +208,9 @@ def q_scd1_key_stability(spark, sf):
 
 # ------------------------------------------------------------------ type 2
 def q_scd2_initial(spark, sf):
-    return _no_audit(build(spark, sf, EVENTS).scd2(0))
+    """A first load of the whole feed: one open version per key."""
+    rows = to_bronze_rows(read_table(spark, sf, EVENTS.table), EVENTS.ts, run_ts=EVENTS.run_times[-1])
+    return _no_audit(scd2_initial(rows, EVENTS.keys, run_ts=EVENTS.run_times[-1]))
 
 
 def _delta(st: DimensionStore, v: int) -> DataFrame:
@@ -163,15 +218,19 @@ def _delta(st: DimensionStore, v: int) -> DataFrame:
 
 
 def q_scd2_close(spark, sf):
+    """Every version before each run, closed by that run's changes."""
     st = build(spark, sf, EVENTS)
-    return _no_audit(scd2_close(st.scd2(0), _delta(st, 1), EVENTS.keys))
+    return _union(_batch_no(_no_audit(scd2_close(st.scd2(v - 1), _delta(st, v), EVENTS.keys)), v) for v in range(1, st.version + 1))
 
 
 def q_scd2_new_versions(spark, sf):
+    """The versions that each run appends after closing."""
     st = build(spark, sf, EVENTS)
-    delta = _delta(st, 1)
-    closed = scd2_close(st.scd2(0), delta, EVENTS.keys)
-    return _no_audit(scd2_new_versions(delta, closed, EVENTS.keys, run_ts=EVENTS.run_times[1]))
+    out = []
+    for v in range(1, st.version + 1):
+        closed = scd2_close(st.scd2(v - 1), _delta(st, v), EVENTS.keys)
+        out.append(_batch_no(_no_audit(scd2_new_versions(_delta(st, v), closed, EVENTS.keys, run_ts=EVENTS.run_times[v])), v))
+    return _union(out)
 
 
 def q_scd2_late(spark, sf):
@@ -207,6 +266,23 @@ def q_report_comparison(spark, sf):
     return comparison_report(build(spark, sf, EVENTS).gold_comparison(), EVENTS.keys, "event_type").drop("sk1_uuid")
 
 
+def q_gold_comparison_deferred(spark, sf):
+    """The mart after three runs without mart builds, then one refresh."""
+    return _no_audit(build(spark, sf, EVENTS, "deferred").gold_comparison()).drop("sk1_uuid")
+
+
+def q_history_order(spark, sf):
+    """Rows of the history mart as read: how many lie before their
+    predecessor in key, start order, within and across partitions."""
+    h = build(spark, sf, EVENTS).gold_history().select(F.struct(*EVENTS.keys, VALID_FROM).alias("k"), F.spark_partition_id().alias("p"),
+                                                       F.monotonically_increasing_id().alias("at"))
+    inside = h.withColumn("before", F.lag("k").over(W.partitionBy("p").orderBy("at")))
+    parts = inside.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("k") < F.col("before")).alias("bad"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    # one row a partition
+    return parts.withColumn("hi_before", F.max("hi").over(W.orderBy("p").rowsBetween(W.unboundedPreceding, -1))) \
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), (F.coalesce(F.sum("bad"), F.lit(0)) + F.count_if(F.col("lo") < F.col("hi_before"))).alias("out_of_order"))
+
+
 def q_gold_history(spark, sf):
     return _no_audit(build(spark, sf, EVENTS).gold_history())
 
@@ -233,22 +309,36 @@ def q_commit_log(spark, sf):
 
 
 def q_as_of_version(spark, sf):
-    st = build(spark, sf, EVENTS)
-    return _no_audit(as_of_version(st.log(), 1, EVENTS.keys))
+    return _no_audit(build(spark, sf, EVENTS).bronze(1))
+
+
+def q_as_of_schema(spark, sf):
+    """Commit 1 of a table from which a later run dropped a column: read
+    back with the column."""
+    return _no_audit(build(spark, sf, EVENTS, "narrowing").bronze(1))
 
 
 # ------------------------------------------------------------------ maintenance
 def q_raw_patch(spark, sf):
-    cust = read_table(spark, sf, "customer")
+    """The customer table patched in place: the plan reads the table that it
+    replaces, through a staged copy."""
+    base = new_run_dir(spark, "patch")
+    cust = write_table(read_table(spark, sf, "customer"), f"{base}/customer")
     new_row = cust.agg((F.max("c_custkey") + 1).alias("c_custkey")).select(
         "c_custkey", F.lit("Customer#new").alias("c_name"), F.lit(0).alias("c_nationkey"),
         F.lit(0.0).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"))
     patches = {3: {"c_name": "Customer#000000003 2.0"}, 4: {"c_mktsegment": "AUTOMOBILE", "c_acctbal": 0.0}}
-    return patch_rows(cust, "c_custkey", patches, new_row)
+    return overwrite_via_staging(patch_rows(cust, "c_custkey", patches, new_row), f"{base}/customer", f"{base}/customer_staging")
 
 
 def q_range_clustered(spark, sf):
-    return cluster_by_range(read_table(spark, sf, "orders"), ["o_orderkey"])
+    """Rows of each clustered table, and how many of its files overlap
+    another file's key range."""
+    path = new_run_dir(spark, "clustered")
+    orders = write_table(cluster_by_range(read_table(spark, sf, "orders"), ["o_orderkey"]), path)
+    st = build(spark, sf, EVENTS, "deferred")
+    return _union(file_overlaps(df, keys).select(F.lit(name).alias("table_name"), "*") for name, df, keys in (
+        ("orders", orders, ["o_orderkey"]), ("scd1", st.scd1(), EVENTS.keys), ("scd2_current", st.scd2_current(), EVENTS.keys)))
 
 
 def q_schema_sync(spark, sf):
@@ -260,13 +350,15 @@ def q_schema_ignore(spark, sf):
 
 
 def _schema_case(spark, sf, policy):
-    """Batch 0 arrives without ``props``; batch 1 adds ``props`` and drops
-    ``value``.  The upserted table follows ``policy``."""
-    feed = read_feed(spark, sf, EVENTS)
-    st0 = bronze_ingest(feed_batch(feed, 0, EVENTS).drop("props"), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0])
-    chg = accepted_changes(feed_batch(feed, 1, EVENTS).drop("value"), st0, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[1])
-    s, c = evolve(st0, chg, policy)
-    return _no_audit(upsert(s, c, EVENTS.keys))
+    """The first batch arrives without ``props``; all later ones have it and
+    lack ``value``.  The upserted table follows ``policy``."""
+    feed, path = read_feed(spark, sf, EVENTS), new_run_dir(spark, f"schema-{policy}")
+    state = write_table(bronze_ingest(feed_batch(feed, 0, EVENTS).drop("props"), None, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[0]), f"{path}/0")
+    for n in range(1, EVENTS.n_batches):
+        chg = accepted_changes(feed_batch(feed, n, EVENTS).drop("value"), state, EVENTS.keys, EVENTS.ts, run_ts=EVENTS.run_times[n])
+        chg = write_table(chg, f"{path}/changes-{n}")
+        state = write_table(upsert(*evolve(state, chg, policy), EVENTS.keys), f"{path}/{n}")
+    return _no_audit(state)
 
 
 # ------------------------------------------------------------------ keys and checks
@@ -290,7 +382,15 @@ def q_sql_uuid5(spark, sf):
 
 
 def q_key_idempotence(spark, sf):
-    return key_idempotence(read_table(spark, sf, "customer"), _customer_seed())
+    """Type-2 keys stored by the incremental runs against those of a full
+    refresh of the same batches."""
+    stored = build(spark, sf, EVENTS)
+    again = DimensionStore(spark, new_run_dir(spark, "refresh"), EVENTS.keys, EVENTS.ts, attrs=EVENTS.attrs)
+    feed = read_feed(spark, sf, EVENTS)
+    again.apply(feed_batch(feed, EVENTS.n_batches - 1, EVENTS), EVENTS.run_times[-1], build_gold=False)  # a state to be refreshed away
+    for n in range(EVENTS.n_batches):
+        again.apply(feed_batch(feed, n, EVENTS), EVENTS.run_times[n], build_gold=False, refresh=n == 0)
+    return key_idempotence(stored.scd2(), again.scd2(), EVENTS.keys)
 
 
 def q_uuid7_properties(spark, sf):
@@ -309,22 +409,27 @@ def q_uuid7_properties(spark, sf):
     )
 
 
-def q_check_not_null(spark, sf):
-    parts = [null_counts(read_table(spark, sf, t)).select(F.lit(t).alias("table_name"), "*")
-             for t in ("orders", "documents")]
-    return parts[0].unionByName(parts[1])
+def _dimension_tables(st: DimensionStore) -> dict[str, DataFrame]:
+    return {"bronze": st.bronze(), "scd1": st.scd1(), "scd2": st.scd2(), "comparison": st.gold_comparison(), "history": st.gold_history(ordered=False)}
+
 
+KEY = EVENTS.keys[0]
+# declared column tests of the dimension tables
+NOT_NULL_CHECKS = {"bronze": [KEY], "scd1": [SK, KEY], "scd2": [SK, KEY, IS_CURRENT], "comparison": [KEY], "history": [SK, KEY]}
+UNIQUE_CHECKS = {"orders": ["o_orderkey", "o_custkey"], "documents": ["doc_id", "text"], "bronze": [KEY], "scd1": [SK, KEY], "scd2": [SK],
+                 "comparison": [KEY], "history": [SK]}
 
-UNIQUE_CHECKS = (("orders", "o_orderkey"), ("orders", "o_custkey"), ("documents", "doc_id"), ("documents", "text"))
+
+def q_check_not_null(spark, sf):
+    dims = _dimension_tables(build(spark, sf, EVENTS))
+    parts = [null_counts(read_table(spark, sf, t)).select(F.lit(t).alias("table_name"), "*") for t in ("orders", "documents")]
+    return _union(parts + [null_counts(dims[t], cols).select(F.lit(t).alias("table_name"), "*") for t, cols in NOT_NULL_CHECKS.items()])
 
 
 def q_check_unique(spark, sf):
-    out = None
-    for t, c in UNIQUE_CHECKS:
-        part = uniqueness_summary(read_table(spark, sf, t), [c]).select(
-            F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    dims = _dimension_tables(build(spark, sf, EVENTS))
+    return _union(uniqueness_summary(dims[t] if t in dims else read_table(spark, sf, t), [c]).select(
+        F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "*") for t, cols in UNIQUE_CHECKS.items() for c in cols)
 
 
 def _pinned(q: Query) -> Query:
@@ -340,6 +445,8 @@ def _pinned(q: Query) -> Query:
 QUERIES: dict[str, Query] = {
     "bronze_ingest": q_bronze_ingest,
     "seed_load": q_seed_load,
+    "seed_text": q_seed_text,
+    "typed_ingest": q_typed_ingest,
     "high_watermark": q_high_watermark,
     "watermark_filter": q_watermark_filter,
     "late_rows": q_late_rows,
@@ -358,12 +465,15 @@ QUERIES: dict[str, Query] = {
     "version_counts": q_version_counts,
     "scd2_invariants": q_scd2_invariants,
     "gold_comparison": q_gold_comparison,
+    "gold_comparison_deferred": q_gold_comparison_deferred,
     "report_comparison": q_report_comparison,
     "gold_history": q_gold_history,
+    "history_order": q_history_order,
     "point_in_time": q_point_in_time,
     "point_in_time_key": q_point_in_time_key,
     "commit_log": q_commit_log,
     "as_of_version": q_as_of_version,
+    "as_of_schema": q_as_of_schema,
     "raw_patch": q_raw_patch,
     "range_clustered": q_range_clustered,
     "schema_sync": q_schema_sync,

@@ -69,7 +69,7 @@ def shared_dir(spark: SparkSession) -> str:
     if d:
         return d.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:

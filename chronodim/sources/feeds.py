@@ -46,7 +46,7 @@ class FeedSpec:
         return p.otherwise(F.lit(len(self.bounds)))
 
     def late(self) -> Column:
-        return F.col(self.tiebreak[0]) % F.lit(self.late_every) == 0
+        return F.coalesce(F.col(self.tiebreak[0]) % F.lit(self.late_every) == 0, F.lit(False))
 
     def batch(self) -> Column:
         if not self.late_every:
@@ -63,7 +63,9 @@ class FeedSpec:
             cond = F.col(self.ts) >= lo
         if hi is not None:
             cond = (F.col(self.ts) < hi) if cond is None else cond & (F.col(self.ts) < hi)
-        return cond if cond is not None else F.col(self.ts).isNotNull() | F.col(self.ts).isNull()
+        else:  # a row without a change time lies in the last period
+            cond = F.col(self.ts).isNull() if cond is None else cond | F.col(self.ts).isNull()
+        return cond if self.bounds else F.lit(True)
 
     def in_batch(self, n: int) -> Column:
         """``batch() == n`` written as time ranges, so the scan of each run

@@ -15,14 +15,22 @@ COST_CENTER_DDL = (
 )
 
 
+# Header line, quotes doubled, line breaks inside quotes; blanks and empty
+# texts are kept as they are (NULL is an unquoted empty field).
+CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+       "ignoreTrailingWhiteSpace": "false", "lineSep": "\n"}
+
+
 def read_csv_seed(spark: SparkSession, path: str, schema: str | StructType = COST_CENTER_DDL) -> DataFrame:
     """Header CSV with a declared schema (no inference pass over the data;
     ANSI casts reject malformed dates and times)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    # an unquoted empty field is NULL, a quoted one an empty text: no text
+    # may stand for NULL
+    return spark.read.schema(schema).options(**CSV, mode="FAILFAST", nullValue="\x00").csv(path)
 
 
 def write_csv_seed(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").options(**CSV).csv(path)
 
 
 def land_seed(spark: SparkSession, csv_path: str, parquet_path: str,

@@ -1,10 +1,13 @@
 """Structured Streaming front end: each micro-batch of a change stream is
 one run of a :class:`DimensionStore` (``foreachBatch``).
 
+Micro-batch boundaries are arbitrary, so a row is late only against its own
+key's change time, never against the table's (``late="key"``).
+
 Exactly-once effect: Spark records progress in the checkpoint (on the
-shared folder); a micro-batch replayed after a failure finds all its rows at
-or below the stored watermark, so re-applying it changes nothing, and a
-batch id already applied in this process is skipped outright.
+shared folder); a micro-batch replayed after a failure finds all its rows not
+newer than their keys, so re-applying it changes nothing, and a batch id
+already applied in this process is skipped outright.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ def _make_sink(store: DimensionStore, build_gold: bool):
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch_id in applied:
             return
-        store.apply(batch, build_gold=build_gold)
+        store.apply(batch, build_gold=build_gold, late="key")
         applied.add(batch_id)
 
     return sink
