@@ -19,9 +19,14 @@ where it decides something:
    Neighbouring windows with one anchor form a run (at most 369 bytes).
 2. Runs meet by gram.  A gram met once: its windows are unique.  Runs of
    equal content: repeated.  Only a gram met in unequal runs stays open.
+   Each task settles what it can before the shuffle: of a content it has met
+   twice only one run goes to the gram, and a gram it has met in ``CROWD``
+   unequal runs is open there and then, so a very common gram sends a few
+   rows a task.
 3. Open runs (and one run for each repeated content beside them) are the
    documents of the column-wise construction, aligned at their gram: at most
-   368 rounds.
+   284 rounds.  They are dealt by the gram and the 84 bytes after it, for
+   windows that hold these, and by the 84 bytes before it, for the others.
 
 Every window of every text takes part; nothing is sampled.  Equal texts are
 folded first: a text of 200 bytes or more that occurs twice goes whole.
@@ -51,6 +56,8 @@ LENGTH = 200
 GRAM = 32
 SPOOL = 48 << 20   # bytes of columns held in memory before the scratch file
 PIECE = 1 << 24    # longest stretch of a text hashed at once
+CROWD = 32         # unequal runs of a gram in a task's piece that make it open
+KNOWN = 400_000    # repeated contents a task remembers
 
 
 # ---- anchors -------------------------------------------------------------
@@ -126,23 +133,73 @@ def pieces(texts: list[bytes], length: int):
         yield held
 
 
+# states of a run before the shuffle
+MEETS, REPEATED, REPEATED_ONCE, CROWDED, OPEN, COMPARED = range(6)
+
+
+def settle(gram: np.ndarray, run: np.ndarray, known: np.ndarray):
+    """What a task can settle by itself about runs, given the sorted keys of
+    the contents ``known`` to repeat in it.
+
+    Returns the state of each run, the runs that stand for a newly repeated
+    content, the grams with CROWD unequal runs, and the new ``known``."""
+    key = run ^ (gram * np.int64(0x5851F42D4C957F2D))
+    state = np.full(len(gram), MEETS, np.int8)
+    state[np.isin(key, known)] = REPEATED
+    left = np.flatnonzero(state == MEETS)
+    if not len(left):
+        return state, left, np.zeros(0, bool), left, known
+    left = left[np.lexsort((run[left], gram[left]))]
+    g, r = gram[left], run[left]
+    new_gram = np.concatenate(([True], g[1:] != g[:-1]))
+    new = np.concatenate(([True], (g[1:] != g[:-1]) | (r[1:] != r[:-1])))
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(left)))
+    many = np.repeat(count > 1, count)
+    state[left[many]] = REPEATED
+    stand = left[first[count > 1]]
+    # unequal runs of each gram
+    kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_gram))
+    crowded = np.repeat(kinds >= CROWD, np.diff(np.append(np.flatnonzero(new_gram), len(left))))
+    state[left[crowded & ~many]] = OPEN
+    mark = left[new_gram & crowded]
+    in_crowd = np.zeros(len(gram), bool)
+    in_crowd[left[crowded]] = True
+    known = np.union1d(known, key[stand])
+    return state, stand, in_crowd[stand], mark, known if len(known) < KNOWN else known[:0]
+
+
 def anchor_rows(texts: DataFrame, length: int) -> DataFrame:
-    """(gram, run, tid, at) of ``texts`` (tid, tag, text); ``at`` packs first
-    window, windows, anchor offset and tag."""
+    """(gram, run, tid, at, state) of ``texts`` (tid, tag, text); ``at`` packs
+    first window, windows, anchor offset and tag.  Rows that need no meeting
+    have a null run and lie at a value of their own instead of the gram."""
+    schema = pa.schema([("gram", pa.int64()), ("run", pa.int64()), ("tid", pa.int64()), ("at", pa.int64()), ("state", pa.int8())])
+
     def run(batches):
+        known = np.zeros(0, np.int64)
         for b in slices(batches):
             tids, tags = np.asarray(b.column("tid")), np.asarray(b.column("tag"))
             for part in pieces(b.column("text").to_pylist(), length):
                 found = runs_of([t for _, _, t in part], length)
                 if found is None:
                     continue
-                of, s, n, off, gram, run_hash = found
+                of, s, n, off, gram, content = found
                 owner = np.array([i for i, _, _ in part])[of]
                 s = s + np.array([at for _, at, _ in part])[of]
                 at = (s << 25) | ((n - 1) << 17) | (off << 9) | tags[owner]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (gram, run_hash, tids[owner], at)], names=["gram", "run", "tid", "at"])
+                tid = tids[owner]
+                state, stand, compared, mark, known = settle(gram, content, known)
+                # a content's stand-in takes the place of one of its runs
+                state[stand] = np.where(compared, COMPARED, REPEATED_ONCE)
+                alone = (state == REPEATED) | (state == OPEN) | (state == COMPARED)
+                where = np.where(alone, (tid ^ at) * np.int64(0x5851F42D4C957F2D) ^ (at >> 25), gram)
+                k = len(mark)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate((where, gram[mark]))), pa.array(np.concatenate((content, content[mark])), mask=np.concatenate((alone, np.ones(k, bool)))),
+                    pa.array(np.concatenate((tid, tid[mark]))), pa.array(np.concatenate((at, at[mark]))),
+                    pa.array(np.concatenate((state, np.full(k, CROWDED, np.int8))))], schema=schema)
 
-    return texts.select("tid", "tag", "text").mapInArrow(run, "gram long, run long, tid long, at long")
+    return texts.select("tid", "tag", "text").mapInArrow(run, "gram long, run long, tid long, at long, state byte")
 
 
 # ---- column-wise construction --------------------------------------------
@@ -204,28 +261,43 @@ def repeated_windows(columns: Columns, group: np.ndarray, lo: np.ndarray, hi: np
 
 
 def open_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """(tid, tag, s, n): repeated stretches of windows among the open runs
-    ``contexts`` (gram, tid, at, bytes)."""
+    """(tid, tag, s, n): repeated stretches of windows among ``contexts``
+    (key, tid, tag, s, n, lo, bytes)."""
     left = length - GRAM
-    width = left + length
+    half = left // 2
+    width = left - half + length
 
     def run(batches):
-        columns, gram, tid, at = Columns(width), [], [], []
+        columns, held = Columns(width), {c: [] for c in ("key", "tid", "tag", "s", "n", "lo")}
         for b in batches:
             if b.num_rows:
                 columns.add(np.frombuffer(b"".join(b.column("bytes").to_pylist()), np.uint8).reshape(-1, width))
-                for held, name in ((gram, "gram"), (tid, "tid"), (at, "at")):
-                    held.append(np.array(b.column(name)))
-        if not gram:
+                for c, parts in held.items():
+                    parts.append(np.array(b.column(c)))
+        if not held["key"]:
             return
-        gram, tid, at = map(np.concatenate, (gram, tid, at))
-        s, n, off, tag = unpack(at)
-        lo = left - off
-        hi = lo + n + length - 1
-        for r, c, k in repeated_windows(columns, np.unique(gram, return_inverse=True)[1], lo, hi, length, left):
+        key, tid, tag, s, n, lo = (np.concatenate(x) for x in held.values())
+        for r, c, k in repeated_windows(columns, np.unique(key, return_inverse=True)[1], lo, lo + n + length - 1, length, left - half):
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (tid[r], tag[r], s[r] + c - lo[r], k)], names=["tid", "tag", "s", "n"])
 
-    return contexts.repartition("gram").mapInArrow(run, "tid long, tag long, s long, n long")
+    return contexts.repartition("key").mapInArrow(run, "tid long, tag long, s long, n long")
+
+
+def context_rows(text: bytes, at: np.ndarray, length: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(key, s, n, lo, bytes) of a text's open runs: windows from ``s`` on
+    whose anchor is at most half the way in, and the others."""
+    left = length - GRAM
+    half = left // 2
+    width = left - half + length
+    out = []
+    for i, m, o in zip(*(x.tolist() for x in unpack(at)[:3]), strict=True):
+        p = i + o  # of the gram
+        skip = max(0, o - half)
+        for side, first, n, lo, key in ((b">", i + skip, m - skip, left - o + skip - half, text[p:p + GRAM + half]), (b"<", i, min(m, o - half), left - o, text[p - half:p + GRAM])):
+            if n > 0:
+                row = (bytes(lo) + text[first:first + n - 1 + length]).ljust(width, b"\0")
+                out.append((xxhash.xxh3_64_intdigest(side + key) - 2 ** 63, first, n, lo, row))
+    return out
 
 
 def unpack(at: np.ndarray):
@@ -287,47 +359,36 @@ def removed(texts: DataFrame, length: int = LENGTH, whole_characters: bool = Fal
     """(tid, tag, n_bytes, n_removed, n_spans, kept binary, kept_sha256) for
     each distinct text of ``texts`` (see :func:`distinct_texts`).  With
     ``whole_characters`` a character cut in half goes whole from ``kept``."""
-    left = length - GRAM
-    width = left + length
     by = W.partitionBy("gram")
     sorted_ = by.orderBy("run")
     runs = anchor_rows(texts, length)
-    met = runs.select("gram", "tid", "at", "run", F.lag("run").over(sorted_).alias("before"), F.lead("run").over(sorted_).alias("after"),
-                      F.min("run").over(by).alias("lo"), F.max("run").over(by).alias("hi"))
-    same = F.coalesce(F.col("run") == F.col("before"), F.lit(False)) | F.coalesce(F.col("run") == F.col("after"), F.lit(False))
+    met = runs.select("gram", "tid", "at", "run", "state", F.lag("run").over(sorted_).alias("before"), F.lead("run").over(sorted_).alias("after"),
+                      F.min("run").over(by).alias("lo"), F.max("run").over(by).alias("hi"), F.max(F.col("state") == CROWDED).over(by).alias("crowded"))
+    same = (F.col("state") == REPEATED_ONCE) | F.coalesce(F.col("run") == F.col("before"), F.lit(False)) | F.coalesce(F.col("run") == F.col("after"), F.lit(False))
     lead = F.coalesce(F.col("run") != F.col("before"), F.lit(True))
-    unequal = F.col("lo") != F.col("hi")
+    unequal = (F.col("lo") != F.col("hi")) | F.col("crowded")
     # 1: repeated; 2: open; 3: repeated, and compared with the open ones
-    kind = F.when(same & ~(unequal & lead), 1).when(same, 3).when(unequal, 2)
+    kind = F.when(F.col("state") == CROWDED, None).when(F.col("state") == REPEATED, 1).when(F.col("state") == OPEN, 2).when(F.col("state") == COMPARED, 3) \
+        .when(same & ~(unequal & lead), 1).when(same, 3).when(unequal, 2)
     decided = met.select("tid", "at", kind.alias("kind")).where("kind is not null")
     lists = decided.groupBy("tid").agg(F.collect_list(F.struct("at", "kind")).alias("found"))
     path = new_run_dir(texts.sparkSession, "suffix-runs")
     lists.write.option("compression", "zstd").parquet(path)
     lists = texts.sparkSession.read.schema(lists.schema).parquet(path)
 
-    def context_rows(batches):
+    def contexts(batches):
         for b in slices(batches):
-            tids = b.column("tid").to_pylist()
-            for h, at, rows, owner in context_lists(b):
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(at), tids[owner], np.int64)), pa.array(at), pa.array(rows, pa.binary())], names=["gram", "tid", "at", "bytes"])
-
-    def context_lists(b):
-        texts_, tags, found = b.column("text").to_pylist(), b.column("tag").to_pylist(), b.column("found")
-        for k, (text, tag) in enumerate(zip(texts_, tags, strict=True)):
-            values = found[k].values
-            at, kind_ = np.asarray(values.field(0)), np.asarray(values.field(1))
-            at = at[(kind_ > 1) & ((at & 511) == tag)]
-            if not len(at):
-                continue
-            s, n, off, _ = unpack(at)
-            rows, gram = [], []
-            for i, m, o in zip(s.tolist(), n.tolist(), off.tolist(), strict=True):
-                rows.append((bytes(left - o) + text[i:i + m - 1 + length]).ljust(width, b"\0"))
-                gram.append(xxhash.xxh3_64_digest(text[i + o:i + o + GRAM]))
-            yield np.frombuffer(b"".join(gram), ">i8").astype(np.int64), at, rows, k
+            found, keys = b.column("found"), (b.column("tid").to_pylist(), b.column("tag").to_pylist())
+            for k, (text, tid, tag) in enumerate(zip(b.column("text").to_pylist(), *keys, strict=True)):
+                at, kind_ = (np.asarray(found[k].values.field(i)) for i in (0, 1))
+                rows = context_rows(text, at[(kind_ > 1) & ((at & 511) == tag)], length)
+                if rows:
+                    key, s, n, lo, row = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array([tid] * len(rows), pa.int64()), pa.array([tag] * len(rows), pa.int64()),
+                                                      *[pa.array(x, pa.int64()) for x in (s, n, lo)], pa.array(row, pa.binary())], names=["key", "tid", "tag", "s", "n", "lo", "bytes"])
 
     some = lists.where(F.exists("found", lambda x: x["kind"] > 1))
-    wanted = texts.join(some, "tid").select("tid", "tag", "text", "found").mapInArrow(context_rows, "gram long, tid long, at long, bytes binary")
+    wanted = texts.join(some, "tid").select("tid", "tag", "text", "found").mapInArrow(contexts, "key long, tid long, tag long, s long, n long, lo long, bytes binary")
     opened = open_windows(wanted, length)
     sure = lists.select("tid", F.explode(F.filter("found", lambda x: x["kind"] != 2)).alias("f")).select(
         "tid", F.col("f.at").bitwiseAND(F.lit(511)).alias("t"), F.shiftright("f.at", 25).alias("s"), (F.shiftright("f.at", 17).bitwiseAND(F.lit(255)) + 1).alias("n"))

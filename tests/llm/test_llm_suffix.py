@@ -47,6 +47,22 @@ def test_one_very_common_gram_in_unequal_places(spark):
     assert run(spark, texts, 50) == without_repeats(texts, 50)
 
 
+@pytest.mark.parametrize("crowd", [2, 4])
+def test_grams_settled_in_the_tasks(spark, monkeypatch, crowd):
+    monkeypatch.setattr(sd, "CROWD", crowd)
+    rng = random.Random(crowd)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 6)))
+    passage = " ".join(word() for _ in range(40))
+    texts = []
+    for _ in range(120):
+        a, b = sorted(rng.sample(range(len(passage)), 2))
+        texts.append(" ".join(word() for _ in range(rng.randint(0, 8))) + passage[a:b] + rng.choice([" ", passage, "Q"]) + word())
+    want = without_repeats(texts, 40)
+    assert run(spark, texts, 40) == want
+    monkeypatch.setattr(sd, "KNOWN", 3)
+    assert run(spark, texts, 40) == want
+
+
 def test_cut_keeps_columns_and_whole_characters(spark):
     shared = "é" * 120
     rows = [(1, "a" + shared + "b", 5, "t"), (2, "ax" + shared + "c", 5, "t"), (3, None, None, "t"), (None, "solo", 4, "t")]
