@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronodim.llm.common import column, stage, table
+from chronodim.plans.session import broadcast_if_small
 
 SEED = 20240607
 BUCKET_BYTES = 16 << 20
@@ -54,9 +55,10 @@ def shard(df: DataFrame, n_shards: int = N_SHARDS, text_col: str = "text", seed:
           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(shard int, slot long, record struct) for every record of ``df``."""
     out = external_shuffle(df, text_col, seed, bucket_bytes)
-    # one row a bucket
+    # one row a bucket; broadcast, or the records would be shuffled again
     ends = out.groupBy("bucket").agg(F.first("n").alias("n_b"))
     starts = ends.select(F.col("bucket").alias("b"), (F.sum("n_b").over(W.orderBy("bucket")) - F.col("n_b")).alias("start"))
+    starts = broadcast_if_small(stage(starts, "shuffle-starts"))
     at = F.col("start") + F.col("pos")
     return out.join(starts, F.col("bucket") == F.col("b")).select(
         F.pmod(at, F.lit(n_shards)).cast("int").alias("shard"), F.floor(at / n_shards).cast("long").alias("slot"), "record")
