@@ -16,4 +16,29 @@ QUERIES = {
     "op9_suffix_columns": suffix_dedup.query,
     "op10_suffix_tree_lm": lm_pst.query,
 }
-ORACLE_SQL: dict[str, str] = {}
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+#: DuckDB SQL where it can express a query; the others are tested against
+#: brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op1_fm_index_decontamination": f"""WITH
+i AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+p AS (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS a FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, w[a:a + 12] AS g FROM p),
+sizes AS (SELECT DISTINCT len(g) AS n FROM win),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+starts AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS a FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT rid, a, n, item_id FROM (SELECT rid, a, n, w[a:a + n - 1] AS g FROM starts) JOIN win USING (g)),
+pos AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(a, a + n)) AS k FROM (SELECT DISTINCT rid, a, n FROM hit)) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS x FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)""",
+    "op6_columnar_top_k": """WITH
+v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+}

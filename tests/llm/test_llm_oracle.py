@@ -1,0 +1,15 @@
+import pytest
+from oracle_compare import compare
+
+from chronodim.llm import queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_its_sql(spark, name):
+    res = compare(spark, "/root/testdata/sf0.001", [name], verbose=False)
+    assert res[name][0] == "ok", res[name]
+
+
+def test_every_operator_is_registered_once():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
+    assert numbers == list(range(1, 11))
