@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 
 FILE = "byte_bpe_50k.json"
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 48 << 20
 MASK = 15           # one in sixteen word edges is a cut
 SPAN = 16           # bytes the rolling hash sees
 MAX_CHUNK = 4096    # a stretch without a sure cut is cut after so many bytes
@@ -228,7 +228,7 @@ def bpe(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([x for x, _ in out], pa.binary()),
                                               pa.array([x.decode("utf-8", "replace").encode() for _, x in out], pa.binary())], names=["row", "ids", "decoded"])
 
-    out = src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]))
+    out = map_arrow(src, run, T.StructType([src.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]))
     return out.withColumn("row", F.col("row").dropFields("__row")) if len(src.schema["row"].dataType) > 1 else out
 
 

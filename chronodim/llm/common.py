@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from chronodim.plans.session import new_run_dir
 
-# Bytes of text that a Python worker handles at a time.
-SLICE_BYTES = 4 << 20
+# Bytes of text that a Python worker handles at a time, and that Spark sends it
+# at a time.
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +28,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with small batches, by workers that give memory back
+    when a task ends (they live on for the next stages)."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def column(name: str) -> F.Column:

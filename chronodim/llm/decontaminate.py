@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -239,7 +239,7 @@ def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_
                                                   pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(listed, pa.list_(pa.int64()))],
                                                  names=["row", "text", "n_words", "spans", "items"])
 
-        rows = rows.mapInArrow(run, schema)
+        rows = map_arrow(rows, run, schema)
 
     def bytes_of(batches):
         for b in slices(batches):
@@ -251,7 +251,7 @@ def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("n_words"), pa.array(hit, pa.int64()), b.column("items"), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
                                              names=["row", "n_words", "n_hit", "items", "spans"])
 
-    out = rows.mapInArrow(bytes_of, T.StructType([schema["row"], schema["n_words"], T.StructField("n_hit", T.LongType()), schema["items"], schema["spans"]]))
+    out = map_arrow(rows, bytes_of, T.StructType([schema["row"], schema["n_words"], T.StructField("n_hit", T.LongType()), schema["items"], schema["spans"]]))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 

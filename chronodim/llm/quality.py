@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 
 LABELLED = 10_000
 POOL = 10_000
@@ -88,17 +88,23 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, ridge: float = RIDGE, steps: int = 6) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the bias comes last."""
-    x = np.concatenate((x, np.ones((len(x), 1), x.dtype)), axis=1)
-    w = np.zeros(x.shape[1]) if start is None else start.copy()
-    penalty = np.full(x.shape[1], ridge)
+def logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, ridge: float = RIDGE, steps: int = 6, rows: np.ndarray | None = None) -> np.ndarray:
+    """Ridge logistic regression by Newton steps over the rows ``rows`` of
+    ``x``, a block of rows at a time; the bias comes last."""
+    rows = np.arange(len(x)) if rows is None else rows
+    size = x.shape[1] + 1
+    w = np.zeros(size) if start is None else start.copy()
+    penalty = np.full(size, ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        p = sigmoid(x @ w)
-        g = x.T @ (p - y) + penalty * w
-        h = (x * np.maximum(p * (1 - p), 1e-4)[:, None].astype(x.dtype)).T @ x
-        step = np.linalg.solve(h.astype(np.float64) + np.diag(penalty), g)
+        g, h = penalty * w, np.diag(penalty)
+        for at in range(0, len(rows), 2048):
+            some = rows[at:at + 2048]
+            b = np.concatenate((x[some], np.ones((len(some), 1), x.dtype)), axis=1)
+            p = sigmoid(b @ w)
+            g += b.T @ (p - y[at:at + 2048])
+            h += (b * np.maximum(p * (1 - p), 1e-4)[:, None].astype(x.dtype)).T @ b
+        step = np.linalg.solve(h, g)
         w -= step * min(1, 5 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-3:
             break
@@ -130,7 +136,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, fold: np.ndarray
     for r in range(rounds + 1):
         for v, x in enumerate(views):
             rows = np.fromiter(given[v], np.int64)
-            w[v] = logistic(x[rows], np.fromiter(given[v].values(), float), w[v], steps=6 if r == 0 else 2)
+            w[v] = logistic(x, np.fromiter(given[v].values(), float), w[v], steps=6 if r == 0 else 2, rows=rows)
         if r == rounds:
             break
         pool = np.flatnonzero(y < 0)
@@ -174,7 +180,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     rest = df.select(column(id_col).alias("id")).where("id is not null").join(named.select("id"), "id", "left_anti").orderBy(rank, "id").limit(pool).distinct()
     sample = chosen.unionByName(rest.withColumn("y", F.lit(-1)))
     rows = prepared(df, text_col).select("text", "m_lang", "m_source", "m_n_chars", F.col("row").getField(id_col).alias("key")) \
-        .join(sample, F.col("key") == F.col("id")).drop("key")
+        .join(F.broadcast(sample), F.col("key") == F.col("id")).drop("key")  # at most labelled + pool rows
 
     def examples(batches):
         for b in slices(batches):
@@ -182,7 +188,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
             m = [r.tobytes() for r in meta_of(b)]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(x, pa.binary()), pa.array(m, pa.binary())], names=["id", "y", "x", "m"])
 
-    examples_ = rows.mapInArrow(examples, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary, m binary")
+    examples_ = map_arrow(rows, examples, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary, m binary")
 
     def train(t: pa.Table) -> pa.Table:
         import pickle
@@ -222,7 +228,7 @@ def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), *[pa.array(v.astype(float)) for v in (*views, score)]],
                                              names=["row", "text", "text_score", "meta_score", "score"])
 
-    return src.mapInArrow(run, T.StructType([src.schema["row"], src.schema["text"], *[T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "score")]]))
+    return map_arrow(src, run, T.StructType([src.schema["row"], src.schema["text"], *[T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "score")]]))
 
 
 def keep_good(df: DataFrame, labels: DataFrame, at: float = 0.5, text_col: str = "text", **options) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, components, slices, stage, table, text_bytes
+from chronodim.llm.common import column, components, map_arrow, slices, stage, table, text_bytes
 
 LIST_CAP = 32
 HASH_SEED = 42
@@ -69,7 +69,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, keep_t
             more = [b.column("text")] if keep_text else []
             yield pa.RecordBatch.from_arrays([b.column("row"), fps, *more], names=["row", "fp", "text"][:2 + keep_text])
 
-    return src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("fp", T.LongType()), *([src.schema["text"]] if keep_text else [])]))
+    return map_arrow(src, run, T.StructType([src.schema["row"], T.StructField("fp", T.LongType()), *([src.schema["text"]] if keep_text else [])]))
 
 
 def links(fps: DataFrame, max_distance: int = 2, list_cap: int = LIST_CAP) -> DataFrame:

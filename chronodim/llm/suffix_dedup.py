@@ -49,13 +49,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronodim.llm.common import column, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 from chronodim.plans.session import new_run_dir
 
 LENGTH = 200
 GRAM = 32
-SPOOL = 48 << 20   # bytes of columns held in memory before the scratch file
-PIECE = 1 << 24    # longest stretch of a text hashed at once
+SPOOL = 32 << 20   # bytes of columns held in memory before the scratch file
+PIECE = 1 << 22    # longest stretch of a text hashed at once
+JOINED = 1 << 20   # bytes of short texts hashed together
 CROWD = 32         # unequal runs of a gram in a task's piece that make it open
 KNOWN = 400_000    # repeated contents a task remembers
 
@@ -126,7 +127,7 @@ def pieces(texts: list[bytes], length: int):
         for at in range(0, max(1, len(t) - length + 1), PIECE):
             held.append((i, at, t[at:at + PIECE + length - 1]))
             size += len(held[-1][2])
-            if size > PIECE // 4:
+            if size > JOINED:
                 yield held
                 held, size = [], 0
     if held:
@@ -199,7 +200,7 @@ def anchor_rows(texts: DataFrame, length: int) -> DataFrame:
                     pa.array(np.concatenate((tid, tid[mark]))), pa.array(np.concatenate((at, at[mark]))),
                     pa.array(np.concatenate((state, np.full(k, CROWDED, np.int8))))], schema=schema)
 
-    return texts.select("tid", "tag", "text").mapInArrow(run, "gram long, run long, tid long, at long, state byte")
+    return map_arrow(texts.select("tid", "tag", "text"), run, "gram long, run long, tid long, at long, state byte")
 
 
 # ---- column-wise construction --------------------------------------------
@@ -280,7 +281,7 @@ def open_windows(contexts: DataFrame, length: int) -> DataFrame:
         for r, c, k in repeated_windows(columns, np.unique(key, return_inverse=True)[1], lo, lo + n + length - 1, length, left - half):
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (tid[r], tag[r], s[r] + c - lo[r], k)], names=["tid", "tag", "s", "n"])
 
-    return contexts.repartition("key").mapInArrow(run, "tid long, tag long, s long, n long")
+    return map_arrow(contexts.repartition("key"), run, "tid long, tag long, s long, n long")
 
 
 def context_rows(text: bytes, at: np.ndarray, length: int) -> list[tuple[int, int, int, int, bytes]]:
@@ -337,7 +338,7 @@ def distinct_texts(df: DataFrame) -> DataFrame:
                                           pa.nulls(len(more), pa.binary()), pa.array([x[2] for x in more], pa.int64())], schema=schema)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    once = df.select("tid", "tag", "text").mapInArrow(run, "tid long, tag long, text binary, copies long")
+    once = map_arrow(df.select("tid", "tag", "text"), run, "tid long, tag long, text binary, copies long")
     folded = once.repartition(n, "tid").groupBy("tid", "tag").agg(F.first("text", ignorenulls=True).alias("text"), F.sum("copies").alias("copies"))
     name = f"suffix_texts_{uuid.uuid4().hex[:12]}"
     folded.write.bucketBy(n, "tid").option("path", new_run_dir(spark, name)).option("compression", "zstd").saveAsTable(name)
@@ -388,7 +389,7 @@ def removed(texts: DataFrame, length: int = LENGTH, whole_characters: bool = Fal
                                                       *[pa.array(x, pa.int64()) for x in (s, n, lo)], pa.array(row, pa.binary())], names=["key", "tid", "tag", "s", "n", "lo", "bytes"])
 
     some = lists.where(F.exists("found", lambda x: x["kind"] > 1))
-    wanted = texts.join(some, "tid").select("tid", "tag", "text", "found").mapInArrow(contexts, "key long, tid long, tag long, s long, n long, lo long, bytes binary")
+    wanted = map_arrow(texts.join(some, "tid").select("tid", "tag", "text", "found"), contexts, "key long, tid long, tag long, s long, n long, lo long, bytes binary")
     opened = open_windows(wanted, length)
     sure = lists.select("tid", F.explode(F.filter("found", lambda x: x["kind"] != 2)).alias("f")).select(
         "tid", F.col("f.at").bitwiseAND(F.lit(511)).alias("t"), F.shiftright("f.at", 25).alias("s"), (F.shiftright("f.at", 17).bitwiseAND(F.lit(255)) + 1).alias("n"))
@@ -420,8 +421,8 @@ def removed(texts: DataFrame, length: int = LENGTH, whole_characters: bool = Fal
                 pa.array([hashlib.sha256(k).hexdigest() for k in columns[3]], pa.string())],
                 names=["tid", "tag", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return texts.join(spans, "tid", "left").select("tid", "tag", "text", "copies", "spans").mapInArrow(
-        cut, "tid long, tag long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return map_arrow(
+        texts.join(spans, "tid", "left").select("tid", "tag", "text", "copies", "spans"), cut, "tid long, tag long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def suffix_dedup(df: DataFrame, text_col: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronodim.llm.common import column, stage, table
+from chronodim.llm.common import column, map_arrow, stage, table
 
 K = 5
 EVERY = 50
@@ -136,7 +136,7 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3,
                                              names=["query_id", "vec_id", "score"])
 
-        found = rows.mapInArrow(run, "query_id long, vec_id long, score long")
+        found = map_arrow(rows, run, "query_id long, vec_id long, score long")
         rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         best = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         results.append(stage(best, "topk") if n_blocks > 1 else best)

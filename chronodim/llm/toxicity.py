@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 
 BITS = 20
 SAMPLE_ROWS = 20_000
@@ -89,7 +89,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int32()))], names=["doc_id", "y", "x"])
 
-    rows = docs.join(chosen, "doc_id").select("doc_id", "y", "text").mapInArrow(examples, "doc_id long, y int, x array<int>")
+    # at most sample_rows rows
+    rows = map_arrow(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), examples, "doc_id long, y int, x array<int>")
     def train(t: pa.Table) -> pa.Table:
         t = t.sort_by([("doc_id", "ascending"), ("y", "ascending")])
         y = t.column("y").to_pylist()
@@ -124,7 +125,7 @@ def score(df: DataFrame, weights: dict[int, float], text_col: str = "text") -> D
                 total.append(bias + dense[np.unique(x[used[x]])].sum())
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(1 / (1 + np.exp(-np.clip(np.array(total, float), -30, 30))))], names=["row", "score"])
 
-    return src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("score", T.DoubleType())]))
+    return map_arrow(src, run, T.StructType([src.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def held_out(id_col: F.Column, modulus: int = 5, remainder: int = 0) -> F.Column:
