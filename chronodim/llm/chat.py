@@ -24,12 +24,16 @@ empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from chronodim.llm.common import column, stage, table
+from chronodim.llm.common import column, map_arrow, stage, table
 
 STATES = ("start", "system", "user", "assistant")
 ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "gpt": "assistant", "model": "assistant", "ai": "assistant"}
@@ -152,11 +156,33 @@ def turns_of(df: DataFrame, chunk: int) -> DataFrame:
         .withColumn("c2", F.when(F.col("k1").isNotNull(), split).otherwise("")).drop("k", "k1")
 
 
-def sorted_rows(t: pa.Table) -> list[tuple]:
-    rows = list(zip(t.column("turn").to_pylist(), t.column("role").to_pylist(), t.column("text").to_pylist(), strict=True))
+def in_order(rows: list[tuple]) -> list[tuple]:
+    """(turn, role, text) rows of a chunk in the order of the conversation."""
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "", r[2] or ""))
 
 
+def by_group(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    """``fn(key, rows)`` gives output tuples for the rows of each key, which
+    lie together in a partition; groups stream through a task one by one."""
+    kinds = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kinds)
+    n = len(keys)
+
+    def run(batches):
+        out = []
+        stream = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True))
+        for key, rows in itertools.groupby(stream, key=lambda r: r[:n]):
+            out += fn(key, [r[n:] for r in rows])
+            if len(out) > 4000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+
+    rest = [c for c in df.columns if c not in keys]
+    return map_arrow(df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys), run, kinds)
+
+
 def repair(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row for each piece of each repaired conversation: conv_id, pos
     (order of the turn in the conversation), part (order within the turn),
@@ -166,31 +192,30 @@ def repair(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
     conv = df.schema["conv_id"].dataType.simpleString()
     rows = turns_of(df, chunk)
 
-    # 1. the matrix of each chunk
-    def matrices(t: pa.Table) -> pa.Table:
-        m = chunk_matrix([role_number(r[1]) for r in sorted_rows(t)])
-        return pa.table({"conv_id": t.column("conv_id")[:1], "c1": t.column("c1")[:1], "c2": t.column("c2")[:1],
-                         "n": pa.array([t.num_rows], pa.int64()), "m": pa.array([m.ravel().tolist()], pa.list_(pa.int64()))})
+    # 1. the matrix of each chunk; the order of a tie in role needs no text
+    def matrices(key, found):
+        m = chunk_matrix([role_number(r[1]) for r in in_order([(*r, "") for r in found])])
+        return [(*key, len(found), m.ravel().tolist())]
 
-    # the order of a tie in role needs no text
-    roles = rows.withColumn("text", F.lit(""))
-    chunks = roles.groupBy("conv_id", "c1", "c2").applyInArrow(matrices, f"conv_id {conv}, c1 long, c2 string, n long, m array<long>")
+    chunks = by_group(rows.select("conv_id", "c1", "c2", "turn", "role"), ["conv_id", "c1", "c2"], matrices,
+                      f"conv_id {conv}, c1 long, c2 string, n long, m array<long>")
 
     # 2. the states between the chunks of a conversation
-    def between(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("c1", "ascending"), ("c2", "ascending")])
-        mats = [np.array(m, np.int64).reshape(4, 4) for m in t.column("m").to_pylist()]
-        states = path_through(mats, 0, final_costs())
-        n = np.array(t.column("n").to_pylist(), np.int64)
-        return pa.table({"k": t.column("conv_id"), "k1": t.column("c1"), "k2": t.column("c2"), "entry": pa.array([0, *states[:-1]], pa.int32()),
-                         "leave": pa.array(states, pa.int32()), "start": pa.array(np.cumsum(n) - n), "last": pa.array([False] * (len(n) - 1) + [True])})
+    def between(key, found):
+        found = sorted(found, key=lambda r: r[:2])
+        states = path_through([np.array(r[3], np.int64).reshape(4, 4) for r in found], 0, final_costs())
+        out, start = [], 0
+        for k, (c1, c2, n, _) in enumerate(found):
+            out.append((*key, c1, c2, states[k - 1] if k else 0, states[k], start, k == len(found) - 1))
+            start += n
+        return out
 
-    ends = stage(chunks.groupBy("conv_id").applyInArrow(between, f"k {conv}, k1 long, k2 string, entry int, leave int, start long, last boolean"), "chat-chunks")
+    ends = stage(by_group(chunks, ["conv_id"], between, f"k {conv}, k1 long, k2 string, entry int, leave int, start long, last boolean"), "chat-chunks")
 
     # 3. the choices inside each chunk
-    def choices(t: pa.Table) -> pa.Table:
-        found = sorted_rows(t)
-        entry, leave, start, last = (t.column(c)[0].as_py() for c in ("entry", "leave", "start", "last"))
+    def choices(key, rows_):
+        entry, leave, start, last = rows_[0][3:]
+        found = in_order([r[:3] for r in rows_])
         numbers = [role_number(r[1]) for r in found]
         exit_ = np.full(4, INF, np.int64)
         exit_[leave] = 0
@@ -198,19 +223,19 @@ def repair(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
         out, before = [], entry
         for k, ((turn, given, text), number, state) in enumerate(zip(found, numbers, states, strict=True)):
             inserted, action, rendered = render_piece(before, state, number, text or "", start + k == 0)
-            out += [(start + k, i, None, None, r, "insert", x) for i, (r, x) in enumerate(inserted)]
-            out.append((start + k, len(inserted), turn, given, STATES[state], action, rendered))
+            out += [(key[0], start + k, i, None, None, r, "insert", x) for i, (r, x) in enumerate(inserted)]
+            out.append((key[0], start + k, len(inserted), turn, given, STATES[state], action, rendered))
             before = state
         if last:
             close = closing(before)
-            out += [(start + len(found), i, None, None, r, "insert", x) for i, (r, x) in enumerate(close)]
-            out.append((start + len(found), len(close), None, None, STATES[FINAL], "close", "<|end|>\n"))
-        pos, part, turn, given, role, action, rendered = zip(*out, strict=True)
-        return pa.table({"conv_id": pa.array([t.column("conv_id")[0].as_py()] * len(out), t.schema.field("conv_id").type), "pos": pa.array(pos, pa.int64()), "part": pa.array(part, pa.int32()),
-                         "turn": pa.array(turn, pa.int64()), "from_role": pa.array(given, pa.string()), "role": pa.array(role), "action": pa.array(action), "rendered": pa.array(rendered)})
-
-    met = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("k")) & (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2"))).drop("k", "k1", "k2")
-    return met.groupBy("conv_id", "c1", "c2").applyInArrow(choices, f"conv_id {conv}, pos long, part int, turn long, from_role string, role string, action string, rendered string")
+            out += [(key[0], start + len(found), i, None, None, r, "insert", x) for i, (r, x) in enumerate(close)]
+            out.append((key[0], start + len(found), len(close), None, None, STATES[FINAL], "close", "<|end|>\n"))
+        return out
+
+    met = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("k")) & (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2"))) \
+        .select("conv_id", "c1", "c2", "turn", "role", "text", "entry", "leave", "start", "last")
+    return by_group(met, ["conv_id", "c1", "c2"], choices,
+                    f"conv_id {conv}, pos long, part int, turn long, from_role string, role string, action string, rendered string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
