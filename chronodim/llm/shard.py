@@ -36,7 +36,8 @@ def external_shuffle(df: DataFrame, text_col: str = "text", seed: int = SEED, bu
     0 within the bucket, ``n`` is the bucket's count."""
     if total_bytes is None:
         total_bytes = df.agg(F.sum(F.coalesce(F.octet_length(column(text_col)), F.lit(0)) + 64)).first()[0] or 0
-    n_buckets = max(1, math.ceil(total_bytes / bucket_bytes))
+    # small inputs still get a bucket for each of the session's partitions
+    n_buckets = max(math.ceil(total_bytes / bucket_bytes), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rec = df.select(F.struct(*[column(c) for c in df.columns]).alias("record"))
     rec = rec.select("record", F.monotonically_increasing_id().alias("ord"))
     rec = rec.select("record", F.xxhash64(F.lit(seed), F.col(f"record.`{text_col}`"), "ord").alias("h"), "ord")
