@@ -34,6 +34,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import time
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -121,6 +122,7 @@ class DimensionStore:
         self._registered: set[str] = set()
         self.version = -1
         self._metas: dict[int, dict] = {}
+        self.seconds: dict[str, float] = {}  # spent writing each table (its plan included), by this object
 
     # ------------------------------------------------------------ locations
     def _dir(self, table: str, v: int | None = None) -> str:
@@ -180,6 +182,11 @@ class DimensionStore:
         """Write commit ``v`` of ``table``: state tables by key range (or
         bucketed), each range sorted by key; others as they are."""
         meta["schemas"][table] = df.schema.json()
+        began = time.perf_counter()
+        self._write_files(df, table, v, meta, partition_by, lay_out)
+        self.seconds[table] = self.seconds.get(table, 0.0) + time.perf_counter() - began
+
+    def _write_files(self, df: DataFrame, table: str, v: int, meta: dict, partition_by: Sequence[str], lay_out: bool) -> None:
         if self._bucketed(table):
             if lay_out:
                 df = df.repartition(self.buckets, *self.keys)
