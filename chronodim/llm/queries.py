@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronodim.llm import bpe, chat, decontaminate, lm_pst, quality, shard, simhash, suffix_dedup, topk, toxicity
+from chronodim.llm import bpe, chat, decontaminate, lm_pst, quality, ranked, shard, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_fm_index_decontamination": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_role_repair": chat.query,
     "op9_suffix_columns": suffix_dedup.query,
     "op10_suffix_tree_lm": lm_pst.query,
+    "op12_limited_accumulators": ranked.query,
 }
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
@@ -41,4 +42,14 @@ v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS D
 s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+    "op12_limited_accumulators": f"""WITH
+d AS (SELECT * FROM (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+q AS (SELECT item, item_id, t, count(*) AS q FROM (SELECT row_number() OVER () AS item, item_id, unnest({WORDS}) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT rid, doc_id, n, t, count(*) AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+f AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * max(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY t),
+r AS (SELECT item, item_id, doc_id, rid, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM p JOIN q USING (t) JOIN f USING (t), s GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS k FROM r WHERE score > 0)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM o WHERE k <= 10""",
 }
