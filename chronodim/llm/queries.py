@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronodim.llm import bpe, chat, decontaminate, lm_pst, quality, ranked, shard, simhash, suffix_dedup, topk, toxicity
+from chronodim.llm import bpe, chat, decontaminate, lm_pst, prefix_trie, quality, ranked, shard, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_fm_index_decontamination": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_role_repair": chat.query,
     "op9_suffix_columns": suffix_dedup.query,
     "op10_suffix_tree_lm": lm_pst.query,
+    "op11_radix_prefix_trie": prefix_trie.query,
     "op12_limited_accumulators": ranked.query,
 }
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
