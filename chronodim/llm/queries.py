@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronodim.llm import bpe, chat, decontaminate, lm_pst, prefix_trie, quality, ranked, shard, simhash, suffix_dedup, topk, toxicity
+from chronodim.llm import bpe, chat, decontaminate, lm_pst, nn_descent, prefix_trie, quality, ranked, shard, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_fm_index_decontamination": decontaminate.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_suffix_tree_lm": lm_pst.query,
     "op11_radix_prefix_trie": prefix_trie.query,
     "op12_limited_accumulators": ranked.query,
+    "op13_nn_descent": nn_descent.query,
 }
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"

@@ -12,4 +12,4 @@ def test_query_matches_its_sql(spark, name):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
