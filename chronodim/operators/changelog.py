@@ -31,10 +31,11 @@ def log_entries(changes: DataFrame, commit_id: int, *, first: bool, committed_at
     )
 
 
-def commit_log(log: DataFrame, ts: str = SOURCE_TS) -> DataFrame:
+def commit_log(log: DataFrame, ts: str = SOURCE_TS, runs: DataFrame | None = None) -> DataFrame:
     """One row per commit: ``snapshot_id, committed_at, operation, summary``
     where ``summary`` maps ``added-records``, ``min-change-ts`` and
-    ``max-change-ts`` to text.  Ordered by commit time."""
+    ``max-change-ts`` to text.  Ordered by commit time.  ``runs``
+    (``_commit_id, _committed_at, _operation``) adds the runs that brought no rows."""
     g = log.groupBy(COMMIT_ID).agg(
         F.min(COMMITTED_AT).alias("committed_at"),
         F.min(OPERATION).alias("operation"),
@@ -42,6 +43,10 @@ def commit_log(log: DataFrame, ts: str = SOURCE_TS) -> DataFrame:
         F.min(ts).alias("lo"),
         F.max(ts).alias("hi"),
     )
+    if runs is not None:
+        empty = runs.join(g.select(COMMIT_ID), COMMIT_ID, "left_anti")
+        g = g.unionByName(empty.select(COMMIT_ID, F.col(COMMITTED_AT).alias("committed_at"), F.col(OPERATION).alias("operation"), F.lit(0).cast("long").alias("n")),
+                          allowMissingColumns=True)
     summary = F.create_map(
         F.lit("added-records"), F.col("n").cast("string"),
         F.lit("min-change-ts"), F.col("lo").cast("string"),

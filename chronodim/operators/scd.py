@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronodim.constants import (
@@ -35,6 +36,7 @@ from chronodim.functions.keys import uuid5, uuid7, version_seed
 from chronodim.operators.dedupe import latest_per_key
 from chronodim.operators.ingest import audit_time
 from chronodim.operators.merge import keyed_outer_join
+from chronodim.operators.schema import align_types, conform
 from chronodim.operators.watermark import watermark_value
 
 SCD2_DERIVED = (SK, VALID_FROM, VALID_TO, IS_CURRENT, SILVER_CREATED_AT, SOURCE_SYSTEM)
@@ -84,6 +86,7 @@ def scd1_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str],
         chg = changes
     else:
         wm = watermark if watermark is not None else watermark_value(state, ts)
+        state, changes = align_types(state, changes)
         chg = changes.where(F.col(ts) > wm)
     biz = [c for c in chg.columns if c not in (INGESTED_AT, SOURCE_SYSTEM, SILVER_UPDATED_AT, SK)]
     if state is None:
@@ -211,6 +214,7 @@ def scd2_apply_open(changes: DataFrame, current: DataFrame, keys: Sequence[str],
     so no key can skew the join.
     """
     keys = list(keys)
+    current, changes = align_types(current, changes)
     # reduce first (map-side combine keeps a hot key cheap), then, for a
     # bucketed state, lay the one-row-per-key result out in its buckets
     latest = latest_per_key(changes, keys, [ts])
@@ -237,6 +241,89 @@ def scd2_apply(changes: DataFrame, state: DataFrame | None, keys: Sequence[str],
     resolved by :func:`scd2_apply_open`.  Equal to close then append."""
     if state is None:
         return scd2_initial(changes, keys, ts=ts, run_ts=run_ts, namespace=namespace)
-    hist = state.where(~is_open())
-    return hist.unionByName(scd2_apply_open(changes, state.where(is_open()), keys, ts=ts,
-                                            run_ts=run_ts, namespace=namespace))
+    new = scd2_apply_open(changes, state.where(is_open()), keys, ts=ts, run_ts=run_ts, namespace=namespace)
+    return conform(state.where(~is_open()), new.schema).unionByName(new)
+
+
+# --------------------------------------------------- several changes of a key
+NEXT = "__next"
+BUCKET_SECONDS = 3600
+
+
+def with_next_change(changes: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """``changes`` (one row per key and change time) with ``__next``, the
+    key's next change time.
+
+    The next row is looked for among those of the same key and hour
+    (``bucket_seconds``) first; the last one of an hour takes the first of the
+    key's next hour that has any, from a table of one row per key and hour.  So a
+    key with a large share of the rows is split by time over many tasks.
+    """
+    keys = list(keys)
+    hour = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / bucket_seconds)
+    rows = changes.withColumn("__hour", hour)
+    inside = F.lead(ts).over(W.partitionBy(*keys, "__hour").orderBy(ts))
+    firsts = rows.groupBy(*keys, "__hour").agg(F.min(ts).alias("__first"))
+    firsts = firsts.withColumn("__after", F.lead("__first").over(W.partitionBy(*keys).orderBy("__hour"))).drop("__first")
+    firsts = firsts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__hour").alias("__h"), "__after")
+    same = F.col("__hour").eqNullSafe(F.col("__h"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return rows.withColumn(NEXT, inside).join(firsts, same, "left").select(*changes.columns, F.coalesce(NEXT, "__after").alias(NEXT))
+
+
+def _without_unchanged(changes: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int) -> DataFrame:
+    """Drops changes whose attributes equal those of the key's change before,
+    where both lie in one hour (so no key is ordered in one task)."""
+    biz = [c for c in changes.columns if c not in (*keys, ts, INGESTED_AT, SOURCE_SYSTEM)]
+    same = F.struct(*[F.col(c) for c in biz])
+    hour = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / bucket_seconds)
+    w = W.partitionBy(*keys, "__hour").orderBy(ts)
+    rows = changes.withColumn("__hour", hour).withColumn("__same", same)
+    rows = rows.withColumn("__before", F.lag("__same").over(w))
+    return rows.where(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.col("__same"))).select(*changes.columns)
+
+
+def _linked(changes: DataFrame, keys: Sequence[str], ts: str, run_ts, namespace: str, like: DataFrame | None, bucket_seconds: int) -> DataFrame:
+    """A version per change, each closed by the next one of its key."""
+    rows = with_next_change(changes, keys, ts=ts, bucket_seconds=bucket_seconds)
+    if like is not None:
+        like = like.withColumn(NEXT, F.lit(None).cast(like.schema[VALID_TO].dataType))
+    v = scd2_versions(rows, keys, ts=ts, run_ts=run_ts, namespace=namespace, like=like)
+    end = F.col(NEXT).cast(v.schema[VALID_TO].dataType)
+    return v.withColumn(VALID_TO, end).withColumn(IS_CURRENT, end.isNull()).drop(NEXT)
+
+
+def scd2_fold_initial(changes: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS, run_ts=None, namespace: str = UUID5_NAMESPACE,
+                      drop_unchanged: bool = False, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """First run with a version for every change of a key (``changes``: one
+    row per key and change time)."""
+    if drop_unchanged:
+        changes = _without_unchanged(changes, keys, ts, bucket_seconds)
+    return _linked(changes, keys, ts, run_ts, namespace, None, bucket_seconds)
+
+
+def scd2_fold(changes: DataFrame, current: DataFrame, keys: Sequence[str], *, ts: str = SOURCE_TS, run_ts=None, namespace: str = UUID5_NAMESPACE,
+              changes_small: bool | None = None, drop_unchanged: bool = False, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """:func:`scd2_apply_open` with a version for every change of a key that is
+    newer than its open version, not only for the latest: the open version ends
+    at the first of them, each of them at the next, the last stays open.
+
+    ``changes`` holds one row per key and change time.  The open versions hold one
+    row per key; hot keys of ``changes`` are split by time (see
+    :func:`with_next_change`) and by adaptive execution in the join.
+    """
+    keys = list(keys)
+    current, changes = align_types(current, changes)
+    cols = list(current.columns)
+    opened = current.select(*keys, F.col(ts).alias("__open_ts"), F.lit(True).alias("__open"))
+    newer = changes.join(opened, keys, "left").where(F.col("__open").isNull() | (F.col(ts) > F.col("__open_ts"))).select(*changes.columns)
+    if drop_unchanged:
+        newer = _without_unchanged(newer, keys, ts, bucket_seconds)
+    new = _linked(newer, keys, ts, run_ts, namespace, current, bucket_seconds).select(*cols)
+    ends = newer.groupBy(*keys).agg(F.min(ts).alias("__end"))
+    if changes_small:
+        ends = F.broadcast(ends)  # one row a key of a change set proven small
+    end = F.col("__end").cast(current.schema[VALID_TO].dataType)
+    old = current.join(ends, keys, "left").withColumn(VALID_TO, F.coalesce(end, F.col(VALID_TO))).withColumn(IS_CURRENT, F.col("__end").isNull()).select(*cols)
+    return old.unionByName(new)

@@ -1,5 +1,5 @@
 """The broadcast path (small change sets) and the shuffle path (large change
-sets, plain or bucketed state) build identical tables."""
+sets) build identical tables."""
 
 from chronodim.plans.medallion import DimensionStore
 from chronodim.plans.session import BROADCAST_MAX_ROWS_CONF, new_run_dir
@@ -8,10 +8,10 @@ from chronodim.sources.feeds import ORDERS, feed_batch, read_feed
 SF = "/root/testdata/sf0.001"
 
 
-def _build(spark, buckets=None):
+def _build(spark):
     feed = read_feed(spark, SF, ORDERS)
     st = DimensionStore(spark, new_run_dir(spark, "paths"), ORDERS.keys, ORDERS.ts, tiebreak=ORDERS.tiebreak,
-                        attrs=ORDERS.attrs, buckets=buckets)
+                        attrs=ORDERS.attrs)
     for n in range(ORDERS.n_batches):
         st.apply(feed_batch(feed, n, ORDERS), ORDERS.run_times[n])
     return st
@@ -27,11 +27,10 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffled = _build(spark)
-        bucketed = _build(spark, buckets=3)
     finally:
         spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    for other in (shuffled, bucketed):
+    for other in (shuffled,):
         assert _rows(other.scd2()) == _rows(small.scd2())
         assert _rows(other.bronze()) == _rows(small.bronze())
         assert _rows(other.scd1().drop("sk_name")) == _rows(small.scd1().drop("sk_name"))

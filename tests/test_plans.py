@@ -4,7 +4,9 @@ sets are broadcast, no Python evaluation or cartesian product anywhere."""
 import pytest
 from pyspark.sql import functions as F
 
+from chronodim.functions.intervals import spans_at
 from chronodim.operators.merge import upsert
+from chronodim.operators.reads import as_of_time
 from chronodim.operators.watermark import above_watermark
 from chronodim.plans import registry
 from chronodim.sources.feeds import EVENTS
@@ -24,13 +26,20 @@ def test_watermark_pushed_to_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,ScalarSubquery" in p
 
 
-def test_open_versions_read_prunes_partitions(spark):
+def test_open_versions_read_leaves_history_out(spark):
     st = registry.build(spark, SF, EVENTS)
-    p = plan(st.scd2_current())
-    assert "PartitionFilters" in p and "is_current" in p
-    # closed history of commit 0..n and the open part of n only
-    p_all = plan(st.scd2())
-    assert "_commit_id" in p_all
+    assert not any("scd2_closed" in f for f in st.scd2_current().inputFiles())
+    assert any("scd2_closed" in f for f in st.scd2().inputFiles())
+
+
+def test_read_at_an_instant_opens_matching_blocks_only(spark):
+    st = registry.build(spark, SF, EVENTS)
+    p = plan(st.as_of_time(registry.PIT_TIME))
+    assert "PartitionFilters: [_span#" in p and "IN " in p[p.index("PartitionFilters: [_span#"):]
+    closed = st._closed(st._run(), -1, st.version)
+    read = closed.where(F.col("_span").isin(spans_at(registry.PIT_TIME)))
+    assert 0 < read.count() < closed.count()
+    assert as_of_time(closed, registry.PIT_TIME).count() == as_of_time(read, registry.PIT_TIME).count()
 
 
 def test_small_change_set_is_broadcast(spark):

@@ -48,7 +48,7 @@ def test_watermark_survives_a_change_of_session_zone(spark):
 
 
 def test_marts_built_once_after_several_runs(spark):
-    st = DimensionStore(spark, new_run_dir(spark, "later"), ["k"], "t", attrs=["name"], key_parts=3)
+    st = DimensionStore(spark, new_run_dir(spark, "later"), ["k"], "t", attrs=["name"], key_ranges=3)
     st.apply(rows(spark, [("a", "1", "2024-01-01"), ("b", "1", "2024-01-01")]))
     st.apply(rows(spark, [("a", "2", "2024-01-02"), ("c", "1", "2024-01-02")]), build_gold=False)
     st.apply(rows(spark, [("a", "3", "2024-01-03"), ("c", "2", "2024-01-03")]), build_gold=False)
@@ -81,17 +81,18 @@ def test_empty_runs_are_commits(spark):
 
 def test_a_run_writes_only_the_key_ranges_it_touches(spark):
     root = new_run_dir(spark, "parts")
-    st = DimensionStore(spark, root, ["k"], "t", attrs=["name"], key_parts=8)
+    st = DimensionStore(spark, root, ["k"], "t", attrs=["name"], key_ranges=8)
     st.apply(rows(spark, [(f"k{i:03d}", "x", "2024-01-01") for i in range(200)]))
-    st.apply(rows(spark, [("k003", "y", "2024-01-02"), ("k004", "y", "2024-01-02")]))
-    st.apply(rows(spark, [("k199", "z", "2024-01-03"), ("k999", "z", "2024-01-03")]))
-
-    def parts(table, n):
-        return {os.path.basename(p) for p in glob.glob(f"{root.replace('file:', '')}/{table}/_commit_id={n}/**/_part=*", recursive=True)}
-    assert len(parts("bronze", 0)) == 8
-    for table in ("bronze", "scd1", "scd2", "gold_comparison"):
-        assert len(parts(table, 1)) == 1 and len(parts(table, 2)) == 1, table
-    whole = DimensionStore(spark, new_run_dir(spark, "whole"), ["k"], "t", attrs=["name"], key_parts=1)
+    def files(table):
+        return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{root.replace('file:', '')}/_base=0/{table}/_range=*/*.parquet")}
+
+    tables = ("bronze", "scd1", "scd2_open", "gold_comparison")
+    for batch in ([("k003", "y", "2024-01-02"), ("k004", "y", "2024-01-02")], [("k199", "z", "2024-01-03"), ("k999", "z", "2024-01-03")]):
+        before = {t: files(t) for t in tables}
+        st.apply(rows(spark, batch))
+        for t in tables:  # one range of eight was replaced
+            assert len(before[t]) == 8 and len(before[t].items() & files(t).items()) == 7, t
+    whole = DimensionStore(spark, new_run_dir(spark, "whole"), ["k"], "t", attrs=["name"], key_ranges=1)
     whole.apply(rows(spark, [(f"k{i:03d}", "x", "2024-01-01") for i in range(200)]))
     whole.apply(rows(spark, [("k003", "y", "2024-01-02"), ("k004", "y", "2024-01-02")]))
     whole.apply(rows(spark, [("k199", "z", "2024-01-03"), ("k999", "z", "2024-01-03")]))
