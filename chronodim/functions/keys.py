@@ -7,7 +7,8 @@ they cost the same per row as any other string expression.
   namespace bytes + UTF-8 seed, with version and variant bits set.  A NULL
   seed hashes like the empty string.
 * ``uuid7`` -- time-ordered key (RFC 9562 version 7): 48-bit unix
-  milliseconds followed by 74 random bits taken from Spark's ``uuid()``.
+  milliseconds, then the row counter and number of the task, then random bits
+  taken from Spark's ``uuid()``.
 """
 
 from __future__ import annotations
@@ -56,18 +57,30 @@ def version_seed(keys: list[str], ts: str) -> Column:
 
 
 def uuid7(now: Column | None = None) -> Column:
-    """Version-7 uuid text: ``now`` in unix ms (default: query start time)
-    plus random bits.  Non-deterministic: materialize before reusing."""
-    ts = F.current_timestamp() if now is None else now.cast("timestamp")
-    hex12 = F.lpad(F.lower(F.hex(F.unix_millis(ts))), 12, "0")
-    rnd = F.expr("uuid()")  # v4 text: xxxxxxxx-xxxx-4xxx-Vxxx-xxxxxxxxxxxx
-    return F.concat(
-        F.substring(hex12, 1, 8),
-        F.lit("-"),
-        F.substring(hex12, 9, 4),
-        F.lit("-7"),
-        F.substring(rnd, 16, 21),  # 3 random digits, '-', variant group, tail
-    )
+    """Version-7 uuid text that ascends with the rows of a task: ``now`` in unix
+    ms (default: query start time), a 24-bit row counter of the task, 18 bits of
+    the task's number, 32 random bits.  A counter that runs over adds a
+    millisecond.  Tasks of a query differ by their numbers, queries of the
+    same millisecond by the random bits.
+
+    Non-deterministic: materialize before reusing."""
+    def ms() -> Column:  # a counter of its own for each mention
+        return F.unix_millis(F.current_timestamp() if now is None else now.cast("timestamp")) + F.expr(_CARRY)
+
+    return F.lower(F.concat(F.lpad(F.hex(F.shiftright(ms(), 16)), 8, "0"), F.lit("-"), F.lpad(F.hex(ms().bitwiseAND(F.lit(65535))), 4, "0"), F.expr(_UUID7_TAIL)))
+
+
+# Row and task from the row number Spark gives (task << 33 | row).  Each mention
+# counts on its own; all are evaluated for every key, so they agree.
+_ROW = "(monotonically_increasing_id() & 8589934591L)"
+_TASK = "(shiftright(monotonically_increasing_id(), 33) & 262143L)"
+_CARRY = f"shiftright({_ROW}, 24)"
+# version and counter bits 23..12; variant, counter bits 11..0 and task; random bits
+_UUID7_TAIL = (
+    f"concat('-7', lpad(hex(shiftright({_ROW}, 12) & 4095L), 3, '0'), "
+    f"'-', hex(32768L | shiftleft({_ROW} & 4095L, 2) | shiftright({_TASK}, 16)), "
+    f"'-', lpad(hex({_TASK} & 65535L), 4, '0'), substr(uuid(), 1, 8))"
+)
 
 
 def uuid5_sql_body(namespace: str = UUID5_NAMESPACE, seed: str = "seed") -> str:
@@ -81,9 +94,8 @@ def uuid5_sql_body(namespace: str = UUID5_NAMESPACE, seed: str = "seed") -> str:
 
 
 UUID7_SQL_BODY = (
-    "concat(substr(lpad(lower(hex(unix_millis(current_timestamp()))), 12, '0'), 1, 8), '-', "
-    "substr(lpad(lower(hex(unix_millis(current_timestamp()))), 12, '0'), 9, 4), '-7', "
-    "substr(uuid(), 16, 21))"
+    f"lower(concat(lpad(hex(shiftright(unix_millis(current_timestamp()) + {_CARRY}, 16)), 8, '0'), '-', "
+    f"lpad(hex((unix_millis(current_timestamp()) + {_CARRY}) & 65535L), 4, '0'), {_UUID7_TAIL}))"
 )
 
 

@@ -152,6 +152,11 @@ ORACLE_SQL["scd2_late"] = _with(O) + f"SELECT {_version_cols(O)} FROM vw"
 
 ORACLE_SQL["scd2_history"] = _with(E) + f"SELECT {_version_cols(E)} FROM vw"
 
+ORACLE_SQL["scd2_every_change"] = _with(E) + f""", one AS (SELECT * EXCLUDE (r) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {E_KEY}, ts ORDER BY event_id DESC) AS r FROM acc) WHERE r = 1),
+ev AS (SELECT *, lead(ts) OVER (PARTITION BY {E_KEY} ORDER BY ts) AS n FROM one)
+SELECT {_version_cols(E, 'n')} FROM ev"""
+
 ORACLE_SQL["report_scd2_versions"] = _with(E) + f"""SELECT {duck_uuid5(_seed(E))} AS sk_name, user_id, event_type,
   value, ts AS valid_from_sk, nxt AS valid_to, nxt IS NULL AS is_current FROM vw"""
 
@@ -225,6 +230,12 @@ ORACLE_SQL["schema_sync"] = _with(E) + f"""SELECT event_id, user_id, event_type,
 ORACLE_SQL["schema_ignore"] = _with(E) + f"""SELECT event_id, user_id, event_type, CASE WHEN b = 0 THEN value END AS value,
   ts AS source_updated_at, {SAP} AS _source_system FROM {_LATEST} WHERE r = 1"""
 
+_WIDE = "CASE b WHEN 0 THEN event_id WHEN 1 THEN event_id + 3000000000 WHEN 2 THEN event_id + 0.25 ELSE event_id % 1000 END"
+ORACLE_SQL["schema_widen"] = _with(E) + f""", w AS (SELECT *, CAST(CAST({_WIDE} AS DECIMAL(22, 2)) AS VARCHAR) AS number,
+  CAST(CASE WHEN b = 2 THEN ts ELSE date_trunc('day', ts) END AS VARCHAR) AS day FROM vw)
+SELECT t AS table_name, user_id, number, day, event_type, ts AS source_updated_at, 'decimal(22,2)' AS number_type, 'timestamp_ntz' AS day_type
+FROM w, (VALUES ('bronze'), ('scd1'), ('scd2')) AS n(t) WHERE t = 'scd2' OR nxt IS NULL"""
+
 _CUST_SEED = "CAST(c_custkey AS VARCHAR) || '|' || c_name"
 ORACLE_SQL["uuid5_key"] = f"""WITH s AS (
   SELECT c_custkey, {_CUST_SEED} AS seed FROM customer
@@ -237,7 +248,7 @@ ORACLE_SQL["key_idempotence"] = _with(E) + f"""SELECT count(*) AS versions, coun
   CAST(0 AS BIGINT) AS unstable_rows FROM vw"""
 
 ORACLE_SQL["uuid7_properties"] = """SELECT count(*) AS n_rows, count(*) AS n_distinct, count(*) AS n_version7,
-  count(*) AS n_variant_ok, count(*) AS n_len36, count(*) AS n_time_prefix FROM orders"""
+  count(*) AS n_variant_ok, count(*) AS n_len36, count(*) AS n_time_prefix, CAST(0 AS BIGINT) AS n_not_ascending FROM orders"""
 
 _NN_COLS = {
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -50,10 +51,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Instant of the point-in-time reads and the key of the single-key read.
 PIT_TIME = "2024-01-20 00:00:00"
 PIT_KEY = 7
+# The events feed with a tie-break, for versions of every change.
+EVERY = replace(EVENTS, name="events_every", tiebreak=("event_id",))
 # Fixed run time stamped into uuid v7 keys by the key-property query.
 UUID7_RUN_TS = "2024-01-01 00:00:00"
 CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
+# expressions of the columns ``number`` and ``day`` in each batch of a source
+# whose types widen
+WIDENING = (("cast(event_id AS int)", "cast(ts AS date)"), ("event_id + 3000000000", "cast(ts AS date)"),
+            ("cast(event_id + 0.25BD AS decimal(22, 2))", "ts"), ("cast(event_id % 1000 AS smallint)", "cast(ts AS date)"))
+
 _BUILDS: dict[tuple, DimensionStore] = {}
 
 
@@ -65,17 +73,23 @@ def reset_builds() -> None:
 def build(spark: SparkSession, sf_dir: str, spec: FeedSpec, kind: str = "plain") -> DimensionStore:
     """All batches of ``spec`` run through every layer, persisted once.
     ``deferred``: marts built after the first and after the last run only;
-    ``narrowing``: the column ``props`` is gone from the third batch on."""
+    ``narrowing``: the column ``props`` is gone from the third batch on;
+    ``widening``: column types widen from run to run (see ``WIDENING``);
+    ``every``: a version for every change, not only a run's latest one of a key."""
     apply_session_defaults(spark)
     key = (spark.sparkContext.applicationId, sf_dir, spec.name, kind, _state_of(spark, f"{sf_dir}/{spec.table}.parquet"))
     if key not in _BUILDS:
         feed = read_feed(spark, sf_dir, spec)
         store = DimensionStore(spark, new_run_dir(spark, f"{spec.name}-{kind}"), spec.keys, spec.ts,
-                               tiebreak=spec.tiebreak, attrs=spec.attrs, key_ranges=4 if kind == "deferred" else None)
+                               tiebreak=spec.tiebreak, attrs=("event_type", "number", "day") if kind == "widening" else spec.attrs, key_ranges=4 if kind in ("deferred", "widening", "every") else None,
+                               on_duplicate="all" if kind == "every" else "latest")
         for n in range(spec.n_batches):
             batch = feed_batch(feed, n, spec)
             if kind == "narrowing" and n > 1:
                 batch = batch.drop("props")
+            if kind == "widening":
+                number, day = WIDENING[n]
+                batch = batch.select(*spec.keys, spec.ts, F.expr(number).alias("number"), F.expr(day).alias("day"), F.col("event_type"))
             store.apply(batch, spec.run_times[n], build_gold=kind != "deferred" or n == 0)
             if kind == "plain" and spec is EVENTS:  # a copy of the keys after each run
                 store.scd1().select(*spec.keys, SK).write.parquet(f"{store.root}/key_copies/{COMMIT_ID}={n}")
@@ -243,6 +257,12 @@ def q_report_scd2_versions(spark, sf):
     return scd2_versions_report(build(spark, sf, EVENTS).scd2(), EVENTS.keys, EVENTS.attrs)
 
 
+def q_scd2_every_change(spark, sf):
+    """Type 2 with a version for every change of a key, however many a run
+    brings: each is closed by the next."""
+    return _no_audit(build(spark, sf, EVERY, "every").scd2())
+
+
 def q_scd2_current(spark, sf):
     return scd2_current_report(build(spark, sf, EVENTS).scd2(), EVENTS.keys, EVENTS.attrs)
 
@@ -347,6 +367,14 @@ def q_schema_ignore(spark, sf):
     return _schema_case(spark, sf, "ignore")
 
 
+def q_schema_widen(spark, sf):
+    """Every table of a build whose source widens its types from run to run."""
+    st = build(spark, sf, EVENTS, "widening")
+    shown = [*EVENTS.keys, F.col("number").cast("string").alias("number"), F.col("day").cast("string").alias("day"), "event_type", SOURCE_TS,
+             F.typeof("number").alias("number_type"), F.typeof("day").alias("day_type")]
+    return _union(df.select(F.lit(name).alias("table_name"), *shown) for name, df in (("bronze", st.bronze()), ("scd1", st.scd1()), ("scd2", st.scd2())))
+
+
 def _schema_case(spark, sf, policy):
     """The first batch arrives without ``props``; all later ones have it and
     lack ``value``.  The upserted table follows ``policy``."""
@@ -396,8 +424,10 @@ def q_uuid7_properties(spark, sf):
     ms_hex = f"{int(run.timestamp() * 1000):012x}"
     prefix = f"{ms_hex[:8]}-{ms_hex[8:]}"
     run_instant = F.timestamp_millis(F.lit(int(run.timestamp() * 1000)))  # zone-independent
-    k = read_table(spark, sf, "orders").select(uuid7(run_instant).alias("k"))
+    k = read_table(spark, sf, "orders").repartition(8).select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at"), uuid7(run_instant).alias("k"))
+    k = k.withColumn("before", F.lag("k").over(W.partitionBy("p").orderBy("at")))
     return k.agg(
+        F.count_if(F.col("k") <= F.col("before")).alias("n_not_ascending"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("k").alias("n_distinct"),
         F.count_if(F.substring("k", 15, 1) == "7").alias("n_version7"),
@@ -459,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "scd2_late": q_scd2_late,
     "scd2_history": q_scd2_history,
     "report_scd2_versions": q_report_scd2_versions,
+    "scd2_every_change": q_scd2_every_change,
     "scd2_current": q_scd2_current,
     "version_counts": q_version_counts,
     "scd2_invariants": q_scd2_invariants,
@@ -476,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "range_clustered": q_range_clustered,
     "schema_sync": q_schema_sync,
     "schema_ignore": q_schema_ignore,
+    "schema_widen": q_schema_widen,
     "uuid5_key": q_uuid5_key,
     "sql_uuid5": q_sql_uuid5,
     "key_idempotence": q_key_idempotence,

@@ -67,3 +67,29 @@ def test_keys_stay_in_codegen(spark):
     df = spark.range(10).select(uuid5(F.col("id").cast("string")).alias("a"), uuid7().alias("b"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_uuid7_ascends_in_a_task_and_differs_across_tasks(spark):
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    df = spark.range(0, 40_000, 1, 5).select(F.spark_partition_id().alias("p"), "id", uuid7(now).alias("k"))
+    by_task: dict = {}
+    for r in df.collect():
+        by_task.setdefault(r.p, []).append((r.id, r.k))
+    assert len(by_task) == 5
+    for rows in by_task.values():
+        keys = [k for _, k in sorted(rows)]
+        assert all(a < b for a, b in zip(keys, keys[1:], strict=False))
+    assert len({k for rows in by_task.values() for _, k in rows}) == 40_000
+    # generated for some rows only, the counters of a key still agree
+    some = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") % 3 == 0, F.coalesce(F.lit(None).cast("string"), uuid7(now))).alias("k")).where("k is not null")
+    keys = [r.k for r in some.orderBy("id").collect()]
+    assert len(keys) == 334 and all(a < b for a, b in zip(keys, keys[1:], strict=False))
+    assert [int(k.replace("-", "")[13:16], 16) << 12 | (int(k[19:23], 16) & 0x3FFC) >> 2 for k in keys] == list(range(334))
+
+
+def test_uuid7_counter_that_runs_over_adds_a_millisecond(spark):
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    n = (1 << 24) + 3
+    k = spark.range(0, n, 1, 1).select("id", uuid7(now).alias("k")).where(F.col("id") >= n - 5).orderBy("id").collect()
+    ms = [int(r.k.replace("-", "")[:12], 16) for r in k]
+    assert ms == [ms[0]] * 2 + [ms[0] + 1] * 3 and [r.k for r in k] == sorted(r.k for r in k)
