@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +20,7 @@ RANGE = "_range"
 RANGE_BYTES = 128 * 1024 * 1024   # of rows in a range when it is cut
 TASK_BYTES = 128 * 1024 * 1024    # that a task writes, about
 MAX_RANGES = 1024
+FILTER_SIZES = 14  # sizes a Bloom filter is chosen from: 1 MB, halved each time
 
 
 def cut_bounds(df: DataFrame, keys: Sequence[str], size: int, ranges: int | None = None) -> list[list[str]]:
@@ -64,11 +65,22 @@ def sized(df: DataFrame, by: Sequence[str], size: int) -> DataFrame:
     return laid.sortWithinPartitions(*by)
 
 
+def key_filters(writer: DataFrameWriter, keys: Sequence[str]) -> DataFrameWriter:
+    """``writer`` with Parquet Bloom filters on ``keys``, sized by the values a
+    row group holds: a lookup by key skips row groups whose least and greatest
+    key enclose it but that do not hold it."""
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for k in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true").option(f"parquet.bloom.filter.candidates.number#{k}", FILTER_SIZES)
+    return writer
+
+
 def overwrite_ranges(df: DataFrame, path: str, keys: Sequence[str], size: int) -> None:
     """Write ``df`` (with ``_range``) to the table at ``path``, replacing just
     the ranges it holds (dynamic partition overwrite).  ``df`` may read the
     ranges it replaces: files are swapped after all tasks have ended."""
-    sized(df, [RANGE, *keys], size).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path)
+    w = sized(df, [RANGE, *keys], size).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    key_filters(w, keys).partitionBy(RANGE).parquet(path)
 
 
 def read_ranges(spark: SparkSession, path: str, schema: StructType, ranges: Sequence[int] | None = None) -> DataFrame:

@@ -44,7 +44,7 @@ from chronodim.operators.dedupe import latest_per_key
 from chronodim.operators.gold import compare_dimensions, refresh_comparison, version_history
 from chronodim.operators.ingest import accepted_changes, split_bad_casts, to_bronze_rows
 from chronodim.operators.merge import upsert
-from chronodim.operators.ranges import RANGE, cut_bounds, file_bytes, overwrite_ranges, range_of, read_ranges, sized
+from chronodim.operators.ranges import RANGE, cut_bounds, file_bytes, key_filters, overwrite_ranges, range_of, read_ranges, sized
 from chronodim.operators.reads import as_of_time
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_fold, scd2_fold_initial, scd2_versions
 from chronodim.operators.schema import conform, evolve, type_changes, widened
@@ -339,9 +339,10 @@ class DimensionStore:
         """Write run ``n``'s rows of a table that only grows."""
         began = time.perf_counter()
         run["commits"][table] = StructType([f for f in df.schema.fields if f.name not in partition_by]).json()
+        w = (sized(df, by, size) if by else df).write.mode("overwrite")
         if by:
-            df = sized(df, by, size)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self._dir(table, run["base"], n))
+            w = key_filters(w, self.keys)
+        w.partitionBy(*partition_by).parquet(self._dir(table, run["base"], n))
         self._timed(table, began)
 
     def _replace(self, df: DataFrame, table: str, run: dict, size: int) -> None:

@@ -130,6 +130,17 @@ ORACLE_SQL["merge_upsert"] = _events_bronze_latest()
 
 ORACLE_SQL["report_bronze"] = _with(E) + "SELECT user_id, event_type, value, ts AS source_updated_at FROM vw WHERE nxt IS NULL"
 
+_RUN = "CASE b " + " ".join(f"WHEN {i} THEN TIMESTAMP '{t}'" for i, t in enumerate(E.run_times)) + " END"
+_LAST_RUN = f"TIMESTAMP '{E.run_times[-1]}'"
+# bronze and type 1 carry the time of the run that wrote a key last, type 2 and
+# the history mart that of the run that opened a version; the comparison mart is
+# written for the key ranges of the last run
+ORACLE_SQL["audit_columns"] = _with(E) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {E_KEY}, {when} AS audit_time, count(*) AS n_rows FROM vw WHERE {which} GROUP BY ALL"
+    for t, when, which in (("bronze", _RUN, "nxt IS NULL"), ("scd1", _RUN, "nxt IS NULL"), ("scd2", _RUN, "true"), ("comparison", _LAST_RUN, "nxt IS NULL"), ("history", _RUN, "true")))
+
+ORACLE_SQL["audit_clock"] = "SELECT count(*) AS n_rows, true AS one_instant, true AS after_start, true AS before_end FROM events"
+
 ORACLE_SQL["scd1_current"] = _events_bronze_latest()
 
 ORACLE_SQL["report_scd1"] = _with(E) + "SELECT user_id, event_type, value FROM vw WHERE nxt IS NULL"

@@ -197,6 +197,26 @@ def q_report_bronze(spark, sf):
     return b.select(*EVENTS.keys, *EVENTS.attrs, SOURCE_TS).orderBy(*EVENTS.keys)
 
 
+def q_audit_columns(spark, sf):
+    """The audit columns of every table under the fixed load times of the runs:
+    rows by table, key and time, in zone-free form."""
+    st = build(spark, sf, EVENTS)
+    tables = {"bronze": (st.bronze(), "_ingested_at"), "scd1": (st.scd1(), "_silver_updated_at"), "scd2": (st.scd2(), "_silver_created_at"),
+              "comparison": (st.gold_comparison(), "_gold_created_at"), "history": (st.gold_history(ordered=False), "_silver_created_at")}
+    return _union(df.groupBy(*EVENTS.keys, F.col(c).cast("timestamp_ntz").alias("audit_time")).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(t).alias("table_name"), "*") for t, (df, c) in tables.items())
+
+
+def q_audit_clock(spark, sf):
+    """The default audit time, where no load time is given: one instant for
+    all rows, between the clock before and after the query was planned."""
+    raw = read_table(spark, sf, "events")
+    before = F.lit(dt.datetime.now(dt.timezone.utc).isoformat(sep=" ")).cast("timestamp")
+    rows = to_bronze_rows(raw, "ts").agg(F.count(F.lit(1)).alias("n_rows"), F.min("_ingested_at").alias("lo"), F.max("_ingested_at").alias("hi"))
+    return rows.select("n_rows", (F.col("lo") == F.col("hi")).alias("one_instant"), (F.col("lo") >= before).alias("after_start"),
+                       (F.col("hi") <= F.current_timestamp()).alias("before_end"))
+
+
 # ------------------------------------------------------------------ type 1
 def q_scd1_current(spark, sf):
     return _no_audit(build(spark, sf, EVENTS).scd1()).drop(SK)
@@ -480,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "late_rows": q_late_rows,
     "merge_upsert": q_merge_upsert,
     "report_bronze": q_report_bronze,
+    "audit_columns": q_audit_columns,
+    "audit_clock": q_audit_clock,
     "scd1_current": q_scd1_current,
     "report_scd1": q_report_scd1,
     "scd1_key_stability": q_scd1_key_stability,

@@ -106,3 +106,40 @@ def test_a_run_that_failed_half_way_is_repeated(spark, monkeypatch):
     broken.apply(rows(spark, second))
     assert read(broken) == read(sound)
     assert broken.scd1().select("sk_name").distinct().count() == 41
+
+
+def scanned(df):
+    """Rows that the file scans of ``df`` gave when it ran."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(p):
+        if p.nodeName().startswith("Scan") and p.metrics().contains("numOutputRows"):
+            found.append(p.metrics().apply("numOutputRows").value())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan)
+    return sum(found)
+
+
+def test_a_lookup_skips_row_groups_without_the_key(spark):
+    base = new_run_dir(spark, "bloom")
+    df = spark.range(0, 60_000, 1, 3).select((F.col("id") * 7919 % 120_011).alias("k"), F.lit("x").alias("v"))  # every group spans all keys
+    ranges.key_filters(df.write.option("parquet.block.size", 65536), ["k"]).parquet(f"{base}/with")
+    df.write.option("parquet.block.size", 65536).parquet(f"{base}/without")
+    key = df.where("id = 31000").first().k if "id" in df.columns else 31_000 * 7919 % 120_011
+    read = {n: scanned(spark.read.parquet(f"{base}/{n}").where(F.col("k") == key)) for n in ("with", "without")}
+    assert 0 < read["with"] <= read["without"] / 2, read
+    sizes = {n: ranges.file_bytes(spark.read.parquet(f"{base}/{n}")) for n in read}
+    assert sizes["with"] < 2 * sizes["without"] + 500_000
+
+
+def test_history_in_order_without_sampling(spark):
+    st = DimensionStore(spark, new_run_dir(spark, "order"), ["k"], "t", key_ranges=4)
+    for day in (1, 2, 3):
+        st.apply(rows(spark, [(f"k{i:02d}", str(day), f"2024-01-0{day}") for i in range(0, 40, day)]))
+    h = st.gold_history()
+    assert "rangepartitioning" not in h._jdf.queryExecution().executedPlan().toString()
+    got = [(r.k, r.valid_from_sk) for r in h.collect()]
+    assert len(got) == 40 + 20 + 14 and got == sorted(got)
