@@ -13,11 +13,11 @@ many there are.  Each task keeps k candidates a query, folded by a window.
 
 Edge cases: vectors that are null or hold null or non-finite components, and
 rows with a null id, take no part; shorter vectors count as if filled up with
-zeros; a row equal to another is a candidate of its own; rows with the
-query's id are the query's own; an id met by several query rows is searched
-once, with its least vector; fewer than k candidates give fewer rows; an
-empty table gives none; extra columns are ignored.  Scores are exact while
-they fit 53 bits, else computed in 64-bit integers.
+zeros; every row is a query or candidate of its own, also one that is equal
+to another or shares its id (``query_row`` tells queries of one id apart); fewer
+than k candidates give fewer rows; an empty table gives none; extra columns
+are ignored.  Scores are exact while they fit 53 bits, else computed in
+64-bit integers, which wrap beyond.
 """
 
 from __future__ import annotations
@@ -55,6 +55,7 @@ class Search:
     """Best k candidates of a block of queries, slab by slab."""
 
     def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
+        """``ids``: row numbers of the queries."""
         self.ids, self.k = ids, k
         self.order = np.argsort(-np.square(q).sum(0), kind="stable")
         self.q = np.ascontiguousarray(q[:, self.order])
@@ -64,7 +65,9 @@ class Search:
         self.tail = np.sqrt(np.concatenate((tail, np.zeros((len(ids), 1))), axis=1))
         self.compared = self.finished = 0
 
-    def add(self, vec_ids: np.ndarray, x: np.ndarray) -> None:
+    def add(self, vec_ids: np.ndarray, x: np.ndarray, rows_: np.ndarray | None = None) -> None:
+        """Candidates by id; ``rows_`` are their row numbers, where these aren't the ids."""
+        own = vec_ids if rows_ is None else rows_
         wide = np.abs(x).max(initial=0) * np.abs(self.q).max(initial=0) * max(1, x.shape[1]) >= 2.0 ** 53
         x = np.ascontiguousarray(x[:, self.order].T)  # vertical
         q = self.q
@@ -90,7 +93,7 @@ class Search:
             if e < dim and keep_r.sum() * keep_c.sum() < 0.8 * alive.size:
                 rows, cols = rows[keep_r], cols[keep_c]
                 score, alive = score[np.ix_(keep_r, keep_c)], alive[np.ix_(keep_r, keep_c)]
-        alive &= vec_ids[cols][None, :] != self.ids[rows][:, None]
+        alive &= own[cols][None, :] != self.ids[rows][:, None]
         r, c = np.nonzero(alive)
         self.finished += len(r)
         s, v = score[r, c], vec_ids[cols[c]]
@@ -108,37 +111,39 @@ class Search:
 
 def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = EVERY, k: int = K,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best candidates of every query."""
+    """query_row, query_id, rank, vec_id, score: the k best candidates of every query."""
     spark = df.sparkSession
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = df.select(column(id_col).cast("long").alias("vec_id"), column(vector_col).cast("array<double>").alias("v")).where(
-        F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite)
-    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = stage(df.select(F.monotonically_increasing_id().alias("row"), column(id_col).cast("long").alias("vec_id"), column(vector_col).alias("v")), "topk-rows")
+    rows = rows.withColumn("v", F.col("v").cast("array<double>")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite)
+    queries = rows.where(F.col("vec_id") % every == 0)
     n, dim = rows.agg(F.count_if(F.col("vec_id") % every == 0), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     n_blocks = max(1, math.ceil(n * (max(dim, 1) + 2) * 8 / block_bytes))
     results = []
     for block in range(n_blocks):
-        mine = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == block).toArrow().combine_chunks()
-        ids = np.array(mine.column("vec_id"), np.int64)
+        mine = queries.where(F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == block).toArrow().combine_chunks()
+        ids, names = (np.array(mine.column(c), np.int64) for c in ("row", "vec_id"))
         vectors = mine.column("v").combine_chunks() if mine.num_rows else pa.array([], pa.list_(pa.float64()))
-        shared = spark.sparkContext.broadcast((ids, matrix(vectors, dim)))
+        shared = spark.sparkContext.broadcast((ids, names, matrix(vectors, dim)))
 
         def run(batches, shared=shared):
-            ids, q = shared.value
+            ids, names, q = shared.value
             parts = [Search(ids[i:i + QUERIES], q[i:i + QUERIES], k) for i in range(0, len(ids), QUERIES)]
             for b in batches:
                 for at in range(0, b.num_rows, SLAB):
                     piece = b.slice(at, SLAB)
-                    x, own = matrix(piece.column("v"), dim), np.array(piece.column("vec_id"), np.int64)
+                    x = matrix(piece.column("v"), dim)
+                    own, at_row = (np.array(piece.column(c), np.int64) for c in ("vec_id", "row"))
                     for p in parts:
-                        p.add(own, x)
-            found = [(int(i), c, -s) for p in parts for i, best in zip(p.ids, p.best, strict=True) for s, c in best]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3,
-                                             names=["query_id", "vec_id", "score"])
-
-        found = map_arrow(rows, run, "query_id long, vec_id long, score long")
-        rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        best = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                        p.add(own, x, at_row)
+            every_best = [best for p in parts for best in p.best]
+            found = [(int(i), int(name), c, -s) for i, name, best in zip(ids, names, every_best, strict=True) for s, c in best]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 4,
+                                             names=["query_row", "query_id", "vec_id", "score"])
+
+        found = map_arrow(rows, run, "query_row long, query_id long, vec_id long, score long")
+        rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+        best = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_row", "query_id", "rank", "vec_id", "score")
         results.append(stage(best, "topk") if n_blocks > 1 else best)
     out = results[0]
     for r in results[1:]:
@@ -148,4 +153,4 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: the five best neighbours of every fiftieth vector."""
-    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("query_row")
