@@ -3,14 +3,16 @@
 The text view sees the content: frequencies of character-class pairs, the
 shares of distinct words and lines and the word length.  The metadata view
 sees the page: language, source, size class, lines and line length.  Each
-round either view labels the pool documents it is surest of for the other
-view, and both are fitted again.  At the end each view is calibrated and the
-two are combined on labelled rows that neither was fitted on, and every
-document is scored.
+round either view labels the documents it is surest of for the other view, and
+both are fitted again.  At the end each view is calibrated and the two are
+combined on labelled rows that neither was fitted on, and every document is
+scored.
 
-Fitting uses bounded samples, those of least hash: at most ``LABELLED`` rows
-with a label (from rows whose crc32(doc_id) mod 5 isn't 0) and at most
-``POOL`` rows without.  Scoring covers every whole text.
+The labelled sample is bounded: at most ``LABELLED`` rows, those of least hash
+(from rows whose crc32(doc_id) mod 5 isn't 0); a document repeated with its id,
+label and text counts once.  The pool of pseudo-labels is every row without a
+label: their features are written once, each round scores them all in Spark and
+takes the surest ``SURE`` a view (equal ones once).
 
 Edge cases: null and empty texts and null metadata have features like any
 other; a null label is no label; of several labels for a doc_id each counts;
@@ -22,18 +24,20 @@ table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
+from chronodim.llm.common import column, map_arrow, slices, stage, table, text_bytes
+from chronodim.plans.session import broadcast_if_small
 
 LABELLED = 10_000
-POOL = 10_000
 ROUNDS = 4
 SURE = 400       # pseudo-labels a view gives in a round, at most
 SURE_AT = 0.95   # and how sure it must be
@@ -121,33 +125,96 @@ def dense_meta(active: np.ndarray) -> np.ndarray:
     return x
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> dict:
+def pick(keys: list, views: list[np.ndarray], w: list, taken: list, most: tuple[int, int], best: dict) -> None:
+    """Adds to ``best``, for each (view, label), the rows (-sure, key, features of
+    both views) that the view is surest of and the other was not given yet; at
+    most ``most`` by label, equal keys once."""
+    for v, x in enumerate(views):
+        p = sigmoid(logits(x, w[v]))
+        for label, sure in ((0, 1 - p), (1, p)):
+            rows = best.setdefault((v, label), {})
+            worst = None  # of the rows, once they are as many as asked for
+            for i in np.argsort(-sure, kind="stable").tolist():
+                if sure[i] < SURE_AT or not most[label]:
+                    break
+                if keys[i] in taken[1 - v] or keys[i] in rows:
+                    continue
+                if len(rows) >= most[label]:
+                    worst = worst or max((r[0], k) for k, r in rows.items())
+                    if -sure[i] > worst[0]:
+                        break
+                    if (-sure[i], keys[i]) > worst:
+                        continue
+                    del rows[worst[1]]
+                    worst = None
+                rows[keys[i]] = (-float(sure[i]), [u[i] for u in views])
+
+
+def local_pool(text: np.ndarray, meta: np.ndarray):
+    """Pool of rows in memory."""
+    def sure(w, taken, most):
+        best: dict = {}
+        pick(list(range(len(text))), [text, meta], w, taken, most, best)
+        return best
+
+    return sure
+
+
+def spark_pool(rows: DataFrame):
+    """Pool of the features table ``rows`` (key, x, m): scored in Spark, the surest
+    rows of each task meet."""
+    def sure(w, taken, most):
+        shared = rows.sparkSession.sparkContext.broadcast((w, taken, most))
+
+        def run(batches):
+            w, taken, most = shared.value
+            best: dict = {}
+            for b in batches:
+                if b.num_rows:
+                    pick(b.column("key").to_pylist(), list(unpacked(b)), w, taken, most, best)
+            out = [(v, label, k, r[0], r[1][0].tobytes(), r[1][1].tobytes()) for (v, label), found in best.items() for k, r in found.items()]
+            if out:
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.float64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["v", "label", "key", "rank", "x", "m"])
+
+        found = map_arrow(rows.select("key", "x", "m"), run, "v int, label int, key binary, rank double, x binary, m binary").dropDuplicates(["v", "label", "key"])
+        nth = F.row_number().over(W.partitionBy("v", "label").orderBy("rank", "key"))
+        top = F.when(F.col("label") == 1, F.lit(most[1])).otherwise(F.lit(most[0]))
+        best: dict = {}
+        for r in found.withColumn("n", nth).where(F.col("n") <= top).orderBy("v", "label", "n").collect():  # at most 4 SURE rows
+            best.setdefault((r["v"], r["label"]), {})[bytes(r["key"])] = (r["rank"], [np.frombuffer(r["x"], np.float32), np.frombuffer(r["m"], np.float32)])
+        return best
+
+    return sure
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS, pool=None) -> dict:
     """Weights of both views, their calibration and their combination.
 
-    y: 0, 1, or -1 for the pool; fold: rows to calibrate on."""
+    y: 0, 1, or -1 for rows of the pool, unless ``pool`` gives the surest rows;
+    fold: rows to calibrate on."""
     known = y >= 0
     share = float(y[known].mean()) if known.any() else 0.5
     calibrate, train = known & fold, known & ~fold
     if len(set(y[train].tolist())) < 2 or len(set(y[calibrate].tolist())) < 2:
         return {"share": share}
     views = [text, meta]
-    given = [dict(zip(np.flatnonzero(train).tolist(), y[train].tolist(), strict=True)) for _ in views]
+    pool = pool or local_pool(text[~known], meta[~known])
+    given = [(x[train], y[train].astype(float)) for x in views]
+    taken: list = [set(), set()]
+    most = (int(np.ceil(SURE * (1 - share))), int(np.ceil(SURE * share)))  # as many of each class as the labels have
     w: list = [None, None]
     for r in range(rounds + 1):
-        for v, x in enumerate(views):
-            rows = np.fromiter(given[v], np.int64)
-            w[v] = logistic(x, np.fromiter(given[v].values(), float), w[v], steps=6 if r == 0 else 2, rows=rows)
+        for v, (x, label) in enumerate(given):
+            w[v] = logistic(x, label, w[v], steps=6 if r == 0 else 2)
         if r == rounds:
             break
-        pool = np.flatnonzero(y < 0)
-        for v, x in enumerate(views):
-            other = given[1 - v]
-            free = np.array([i for i in pool.tolist() if i not in other], np.int64)
-            p = sigmoid(logits(x[free], w[v]))
-            # as many of each class as the labels have
-            for label, sure, most in ((1, p, SURE * share), (0, 1 - p, SURE * (1 - share))):
-                best = np.argsort(-sure, kind="stable")[:int(np.ceil(most))]
-                other.update((int(free[i]), label) for i in best if sure[i] >= SURE_AT)
+        for (v, label), rows in pool(w, taken, most).items():
+            if rows:
+                taken[1 - v] |= set(rows)
+                more = np.stack([r[1][1 - v] for r in rows.values()])
+                x, old = given[1 - v]
+                given[1 - v] = np.concatenate((x, more)), np.append(old, np.full(len(more), float(label)))
     # Platt calibration of each view, then the combination of both
     scores = np.stack([logits(x[calibrate], w[v]) for v, x in enumerate(views)], axis=1)
     platt = [logistic(scores[:, v:v + 1], y[calibrate], ridge=1e-2, steps=20) for v in range(2)]
@@ -170,40 +237,43 @@ def meta_of(b: pa.RecordBatch) -> np.ndarray:
     return np.array([meta_features(*r) for r in rows], np.int64).reshape(-1, 5)
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality",
-        labelled: int = LABELLED, pool: int = POOL) -> dict:
-    """The model (a few thousand numbers) from bounded samples."""
-    named = labels.select(column(id_col).alias("id"), column(label).cast("int").alias("y")).where("y in (0, 1) and id is not null")
-    usable = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) != 0
-    rank = F.xxhash64(F.col("id"), F.lit(5))
-    chosen = named.where(usable).orderBy(rank, "id", "y").limit(labelled)
-    rest = df.select(column(id_col).alias("id")).where("id is not null").join(named.select("id"), "id", "left_anti").orderBy(rank, "id").limit(pool).distinct()
-    sample = chosen.unionByName(rest.withColumn("y", F.lit(-1)))
-    rows = prepared(df, text_col).select("text", "m_lang", "m_source", "m_n_chars", F.col("row").getField(id_col).alias("key")) \
-        .join(F.broadcast(sample), F.col("key") == F.col("id")).drop("key")  # at most labelled + pool rows
+def unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(b.column(c).to_pylist()), np.float32).reshape(b.num_rows, -1) for c in ("x", "m"))
 
-    def examples(batches):
-        for b in slices(batches):
-            x = [text_features(t).tobytes() for t in b.column("text").to_pylist()]
-            m = [r.tobytes() for r in meta_of(b)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(x, pa.binary()), pa.array(m, pa.binary())], names=["id", "y", "x", "m"])
 
-    examples_ = map_arrow(rows, examples, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary, m binary")
+def feature_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, key (digest of the features), x and m (features of both views) of
+    every row, written."""
+    src = prepared(df, text_col).select(F.col("row").getField(id_col).alias("id"), "text", "m_lang", "m_source", "m_n_chars")
 
-    def train(t: pa.Table) -> pa.Table:
-        import pickle
+    def run(batches):
+        for b in slices(batches):
+            x = [text_features(t).tobytes() for t in b.column("text").to_pylist()]
+            m = [r.tobytes() for r in dense_meta(meta_of(b))]
+            key = [hashlib.blake2b(t + u, digest_size=16).digest() for t, u in zip(x, m, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), *[pa.array(c, pa.binary()) for c in (key, x, m)]], names=["id", "key", "x", "m"])
 
-        t = t.sort_by([("id", "ascending"), ("y", "ascending")])
-        x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(t.num_rows, -1)
-        m = np.frombuffer(b"".join(t.column("m").to_pylist()), np.int64).reshape(t.num_rows, -1)
-        fold = np.array([zlib.crc32(str(i).encode()) % 5 == 1 for i in t.column("id").to_pylist()])
-        return pa.table({"model": pa.array([pickle.dumps(co_train(x, dense_meta(m), t.column("y").to_numpy(), fold))], pa.binary())})
+    return stage(map_arrow(src, run, T.StructType([src.schema["id"], *[T.StructField(c, T.BinaryType()) for c in ("key", "x", "m")]])), "quality-features")
 
-    import pickle
 
-    # the bounded sample's features in one task
-    got = examples_.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "model binary").collect()
-    return pickle.loads(got[0]["model"]) if got else {"share": 0.5}
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", labelled: int = LABELLED) -> dict:
+    """The model (a few thousand numbers), from at most ``labelled`` rows with a
+    label and all rows without."""
+    named = labels.select(column(id_col).alias("id"), column(label).cast("int").alias("y")).where("y in (0, 1) and id is not null")
+    usable = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) != 0
+    rank = F.xxhash64(F.col("id"), F.lit(5))
+    chosen = named.where(usable).orderBy(rank, "id", "y").limit(labelled)
+    rows = feature_table(df, id_col, text_col)
+    # one row per id, label and text, then the bound again: an id may have many texts
+    sample = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id", "y", "key"]).orderBy(rank, "id", "y", "key").limit(labelled)
+    sample = stage(sample, "quality-sample").orderBy(rank, "id", "y", "key").toArrow()
+    if not sample.num_rows:
+        return {"share": 0.5}
+    whole = sample.combine_chunks().to_batches()[0]
+    x, m = unpacked(whole)
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 == 1 for i in whole.column("id").to_pylist()])
+    pool = rows.join(broadcast_if_small(named.select("id").distinct()), "id", "left_anti")
+    return co_train(x, m, whole.column("y").to_numpy(), fold, pool=spark_pool(pool))
 
 
 def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: dict | None = None, **limits) -> DataFrame:

@@ -7,9 +7,10 @@ other than zero, so the model is a short list of (coordinate, weight) that is
 broadcast (bounded by 2 ** BITS entries).
 
 Fitting uses a bounded sample of labelled rows: at most ``SAMPLE_ROWS``,
-those of least hash, from rows whose crc32(doc_id) mod 5 isn't 0.  Features
-are made where the texts are; one task then learns from the sample's
-coordinates.  Scoring covers every whole text.
+those of least hash, from rows whose crc32(doc_id) mod 5 isn't 0; a document
+repeated with its id, label and text counts once.  Features are made where the
+texts are; one task then learns from the sample's coordinates.  Scoring covers
+every whole text.
 
 Edge cases: null and empty texts have no features and score by the bias; a
 null label is no label; of several labels for one doc_id each counts; rows
@@ -86,13 +87,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
         for b in slices(batches):
             found = [np.unique(features(word_hashes(t))).astype(np.int32) for t in b.column("text").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found])))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int32()))], names=["doc_id", "y", "x"])
+            key = [xxhash.xxh3_128_digest(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(key, pa.binary()), pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int32()))], names=["doc_id", "y", "key", "x"])
+
+    rows = map_arrow(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), examples, "doc_id long, y int, key binary, x array<int>")
+    # an id may have many texts: the bound holds for the rows, too
+    few = rows.select("doc_id", "y", "key").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "y", "key").limit(sample_rows)
+    rows = rows.join(F.broadcast(few.withColumn("one", F.lit(1))), ["doc_id", "y", "key"]).dropDuplicates(["doc_id", "y", "key"])
 
-    # at most sample_rows rows
-    rows = map_arrow(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), examples, "doc_id long, y int, x array<int>")
     def train(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("y", "ascending")])
+        t = t.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("key", "ascending")])
         y = t.column("y").to_pylist()
         x = t.column("x").combine_chunks()
         offsets, values = np.asarray(x.offsets), np.asarray(x.values)

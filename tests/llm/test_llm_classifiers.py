@@ -78,3 +78,71 @@ def test_quality_edges(spark):
     assert quality.quality(docs, labels.limit(0)).select("score").distinct().collect()[0][0] == 0.5
     assert quality.keep_good(docs.limit(0), labels).count() == 0
     assert quality.quality(docs.select("doc_id", "text"), labels).count() == 4
+
+
+def test_repeated_documents_change_no_model(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["good", "bad", "fine", "poor", "x1", "y2"]) for _ in range(30)) + (" bad thing" * (i % 3 == 0))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 0)) for i in range(0, 400, 2)], "doc_id long, toxic int, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    often = docs.union(spark.createDataFrame([rows[2]] * 300 + [rows[3]] * 300, docs.schema))
+
+    def results(op):
+        return [{r.doc_id: r.score for r in op(d).collect()} for d in (docs, often)]
+
+    once, more = results(lambda d: toxicity.toxicity(d, labels))
+    assert once == more and len(set(once.values())) > 1
+    once, more = results(lambda d: quality.quality(d, labels).selectExpr("row.doc_id as doc_id", "score"))
+    assert all(abs(once[i] - more[i]) < 1e-9 for i in once) and len(once) == 400
+
+
+def test_a_hot_labelled_id_stays_within_the_bound(spark, tmp_path, monkeypatch):
+    docs = spark.range(3000).selectExpr("if(id < 2000, 1, id) as doc_id", "concat('text ', id) as text")
+    labels = spark.createDataFrame([(1, 1)] + [(i, i % 2) for i in range(2000, 3000)], "doc_id long, toxic int")
+
+    class Counted(toxicity.Ftrl):
+        def learn(self, i, y):
+            with open(tmp_path / "rows", "a") as f:
+                f.write("x")
+            super().learn(i, y)
+
+    monkeypatch.setattr(toxicity, "Ftrl", Counted)
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    toxicity.fit(docs.selectExpr("doc_id", "cast(text as binary) as text"), labels, sample_rows=100)
+    assert (tmp_path / "rows").stat().st_size == 100
+
+
+def test_one_ftrl_step_against_the_formula():
+    m = toxicity.Ftrl(4)
+    i = np.array([1, 3, 4])
+    m.z[:], m.n[:] = [0, 20, -5, 18, 2], [0, 4, 1, 9, 16]
+    w = [0.0] * 5
+    for k in (1, 3, 4):
+        l1 = 0 if k == 4 else toxicity.L1
+        if abs(m.z[k]) > l1:
+            w[k] = -(m.z[k] - np.sign(m.z[k]) * l1) / ((toxicity.BETA + m.n[k] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+    g = 1 / (1 + np.exp(-(w[1] + w[3] + w[4]))) - 1
+    want_z, want_n = m.z.copy(), m.n.copy()
+    for k in (1, 3, 4):
+        sigma = ((m.n[k] + g * g) ** 0.5 - m.n[k] ** 0.5) / toxicity.ALPHA
+        want_z[k] += g - sigma * w[k]
+        want_n[k] += g * g
+    m.learn(i, 1)
+    assert np.allclose(m.z, want_z) and np.allclose(m.n, want_n)
+
+
+def test_pool_in_spark_equals_pool_in_memory(spark):
+    import zlib as z
+
+    rng = np.random.default_rng(3)
+    text, meta = rng.normal(size=(500, 6)).astype(np.float32), rng.normal(size=(500, 4)).astype(np.float32)
+    keys = [z.crc32(str(i).encode()).to_bytes(4, "big") for i in range(500)]
+    rows = spark.createDataFrame([(k, bytearray(t.tobytes()), bytearray(m.tobytes())) for k, t, m in zip(keys, text, meta, strict=True)], "key binary, x binary, m binary").repartition(5)
+    w = [np.array([3, 2, 0, 0, 1, 0, 0.1]), np.array([4, 0, 0, 1, 0.0])]
+    taken, most = [set(keys[:50]), set(keys[50:90])], (30, 20)
+    best: dict = {}
+    quality.pick(keys, [text, meta], w, taken, most, best)
+    got = quality.spark_pool(rows.union(rows))(w, taken, most)
+    assert {k: set(v) for k, v in got.items()} == {k: set(v) for k, v in best.items()} and {len(v) for v in best.values()} == {20, 30}
