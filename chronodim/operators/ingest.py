@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from chronodim.constants import DEFAULT_SOURCE_SYSTEM, INGESTED_AT, SOURCE_SYSTEM, SOURCE_TS
 from chronodim.operators.dedupe import latest_per_key
+from chronodim.operators.keyfilter import can_filter, key_filter, may_hold
 from chronodim.operators.merge import upsert
 from chronodim.operators.watermark import above_watermark
 
@@ -93,12 +94,16 @@ def accepted_changes(raw: DataFrame, state: DataFrame | None, keys: Sequence[str
 
     ``late="key"`` compares a row with its own key's change time in ``state``
     instead of the table-wide watermark: a key not yet known is never late.
+    State keys that no change has are dropped by a Bloom filter of the change
+    keys (``key_filter``, of bounded size) before the join shuffles them.
     """
     rows = to_bronze_rows(raw, ts, casts=casts, source_system=source_system, run_ts=run_ts)
     if state is not None and late == "key":
         own = state.select(*keys, F.col(SOURCE_TS).alias("__own"))
         cols = rows.columns
         rows = rows.where(F.col(SOURCE_TS).isNotNull())
+        if can_filter(rows, own, keys):
+            own = may_hold(own, key_filter(rows, keys), keys)
         if on_duplicate == "latest":  # fewer rows to join
             rows = latest_per_key(rows, keys, [SOURCE_TS, *tiebreak])
         rows = rows.join(own, list(keys), "left").where(F.col("__own").isNull() | (F.col(SOURCE_TS) > F.col("__own"))).select(*cols)

@@ -383,6 +383,9 @@ class DimensionStore:
             raw, bad = split_bad_casts(raw, self.ts, self.casts)
             self._append(bad, "quarantine", n, run)
         typed = to_bronze_rows(raw, self.ts, casts=self.casts, source_system=self.source_system, run_ts=run_ts)
+        if late == "key" and run["bounds"]:  # only the key ranges of the batch are read
+            near = typed.agg(F.collect_set(range_of(run["bounds"], self.keys, typed.schema)).alias("r")).first().r
+            bronze = self._state("bronze", old, near).drop(*HELPERS)
         if self.audit_skipped and not first:
             own = bronze.select(*self.keys, F.col(SOURCE_TS).alias("__own"))
             gone = late_rows(typed, None, watermark=prev_wm) if late == "table" else \

@@ -8,10 +8,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from chronodim.constants import SOURCE_TS
 from chronodim.operators.checks import duplicate_groups, file_overlaps, key_idempotence
 from chronodim.operators.dedupe import latest_per_key
 from chronodim.operators.gold import compare_dimensions
-from chronodim.operators.ingest import accepted_changes, bronze_ingest
+from chronodim.operators.ingest import accepted_changes, bronze_ingest, to_bronze_rows
+from chronodim.operators.keyfilter import key_filter, may_hold
 from chronodim.operators.maintenance import overwrite_via_staging, patch_from_frame
 from chronodim.operators.scd import scd2_apply, scd2_close, scd2_new_versions
 from chronodim.plans.medallion import DimensionStore
@@ -146,6 +148,37 @@ def test_late_is_judged_per_key_on_demand(spark):
     assert str(st.watermark().first().watermark) == "2024-01-05 00:00:00"
 
 
+def test_state_keys_are_pruned_before_the_late_join(spark):
+    state = spark.range(20000).select(F.col("id").cast("string").alias("k"), F.lit("2024-01-05").cast("timestamp_ntz").alias(SOURCE_TS))
+    batch = rows(spark, [("7", "older", "2024-01-04"), ("8", "newer", "2024-01-06"), ("x", "unknown", "2024-01-01"), (None, "no key", "2024-01-01")])
+    typed = to_bronze_rows(batch, "t").where(F.col(SOURCE_TS).isNotNull())
+    left = may_hold(state, key_filter(typed, ["k"]), ["k"])
+    kept = {r.k for r in left.collect()}
+    assert {"7", "8"} <= kept and len(kept) < 20
+    full = {r.k for r in state.collect()}
+    few = may_hold(state, key_filter(state.where("k % 3 = 0"), ["k"], words=4), ["k"], words=4)  # saturated: all pass, none is lost
+    assert {r.k for r in few.collect()} >= {k for k in full if int(k) % 3 == 0}
+    out = accepted_changes(batch, state, ["k"], "t", late="key")
+    assert sorted((r.k or "", r.name) for r in out.collect()) == [("", "no key"), ("8", "newer"), ("x", "unknown")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "bit_or" in plan
+    ints = state.select(F.col("k").cast("int").alias("k"), SOURCE_TS)  # other type: joined without the filter
+    longs = batch.where("k in ('7', '8')").withColumn("k", F.col("k").cast("long"))
+    out = accepted_changes(longs, ints, ["k"], "t", late="key")
+    assert [r.k for r in out.collect()] == [8] and "bit_or" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_late_per_key_reads_the_batch_ranges_only(spark):
+    st = DimensionStore(spark, new_run_dir(spark, "lateranges"), ["k"], "t", late="key", key_ranges=4)
+    st.apply(rows(spark, [(f"k{i:03d}", "x", "2024-01-05") for i in range(100)]))
+    asked, read = [], st._state
+    st._state = lambda table, run, ranges=None: (asked.append((table, ranges)), read(table, run, ranges))[1]
+    st.apply(rows(spark, [("k001", "older", "2024-01-04"), ("k002", "newer", "2024-01-06")]))
+    assert ("bronze", [0]) in asked
+    got = {r.k: r.name for r in st.bronze().collect()}
+    assert len(got) == 100 and got["k001"] == "x" and got["k002"] == "newer"
+
+
 def test_duplicates_can_be_an_error(spark):
     st = DimensionStore(spark, new_run_dir(spark, "dup"), ["k"], "t", on_duplicate="error")
     st.apply(rows(spark, [("a", "x", "2024-01-01")]))
