@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from chronodim.llm import shard
 
 
@@ -39,6 +41,28 @@ def test_order_is_shuffled_and_seeded(spark):
     assert a == order(1) and a != order(2) and a != sorted(a)
 
 
+def test_buckets_are_dealt_to_tasks_in_turn(spark):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t" * 90).alias("text"))
+    out = shard.external_shuffle(df, bucket_bytes=20_000)  # 31 buckets, 8 partitions
+    assert out.count() == 4000
+    plan = shard.shuffled(df.select(F.struct("*").alias("record"), F.col("doc_id").alias("ord"), F.xxhash64("doc_id").alias("h"),
+                                    F.pmod("doc_id", F.lit(31)).cast("int").alias("bucket")), 8, 1)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1  # the aggregate takes the dealt partitions
+    per_task = plan.select(F.spark_partition_id().alias("p"), "bucket").distinct().groupBy("p").count().collect()
+    assert sorted(r["count"] for r in per_task) == [3] + [4] * 7
+
+
+def test_groups_of_buckets_one_after_another(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t" * 90).alias("text"))
+    out = shard.external_shuffle(df, bucket_bytes=10_000, per_task=2, max_tasks=4).collect()
+    assert sorted(r.record.doc_id for r in out) == list(range(3000))
+    by = {}
+    for r in out:
+        by.setdefault((r.bucket, r.n), []).append(r.pos)
+    assert len(by) == 47 and all(sorted(v) == list(range(n)) for (_, n), v in by.items())
+
+
 def test_empty(spark):
     assert shard.shard(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
