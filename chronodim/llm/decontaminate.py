@@ -9,13 +9,13 @@ windows are searched backwards at once by wavelet ranks, found rows are
 located by walking to sampled suffix positions, and the word spans found are
 merged per document.
 
-The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` of text, each
-block run against every shard, so its size is unbounded.
+The benchmark is broadcast in blocks of about ``BLOCK_BYTES`` of text (equal
+rows once), each block run against every shard, so its size is unbounded.
 
 Edge cases: null or empty texts have no words, no hits and are not
 contaminated; benchmark items without words match nothing; items are told
 apart by item_id, repeated ids count once and items with a null id mark words
-but are not listed; repeated documents are judged one by one; an empty table
+but are not listed (ids are of any type that sorts); repeated documents are judged one by one; an empty table
 on either side works; extra columns of documents travel in the row struct.
 """
 
@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from chronodim.llm.common import column, map_arrow, slices, table, text_bytes
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20  # of benchmark text: under a million windows of 52 bytes
+SHARD_BYTES = 4 << 20  # of documents in an index
 SAMPLE = 8  # every so many text positions have their suffix position kept
 
 # ASCII letters in lower case, digits and all bytes above 0x7F are word bytes
@@ -136,24 +137,30 @@ class FMIndex:
 
 # ---- the benchmark -------------------------------------------------------
 def windows_of(items: list[tuple], window: int) -> dict:
-    """Vocabulary, right-aligned windows and the items of each window."""
+    """Vocabulary, right-aligned windows and the items of each window: those of
+    window ``w`` are ``ids[owner[start[w]:start[w + 1]]]``."""
     vocabulary: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set] = {}
+    names: dict = {}
+    phrases, owners = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int64)]
     for item, text in items:
         ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-        for i in range(max(1, len(ids) - window + 1) if ids else 0):
-            owners.setdefault(tuple(ids[i:i + window]), set()).add(item)
-    phrases = np.zeros((len(owners), window), np.int64)
-    for k, w in enumerate(owners):
-        phrases[k, window - len(w):] = w
-    return {"vocabulary": vocabulary, "phrases": phrases, "lengths": np.array([len(w) for w in owners], np.int64),
-            "owners": [sorted(x for x in o if x is not None) for o in owners.values()]}
+        if ids:
+            padded = np.array([0] * (window - len(ids)) + ids, np.int32)
+            phrases.append(np.lib.stride_tricks.sliding_window_view(padded, window))
+            owners.append(np.full(len(phrases[-1]), -1 if item is None else names.setdefault(item, len(names))))
+    whole, owner = np.concatenate(phrases), np.concatenate(owners)
+    _, first, which = np.unique(whole.view(np.dtype((np.void, 4 * window))).ravel(), return_index=True, return_inverse=True)
+    whole = whole[first].astype(np.int64)
+    pairs = np.unique(which[owner >= 0] * max(1, len(names)) + owner[owner >= 0])
+    which, owner = np.divmod(pairs, max(1, len(names)))
+    return {"vocabulary": vocabulary, "phrases": whole, "lengths": (whole > 0).sum(axis=1), "ids": list(names),
+            "owner": owner, "start": np.searchsorted(which, np.arange(len(whole) + 1))}
 
 
 def blocks_of(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    size = items.agg(F.sum(F.octet_length(text_bytes(text_col)) + 16)).first()[0] or 0
+    rows = items.select(column(id_col).alias("item"), text_bytes(text_col).alias("text")).distinct()
+    size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
-    rows = items.select(column(id_col).alias("item"), text_bytes(text_col).alias("text"))
     return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
 
 
@@ -194,13 +201,14 @@ def find_hits(texts: list[bytes], bench: dict) -> list[tuple[int, list, list]]:
     of = doc[begin]
     begin = begin - (ends - sizes)[of]
     order = np.lexsort((begin, of))
+    ids, owner, start = bench["ids"], bench["owner"].tolist(), bench["start"].tolist()
     for d, i, w in zip(of[order].tolist(), begin[order].tolist(), which[order].tolist(), strict=True):
         spans, end = out[d][1], i + int(bench["lengths"][w])
         if spans and i <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], end)
         else:
             spans.append([i, end])
-        out[d][2].extend(bench["owners"][w])
+        out[d][2].extend(ids[k] for k in owner[start[w]:start[w + 1]])
     return out
 
 
@@ -222,8 +230,9 @@ def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_
     ``spans`` are the merged removal spans as byte ranges of the text;
     ``contaminated`` if share * n_hit >= n_words > 0 with a hit."""
     sc = df.sparkSession.sparkContext
+    listed_as = T.ArrayType(items.schema[item_id].dataType)
     rows = df.select(F.struct(*[column(c) for c in df.columns]).alias("row"), text_bytes(text_col).alias("text"),
-                     F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<long>").alias("items"))
+                     F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast(listed_as).alias("items"))
     schema = rows.schema
 
     for block in blocks_of(items, item_id, item_text, block_bytes):
@@ -231,12 +240,12 @@ def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_
 
         def run(batches, shared=shared):
             bench = shared.value
-            for b in slices(batches):
+            for b in slices(batches, limit=SHARD_BYTES):
                 found = find_hits(b.column("text").to_pylist(), bench)
                 spans = [merged(old + new) if old else new for old, (_, new, _) in zip(b.column("spans").to_pylist(), found, strict=True)]
                 listed = [sorted({*old, *new}) if old or new else [] for old, (_, _, new) in zip(b.column("items").to_pylist(), found, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), pa.array([f[0] for f in found], pa.int64()),
-                                                  pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(listed, pa.list_(pa.int64()))],
+                                                  pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(listed, b.column("items").type)],
                                                  names=["row", "text", "n_words", "spans", "items"])
 
         rows = map_arrow(rows, run, schema)

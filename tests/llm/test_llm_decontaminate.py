@@ -54,6 +54,21 @@ def test_empty_tables_and_rule(spark):
     assert dc.keep_clean(docs.limit(0), bench).count() == 0
 
 
+def test_ids_are_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "a " * 13), (2, "q")], "doc_id long, text string")
+    bench = spark.createDataFrame([("x", "a " * 14), ("b", "a " * 13), ("b", "a " * 13), (None, "q"), ("c", None)], "item_id string, text string")
+    got = {r["row"].doc_id: (r["items"], r.n_hit) for r in dc.decontaminate(docs, bench).collect()}
+    assert got == {1: (["b", "x"], 13), 2: ([], 1)}
+
+
+def test_windows_and_their_items():
+    w = dc.windows_of([(7, b"a b c"), (8, b"b c"), (9, b"a"), (None, b"b c d"), (7, b"a b c"), (5, b"")], 2)
+    words = {v: k for k, v in w["vocabulary"].items()}
+    got = {b" ".join(words[x] for x in p if x): [w["ids"][k] for k in w["owner"][w["start"][i]:w["start"][i + 1]]] for i, p in enumerate(w["phrases"])}
+    assert got == {b"a b": [7], b"b c": [7, 8], b"a": [9], b"c d": []}
+    assert dc.windows_of([], 13)["phrases"].shape == (0, 13)
+
+
 def test_index_finds_all_occurrences():
     rng = np.random.default_rng(5)
     s = np.concatenate([np.append(rng.integers(1, 5, n), 0) for n in (200, 1, 57, 300, 300)])
