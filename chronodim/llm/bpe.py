@@ -3,12 +3,13 @@
 A rolling hash over the bytes of a text cuts it where its content says so, so
 a passage that many documents share falls into the same chunks wherever it
 stands.  A task encodes (and decodes) each distinct chunk once.  Chunks are
-then joined.  A cut before the last blank ahead of a visible ASCII character
-is always an edge of the tokenizer's words, so such joins agree as they are.
-Where a long stretch offers no such place it is cut anyway, and the join is
-repaired: the text from the left chunk's last sure word edge is re-encoded
-over a growing window until its word edges and those of the right chunk
-agree.
+then joined.  A cut before the last blank ahead of a visible character, or
+between East Asian punctuation and an ideograph, is always an edge of the
+tokenizer's words, so such joins agree as they are.  Where a long stretch
+offers no such place it is cut anyway, and the join is repaired: the text from
+the left chunk's last sure word edge is re-encoded over a growing window until
+its word edges and those of the right chunk agree.  A repaired stretch is kept
+in the store as a whole.
 
 The ids are those of the ``tokenizers`` library with the given file.  Chunks
 of characters whose classes are the same in all Unicode versions (below
@@ -16,6 +17,9 @@ U+0280 and general punctuation) are encoded by ``tiktoken`` from the same
 vocabulary, four times as fast; all others by ``tokenizers`` itself.  Special
 tokens written out in a text become their ids, as in that library.
 
+The word pattern is that of byte-level files (``plain_bytes``).  With any other
+file whole texts are the chunks, encoded and decoded by ``tokenizers``.
+
 Edge cases: a null text counts as empty and has no tokens; repeated rows are
 encoded one by one; an empty table gives no rows; extra columns travel along
 in the row struct.  The reuse is per task and bounded (``CACHE_BYTES``, then
@@ -45,6 +49,11 @@ LOOK = 4            # characters a word edge may depend on beyond itself
 # characters that tiktoken may class unlike the tokenizers library
 UNSURE = re.compile(rb"[\x1c-\x1f\xca-\xe1\xe3-\xff]|\xc2[\x80-\x9f]|\xe2[^\x80]")
 
+# Fixed by Unicode: first bytes of white space beyond ASCII are C2, E1, E2 and
+# E3; U+5000 to U+8FFF (E5 to E8) are letters; 、 。 ！ ， ： ； ？ are none.
+SEEN = np.array([32 < b < 127 or 0xC3 <= b <= 0xE0 or 0xE4 <= b <= 0xF4 for b in range(256)])
+STOPS = np.array([int.from_bytes(c.encode()) for c in "、。！，：；？"], np.int32)
+
 
 class Codec:
     """Encoder and decoder of one tokenizer file, with its chunk store."""
@@ -61,6 +70,12 @@ class Codec:
         self.slow.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.store: dict[bytes, tuple[bytes, bytes]] = {}
+        self.held = 0
+        self.encoded = 0  # bytes that were not in the store
+        self.plain = plain_bytes(spec)
+        if not self.plain:
+            return
         letter = byte_letters()
         vocabulary = spec["model"]["vocab"]
         self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
@@ -71,9 +86,6 @@ class Codec:
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.words = regex.compile(pattern)
         self.split = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
-        self.store: dict[bytes, tuple[bytes, bytes]] = {}
-        self.held = 0
-        self.encoded = 0  # chunks that were not in the store
 
     # one chunk
     def ids(self, text: bytes) -> list[int]:
@@ -86,14 +98,22 @@ class Codec:
         """Ids (little-endian 32-bit) and decoded bytes of a chunk."""
         got = self.store.get(text)
         if got is None:
-            ids = self.ids(text)
-            got = np.array(ids, "<u4").tobytes(), b"".join(map(self.bytes_of.__getitem__, ids))
-            self.encoded += 1
-            self.held += 2 * len(text) + len(got[0]) + 300
-            if self.held > CACHE_BYTES:
+            if not self.plain:
+                ids = self.slow.encode(text.decode(), add_special_tokens=False).ids
+                got = np.array(ids, "<u4").tobytes(), self.slow.decode(ids, skip_special_tokens=False).encode()
+            elif len(text) > MAX_CHUNK:
+                got = self.joined(forced(text))
+            else:
+                ids = self.ids(text)
+                got = np.array(ids, "<u4").tobytes(), b"".join(map(self.bytes_of.__getitem__, ids))
+            self.encoded += len(text)
+            size = 2 * len(text) + len(got[0]) + 300
+            if self.held + size > CACHE_BYTES:
                 self.store.clear()
                 self.held = 0
-            self.store[text] = got
+            if size <= CACHE_BYTES:
+                self.held += size
+                self.store[text] = got
         return got
 
     # joins
@@ -129,6 +149,8 @@ class Codec:
     # one text
     def encode(self, text: bytes, cuts: list[int]) -> tuple[bytes, bytes]:
         """Ids and decoded bytes of a text, given its sure cuts."""
+        if not self.plain:
+            return self.chunk(text)
         if self.split and any(s in text for s in self.special):
             out = []
             for part in self.split.split(text):
@@ -144,14 +166,21 @@ class Codec:
             return b"", b""
         out, chunk, at = [], self.chunk, 0
         for end in [*cuts, len(text)]:
-            if end - at > MAX_CHUNK:
-                out.append(self.joined(forced(text[at:end])))
-            else:
-                out.append(chunk(text[at:end]))
+            out.append(chunk(text[at:end]))
             at = end
         return b"".join([x for x, _ in out]), b"".join([x for _, x in out])
 
 
+def plain_bytes(spec: dict) -> bool:
+    """Whether a tokenizer file splits and joins as this module knows: bytes
+    by the word pattern above, special tokens taken literally."""
+    pre, model, decoder = (spec.get(k) or {} for k in ("pre_tokenizer", "model", "decoder"))
+    return (spec.get("normalizer") is None and pre.get("type") == decoder.get("type") == "ByteLevel" and pre.get("use_regex", True)
+            and not pre.get("add_prefix_space") and model.get("type") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")))
+
+
 def byte_letters() -> dict[str, int]:
     """Byte of each letter that byte-level vocabularies write bytes as:
     printable Latin-1 as itself, the others in order from U+0100."""
@@ -171,12 +200,18 @@ def rolling(x: np.ndarray) -> np.ndarray:
 
 
 def sure_positions(x: np.ndarray) -> np.ndarray:
-    """Positions of blanks ahead of a visible ASCII character that the rolling
-    hash chooses."""
+    """Positions that the rolling hash chooses among blanks ahead of a
+    character that is no white space (of those beyond ASCII, the ones whose
+    first byte no white space has), and ideographs after East Asian
+    punctuation."""
     if len(x) <= SPAN + 1:
         return np.zeros(0, np.int64)
-    blank = np.flatnonzero((x[SPAN:-1] == 32) & (x[SPAN + 1:] > 32) & (x[SPAN + 1:] < 127)) + SPAN
-    return blank[rolling(x)[blank - SPAN] & np.uint32(MASK) == 0]
+    edge = np.flatnonzero((x[SPAN:-1] == 32) & SEEN[x[SPAN + 1:]]) + SPAN
+    wide = np.flatnonzero((x[SPAN:] >= 0xE5) & (x[SPAN:] <= 0xE8)) + SPAN
+    if len(wide):
+        before = x[wide - 3].astype(np.int32) << 16 | x[wide - 2].astype(np.int32) << 8 | x[wide - 1]
+        edge = np.union1d(edge, wide[np.isin(before, STOPS)])
+    return edge[rolling(x)[edge - SPAN] & np.uint32(MASK) == 0]
 
 
 def sure_cuts(text: bytes) -> list[int]:
@@ -219,7 +254,10 @@ def bpe(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     of ``df``: ids as little-endian unsigned 32-bit integers, decoded the
     UTF-8 bytes of the text that the ids decode to.  ``path``: the tokenizer
     file, found under that path on every executor."""
-    src = df.select(F.struct(*[column(c) for c in df.columns if c != text_col], F.lit(True).alias("__row")).alias("row"), text_bytes(text_col).alias("text"))
+    mark = "__row"  # a struct needs a field
+    while mark in df.columns:
+        mark += "_"
+    src = df.select(F.struct(*[column(c) for c in df.columns if c != text_col], F.lit(True).alias(mark)).alias("row"), text_bytes(text_col).alias("text"))
 
     def run(batches):
         codec = Codec(path)
@@ -229,7 +267,7 @@ def bpe(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
                                               pa.array([x.decode("utf-8", "replace").encode() for _, x in out], pa.binary())], names=["row", "ids", "decoded"])
 
     out = map_arrow(src, run, T.StructType([src.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]))
-    return out.withColumn("row", F.col("row").dropFields("__row")) if len(src.schema["row"].dataType) > 1 else out
+    return out.withColumn("row", F.col("row").dropFields(mark)) if len(src.schema["row"].dataType) > 1 else out
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:
