@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 RANGE = "_range"
 RANGE_BYTES = 128 * 1024 * 1024   # of rows in a range when it is cut
-TASK_BYTES = 128 * 1024 * 1024    # that a task writes, about
+TASK_BYTES = 32 * 1024 * 1024     # that a task writes, about: it sorts them, and those of files are compressed
 MAX_RANGES = 1024
 FILTER_SIZES = 14  # sizes a Bloom filter is chosen from: 1 MB, halved each time
 
@@ -59,9 +59,11 @@ def file_bytes(df: DataFrame) -> int:
 
 def sized(df: DataFrame, by: Sequence[str], size: int) -> DataFrame:
     """``df`` ordered by ``by`` in as many tasks as ``size`` bytes ask for;
-    tasks hold disjoint ranges."""
+    tasks hold disjoint ranges.  Always a shuffle, so that the one task of a small
+    table sorts its rows only: the joins and aggregates of ``df`` stay in tasks of
+    their own."""
     n = max(1, math.ceil(size / TASK_BYTES))
-    laid = df.coalesce(1) if n == 1 else df.repartitionByRange(n, *by)
+    laid = df.repartition(1) if n == 1 else df.repartitionByRange(n, *by)
     return laid.sortWithinPartitions(*by)
 
 

@@ -55,6 +55,13 @@ def test_an_oversized_range_is_written_by_several_tasks(spark, monkeypatch):
     assert max(per_file) < 4000  # an eighth of the rows and some
 
 
+def test_a_small_write_leaves_the_work_before_it_in_its_own_tasks(spark):
+    df = table(spark).groupBy("k").agg(F.max("k").alias("v"))
+    p = ranges.sized(df, ["k"], 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange SinglePartition" in p and "Coalesce" not in p
+    assert ranges.sized(df, ["k"], 1000).rdd.getNumPartitions() == 1
+
+
 def test_only_ranges_with_rows_are_replaced(spark):
     path = new_run_dir(spark, "replace")
     df = in_ranges(table(spark, 900), [["300"], ["600"]])
