@@ -49,7 +49,7 @@ from chronodim.operators.reads import as_of_time
 from chronodim.operators.scd import scd1_apply, scd2_apply_open, scd2_fold, scd2_fold_initial, scd2_versions
 from chronodim.operators.schema import conform, evolve, type_changes, widened
 from chronodim.operators.watermark import late_rows
-from chronodim.plans.session import apply_session_defaults, broadcast_max_bytes, broadcast_max_rows, row_bytes
+from chronodim.plans.session import apply_session_defaults, changes_fit_broadcast, row_bytes
 
 OPENED = "_opened"    # run that opened a version
 SPAN = "_span"        # block of days that holds a closed version
@@ -433,7 +433,7 @@ class DimensionStore:
             if type_changes(had_columns, delta.schema) or gone & set(delta.columns):
                 ranges, gone = None, set()  # a widened column, or one that comes back: every range is written anew
             run["dropped"] = sorted(gone)
-        small = None if fresh else seen["added"] <= broadcast_max_rows(self.spark) and size <= broadcast_max_bytes(self.spark)
+        small = None if fresh else changes_fit_broadcast(self.spark, seen["added"], size)
         if not fresh and (ranges is None or ranges):
             size += file_bytes(self._state("bronze", run, ranges))
         one = latest_per_key(delta, self.keys, [SOURCE_TS, *self.tiebreak]) if several else delta

@@ -2,7 +2,7 @@
 sets) build identical tables."""
 
 from chronodim.plans.medallion import DimensionStore
-from chronodim.plans.session import BROADCAST_MAX_ROWS_CONF, new_run_dir
+from chronodim.plans.session import BROADCAST_MAX_ROWS_CONF, changes_fit_broadcast, new_run_dir
 from chronodim.sources.feeds import ORDERS, feed_batch, read_feed
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +37,14 @@ def test_broadcast_and_shuffle_paths_agree(spark):
         assert _rows(other.gold_comparison()) == _rows(small.gold_comparison())
         assert _rows(other.gold_history()) == _rows(small.gold_history())
         assert other.scd1().select("sk_name").distinct().count() == other.scd1().count()
+
+
+def test_a_change_set_is_broadcast_only_near_sparks_own_bound(spark):
+    assert changes_fit_broadcast(spark, 100_000, 8 << 20)
+    assert not changes_fit_broadcast(spark, 100_001, 1)
+    assert not changes_fit_broadcast(spark, 1, (8 << 20) + 1)
+    spark.conf.set(BROADCAST_MAX_ROWS_CONF, "0")  # lower bounds hold
+    try:
+        assert not changes_fit_broadcast(spark, 1, 1)
+    finally:
+        spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
