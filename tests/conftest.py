@@ -26,7 +26,8 @@ T_UPDATE = "2025-06-01 09:00:00"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="chronodim-test-")
     s = build_session("local[4]", app_name="chronodim-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.maxMetadataStringLength": "2000"})  # else plans are cut, the sooner the longer column ids are
     s.sparkContext.setCheckpointDir(ckpt)
     s.sparkContext.setLogLevel("ERROR")
     yield s
